@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from edgelens.llm import bpe, chat, mixing, url_filter
+from edgelens.llm import bpe, chat, fingerprint, language, linededup, mixing, simhash, tokenfile, topk, url_filter
 from edgelens.runtime import table
 
 
@@ -119,9 +119,60 @@ select u.page_id, u.host, u.path, m.rule, coalesce(m.v, 'allow') as verdict from
 """
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all vectors for each whose id is divisible by 20."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+OP2_SQL = """
+with v as (
+  select vec_id, [floor(64 * x::double)::bigint for x in embedding] as q from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0
+    and len([x for x in embedding if x is not null and isfinite(x)]) = len(embedding)
+), s as (
+  select a.vec_id as query_id, b.vec_id, list_sum([z[1] * z[2] for z in list_zip(a.q, b.q)])::bigint as score
+  from v a join v b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+from s qualify rank <= 20
+"""
+
+
+def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written to the block file and read back."""
+    path = tokenfile.new_path(spark)
+    tokenfile.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return tokenfile.digests(spark, path)
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its later repeated runs of lines."""
+    return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines_removed", "text")
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from the rows whose crc32(doc_id) mod 5 is not 0."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+    model = language.train(docs.where(~F.coalesce("held_out", F.lit(True))))
+    return language.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op6_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, and that of its edited text."""
+    return fingerprint.neighbour_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and component."""
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe_codec, op3_chat_format, op9_poisson_mix, op10_url_verdicts)}
+    return {f.__name__: f for f in (
+        op1_bpe_codec, op2_topk_search, op3_chat_format, op4_token_file, op5_language, op6_multiset_fingerprint, op7_line_dedup, op8_simhash_groups, op9_poisson_mix, op10_url_verdicts,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": OP3_SQL, "op9_poisson_mix": OP9_SQL, "op10_url_verdicts": OP10_SQL}
+    return {"op2_topk_search": OP2_SQL, "op3_chat_format": OP3_SQL, "op9_poisson_mix": OP9_SQL, "op10_url_verdicts": OP10_SQL}
