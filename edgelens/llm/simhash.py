@@ -9,8 +9,13 @@ at distance <= m of v go inside and the others outside; those inside at m - radi
 as well, since by the triangle inequality only they can have a partner there. So every pair within the
 radius meets in a leaf. The upper tree is built from a bounded sample and routes all fingerprints; each
 leaf is one group, in which the tree goes on in memory and small nodes compare all their members. A leaf
-returns one link from each linked member to the smallest of its component, never all pairs, so a dense
-group stays linear in output; components over all leaves follow by star contraction.
+returns a spanning forest of its close pairs, never all pairs, so a dense group stays linear in output;
+components over all leaves follow by star contraction.
+
+near_duplicates() links by one fingerprint of shingles. similar_documents() serves a wish for similar texts
+(Jaccard of five-word shingles of 0.8 or more), which differ in far more bits than a tree of 64-bit
+fingerprints can prune: it takes several independent fingerprints of the distinct words, links those that
+differ little in any of them, and keeps the links that the exact similarity confirms.
 
 Defined results: null and empty texts and texts without words have fingerprint 0 and are linked as any
 other; equal texts share a fingerprint; repeated rows are rows of the same component; an empty table
@@ -158,8 +163,10 @@ def _close_pairs(fps: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.
 
 
 def leaf_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(member, smallest member of its component) for the linked members of a leaf, by index."""
+    """(member, member) of a spanning forest of the close pairs in a leaf, by index; each is a close pair,
+    and of the pairs compared together the closest come first."""
     parent = list(range(len(fps)))
+    one, other = [], []
 
     def find(x: int) -> int:
         while parent[x] != x:
@@ -168,36 +175,42 @@ def leaf_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
         return x
 
     for a, b in _close_pairs(fps, radius):
-        for x, y in zip(a.tolist(), b.tolist()):
-            x, y = find(x), find(y)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-    roots = np.array([find(x) for x in range(len(fps))], dtype=np.int64)
-    linked = np.flatnonzero(roots != np.arange(len(fps)))
-    return linked, roots[linked]
-
-
-def links(fingerprints: DataFrame, radius: int = 2, col: str = "fp") -> DataFrame:
-    """(a, b): links that join all different fingerprints within the radius, directly or through others."""
-    spark = fingerprints.sparkSession
-    importable(spark)
-    total = fingerprints.count()
-    sample = fingerprints.orderBy(F.xxhash64(col), col).limit(min(SAMPLE, total)).toPandas()[col].to_numpy(dtype=np.int64)
-    nodes = build_tree(sample.view(np.uint64), radius, -(-total // LEAF_ROWS))
+        order = np.argsort(distances(fps[a], fps[b]), kind="stable")
+        for x, y in zip(a[order].tolist(), b[order].tolist()):
+            i, j = find(x), find(y)
+            if i != j:
+                parent[max(i, j)] = min(i, j)
+                one.append(x)
+                other.append(y)
+    return np.array(one, dtype=np.int64), np.array(other, dtype=np.int64)
+
+
+def links(fingerprints: DataFrame, radius: int = 2) -> DataFrame:
+    """(seed, a, b): links that join all different fingerprints of a seed within the radius, directly or
+    through others. fingerprints: (seed int, fp long), distinct; each seed has a tree of its own."""
+    importable(fingerprints.sparkSession)
+    totals = {r["seed"]: r["n"] for r in fingerprints.groupBy("seed").agg(F.count("*").alias("n")).collect()}  # a row per seed
+    sample = fingerprints.orderBy(F.xxhash64("fp"), "fp", "seed").limit(SAMPLE).toPandas()
+    trees = {}
+    for seed, n in totals.items():
+        own = sample.loc[sample["seed"] == seed, "fp"].to_numpy(dtype=np.int64).copy()
+        trees[seed] = build_tree(own.view(np.uint64), radius, -(-n // LEAF_ROWS))
 
     def spread(batches):
         for b in batches:
-            fps = b.column(0).to_numpy()
-            rows, leaves = route(fps.view(np.uint64), nodes, radius)
-            yield pa.RecordBatch.from_arrays([pa.array(leaves), pa.array(fps[rows])], ["leaf", "fp"])
+            seeds, fps = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for seed in np.unique(seeds).tolist():
+                own = fps[seeds == seed]
+                rows, leaves = route(own.view(np.uint64), trees[seed], radius)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), seed, dtype=np.int32)), pa.array(leaves), pa.array(own[rows])], ["seed", "leaf", "fp"])
 
     def inside(pdf: pd.DataFrame) -> pd.DataFrame:
         fps = np.sort(pdf["fp"].to_numpy(dtype=np.int64))
         a, b = leaf_links(fps.view(np.uint64), radius)
-        return pd.DataFrame({"a": fps[a], "b": fps[b]})
+        return pd.DataFrame({"seed": np.full(len(a), pdf["seed"].iloc[0], dtype=np.int32), "a": fps[a], "b": fps[b]})
 
-    routed = fingerprints.select(F.col(col).alias("fp")).mapInArrow(spread, "leaf long, fp long")
-    return routed.groupBy("leaf").applyInPandas(inside, "a long, b long")
+    routed = fingerprints.select("seed", "fp").mapInArrow(spread, "seed int, leaf long, fp long")
+    return routed.groupBy("seed", "leaf").applyInPandas(inside, "seed int, a long, b long")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -236,9 +249,79 @@ def near_duplicates(
     """(id, fp, component): component is the smallest id among the documents reachable by links."""
     fps = stage(add_fingerprint(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")), "__text", words).select("__id", "fp"), "simhash")
     different = stage(fps.groupBy("fp").agg(F.min("__id").alias("first")), "simhash-different")
-    root = components(links(different, radius))
+    root = components(links(different.select(F.lit(0).alias("seed"), "fp"), radius))
     named = different.join(root, different["fp"] == root["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = stage(named, "simhash-roots")
     smallest = named.groupBy("root").agg(F.min("first").alias("component"))
     named = named.join(smallest, "root").select("fp", "component")
     return fps.join(named, "fp").select(F.col("__id").alias(id_col), "fp", "component")
+
+
+def word_fingerprints(text: str | None, seeds: int) -> list[int]:
+    """SimHashes of the text's distinct words, each from other bits of their hashes."""
+    words = sorted(set((text or "").encode("utf-8", "surrogatepass").lower().split()))
+    if not words:
+        return [0] * seeds
+    out: list[int] = []
+    for seed in range(-(-seeds // 2)):
+        ones = np.zeros(128, dtype=np.int64)
+        for i in range(0, len(words), PART):
+            raw = np.frombuffer(b"".join([xxhash.xxh128_digest(w, seed) for w in words[i : i + PART]]), dtype=np.uint8)
+            ones += np.unpackbits(raw).reshape(-1, 128).sum(axis=0, dtype=np.int32)
+        out += np.packbits(2 * ones > len(words)).view(">i8").tolist()
+    return out[:seeds]
+
+
+def shingle_hashes(text: str | None, words: int) -> list[int]:
+    """Distinct 64-bit hashes of the word shingles; a shorter text is one shingle."""
+    w = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not w:
+        return []
+    shingles = map(b" ".join, zip(*[w[k:] for k in range(words)])) if len(w) >= words else [b" ".join(w)]
+    raw = b"".join([xxhash.xxh64_digest(x, SEED) for x in set(shingles)])
+    return np.frombuffer(raw, dtype=">i8").tolist()
+
+
+def similar_documents(
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, seeds: int = 6, radius: int = 3, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(id, component): groups of documents joined by links of at least the similarity; the component is the
+    smallest id. Equal texts are one document; texts without words are similar to each other."""
+
+    def maker():
+        def run(texts: pa.Array):
+            return [pa.array([word_fingerprints(t.as_py(), seeds) for t in texts], type=pa.list_(pa.int64()))]
+
+        return run
+
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    same = F.xxhash64("text", F.length("text"))
+    ids = stage(append_columns(rows.select("id", same.alias("same"), "text"), ["text"], [("fps", "array<long>")], maker).select("id", "same", "fps"), "similar-ids")
+    reps = stage(ids.groupBy("same").agg(F.min(F.struct("id", "fps")).alias("r")).select("same", "r.id", "r.fps"), "similar-reps")
+    each = reps.select("id", F.posexplode("fps").alias("seed", "fp"))
+    named = stage(each.groupBy("seed", "fp").agg(F.min("id").alias("first")), "similar-fps")
+    near = links(named.select("seed", "fp"), radius)
+    left, right = named.select("seed", F.col("fp").alias("a"), F.col("first").alias("x")), named.select("seed", F.col("fp").alias("b"), F.col("first").alias("y"))
+    pairs = near.join(left, ["seed", "a"]).join(right, ["seed", "b"]).select("x", "y")
+    shared = each.join(named, ["seed", "fp"]).where("id <> first").select(F.col("id").alias("x"), F.col("first").alias("y"))
+    pairs = pairs.unionByName(shared).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x <> y")
+    pairs = stage(pairs.distinct(), "similar-pairs")
+    # the exact check: shingles of the documents in a pair
+    asked = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct()
+
+    def exact():
+        def run(texts: pa.Array):
+            return [pa.array([shingle_hashes(t.as_py(), words) for t in texts], type=pa.list_(pa.int64()))]
+
+        return run
+
+    texts = rows.join(asked, "id", "left_semi").dropDuplicates(["id"])
+    sets = stage(append_columns(texts, ["text"], [("s", "array<long>")], exact).select("id", "s"), "similar-shingles")
+    one, other = sets.select(F.col("id").alias("x"), F.col("s").alias("sx")), sets.select(F.col("id").alias("y"), F.col("s").alias("sy"))
+    both = F.size(F.array_intersect("sx", "sy"))
+    joined = pairs.join(one, "x").join(other, "y")
+    close = (both >= similarity * (F.size("sx") + F.size("sy") - both)).alias("close")
+    edges = joined.where(close).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    root = components(edges).select(F.col("node").alias("id"), "root")
+    of_text = reps.select("same", "id").join(root, "id", "left").select("same", F.coalesce("root", "id").alias("component"))
+    return ids.select("id", "same").join(of_text, "same").select(F.col("id").alias(id_col), "component")
