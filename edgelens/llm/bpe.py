@@ -34,7 +34,7 @@ from edgelens.llm.common import append_columns
 
 NONE = 1 << 30
 SLICE_CHARS = 1 << 16
-GROUP_CHARS = 12 << 20
+GROUP_CHARS = 4 << 20
 WIDEST = 32
 
 

@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 from edgelens.runtime import importable
 
 
+#: Rows whose results a task holds at a time.
+SLICE_ROWS = 1024
+
+
 def append_columns(
     df: DataFrame, inputs: list[str], schema: list[tuple[str, str]], maker: Callable[[], Callable]
 ) -> DataFrame:
@@ -31,9 +35,11 @@ def append_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = None
-        for b in batches:
-            make = make or maker()
-            cols = b.columns
-            yield pa.RecordBatch.from_arrays(cols[: len(cols) - n_in] + list(make(*cols[len(cols) - n_in :])), names)
+        for whole in batches:
+            for start in range(0, max(1, whole.num_rows), SLICE_ROWS):
+                b = whole.slice(start, SLICE_ROWS)
+                make = make or maker()
+                cols = b.columns
+                yield pa.RecordBatch.from_arrays(cols[: len(cols) - n_in] + list(make(*cols[len(cols) - n_in :])), names)
 
     return src.mapInArrow(run, out_schema)
