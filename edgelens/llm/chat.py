@@ -115,7 +115,7 @@ def format_chats(messages: DataFrame, branches: int = 1) -> DataFrame:
     ).select("conv", "msg", "m.*"), "chat-messages")
     paths = branch_paths(messages, branches)
     said = messages.select(F.col("conv").alias("c2"), F.col("msg").alias("m2"), "role", "text")
-    tag = F.concat(F.lit("ROLE "), escape(F.col("role")))
+    tag = F.concat(F.lit("ROLE "), F.replace(escape(F.col("role")), F.lit("]"), F.lit("\\r")))
     for role, name in TAGS.items():
         tag = F.when(F.col("role") == role, F.lit(name)).otherwise(tag)
     turns = (
@@ -145,7 +145,7 @@ def parse_turns(formatted: Column) -> Column:
 
     def turn(s: Column) -> Column:
         tag = F.substring_index(F.substring_index(s, "]", 1), "[", -1)
-        role = unescape(F.substring_index(tag, "ROLE ", -1))
+        role = unescape(F.replace(F.substring_index(tag, "ROLE ", -1), F.lit("\\r"), F.lit("]")))
         for name, t in TAGS.items():
             role = F.when(tag == t, F.lit(name)).otherwise(role)
         body = s.substr(F.length(tag) + 4, F.length(s) - 2 * F.length(tag) - 7)

@@ -47,7 +47,7 @@ with t as (
   union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), u as (
   select *, case role when 'user' then 4 when 'assistant' then 3 when 'system' then 3
-      else 5 + length(role) + length(role) - length(replace(replace(replace(role, '\', ''), '[', ''), '<', '')) end as tag,
+      else 5 + length(role) + length(role) - length(replace(replace(replace(replace(role, '\', ''), '[', ''), '<', ''), ']', '')) end as tag,
     length(text) + length(text) - length(replace(replace(replace(text, '\', ''), '[', ''), '<', '')) as body
   from t
 )
