@@ -78,9 +78,10 @@ def branch_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     leaves = nodes.join(parents, F.col("conv").eqNullSafe(F.col("c2")) & (F.col("msg") == F.col("m2")), "left_anti")
     rank = F.row_number().over(Window.partitionBy("conv").orderBy(F.desc("total"), F.desc("hops"), "msg"))
     chosen = leaves.withColumn("rank", rank).where(F.col("rank") <= branches)
-    # depth counts from the root; the ancestor at distance d is reached by the jumps of d's binary digits
+    # depth counts from the root; the ancestor at distance d is reached by the jumps of d's binary digits,
+    # the longest jumps first, so that the rows stay few until the last joins
     paths = chosen.select("conv", F.col("msg").alias("leaf"), F.col("hops").alias("depth"), "msg")
-    for k, jump in enumerate(jumps[:-1]):
+    for k, jump in reversed(list(enumerate(jumps[:-1]))):
         far = jump.select(F.col("conv").alias("c2"), F.col("msg").alias("m2"), F.col("up"))
         paths = paths.join(far, F.col("conv").eqNullSafe(F.col("c2")) & (F.col("msg") == F.col("m2"))).select(
             "conv", "leaf",
@@ -140,8 +141,8 @@ def format_chats(messages: DataFrame, branches: int = 1) -> DataFrame:
 def parse_turns(formatted: Column) -> Column:
     """array<struct<segment, role, text>> back from a formatted string."""
     inner = F.substring(formatted, 4, F.length(formatted) - 7)
-    # a turn ends where its closing tag does; "[" occurs in tags only
-    segments = F.filter(F.split(inner, r"(?<=\[/[^\[\]]{1,4096}\])"), lambda s: s != "")
+    # "[" occurs in tags only, so "][" is where one turn's closing tag meets the next turn's opening tag
+    segments = F.split(inner, r"(?<=\])(?=\[)")
 
     def turn(s: Column) -> Column:
         tag = F.substring_index(F.substring_index(s, "]", 1), "[", -1)
