@@ -66,13 +66,12 @@ def branch_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         far = nodes.select(
             F.col("conv").alias("c2"), F.col("msg").alias("m2"), F.col("up").alias("up2"), F.col("total").alias("t2"), F.col("hops").alias("h2")
         )
-        nodes = stage(
-            nodes.join(far, F.col("conv").eqNullSafe(F.col("c2")) & (F.col("up") == F.col("m2")), "left").select(
-                "conv", "msg", F.col("up2").alias("up"), (F.col("total") + F.coalesce("t2", F.lit(0.0))).alias("total"),
-                (F.col("hops") + F.coalesce("h2", F.lit(0))).alias("hops"),
-            ),
-            "chat-jumps",
+        # messages whose path has reached the root stay as they are
+        moved = nodes.where("up is not null").join(far, F.col("conv").eqNullSafe(F.col("c2")) & (F.col("up") == F.col("m2")), "left").select(
+            "conv", "msg", F.col("up2").alias("up"), (F.col("total") + F.coalesce("t2", F.lit(0.0))).alias("total"),
+            (F.col("hops") + F.coalesce("h2", F.lit(0))).alias("hops"),
         )
+        nodes = stage(moved.unionByName(nodes.where("up is null")), "chat-jumps")
         jumps.append(nodes)
     parents = jumps[0].where("up is not null").select(F.col("conv").alias("c2"), F.col("up").alias("m2")).distinct()
     leaves = nodes.join(parents, F.col("conv").eqNullSafe(F.col("c2")) & (F.col("msg") == F.col("m2")), "left_anti")
