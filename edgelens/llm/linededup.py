@@ -6,7 +6,9 @@ of a line, the one with the smallest hash is selected. A repeated run of THRESHO
 the grams that can be selected at its first line, in each of its copies, so its copies share a selected
 gram: winnowing's guarantee. Each selected gram is joined with the first occurrence of the same gram, in
 order of (id, position), and the match is extended line by line both ways; matches of at least THRESHOLD
-words are repeated runs, and their lines are deleted from the later place.
+words are repeated runs, and their lines are deleted from the later place. Where a match with the first
+occurrence is shorter, the gram's places are compared again by their runs of THRESHOLD words, so that a run
+first seen in between is found too.
 
 Matches go to one first occurrence, never to all pairs. A line's words are one more than its blanks.
 
@@ -71,32 +73,67 @@ def _agreeing(a: Column, b: Column) -> Column:
     return F.when(first > 0, first - 1).otherwise(F.size(same)).cast("int")
 
 
-def repeated_lines(table: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM) -> DataFrame:
-    """(key, gone): for each document with later repeated runs, the numbers of the lines to delete."""
-    grams = stage(selected_grams(table, threshold, gram), "line-grams")
-    first = grams.groupBy("gram").agg(F.min(F.struct("id", "key", "at")).alias("f"), F.count("*").alias("n")).where("n > 1")
-    links = grams.join(first.select("gram", "f"), "gram").where(F.struct("id", "key", "at") > F.col("f"))
+def first_links(places: DataFrame) -> DataFrame:
+    """(key, at, first_key, first_at): each place (id, key, gram, at) with the first place of its gram."""
+    first = places.groupBy("gram").agg(F.min(F.struct("id", "key", "at")).alias("f"), F.count("*").alias("n")).where("n > 1")
+    links = places.join(first.select("gram", "f"), "gram").where(F.struct("id", "key", "at") > F.col("f"))
     # one link for each diagonal and gram
-    links = links.select("key", "at", F.col("f.key").alias("first_key"), F.col("f.at").alias("first_at")).distinct()
+    return links.select("key", "at", F.col("f.key").alias("first_key"), F.col("f.at").alias("first_at"), "gram").distinct()
+
+
+def extended(links: DataFrame, table: DataFrame, gram: int) -> DataFrame:
+    """(key, gram, from, to, words): the lines on which a link's document agrees with the first place."""
 
     def around(h: Column, at: Column) -> tuple[Column, Column]:
-        forward = F.slice(h, at + 1, F.lit(REACH + GRAM))
+        forward = F.slice(h, at + 1, F.lit(REACH + gram))
         backward = F.reverse(F.slice(h, F.greatest(at - REACH, F.lit(0)) + 1, F.least(at, F.lit(REACH))))
         return forward, backward
 
-    sides = table.select("key", "h")
     f, b = around(F.col("h"), F.col("at"))
-    with_own = links.join(sides, "key").select("key", "at", "first_key", "first_at", f.alias("f1"), b.alias("b1"))
+    words = F.slice("w", F.greatest(F.col("at") - REACH, F.lit(0)) + 1, F.least("at", F.lit(REACH)) + REACH + gram)
+    with_own = links.join(table.select("key", "h", "w"), "key").select("key", "gram", "at", "first_key", "first_at", f.alias("f1"), b.alias("b1"), words.alias("w"))
     f, b = around(F.col("h"), F.col("first_at"))
-    both = with_own.join(sides.withColumnRenamed("key", "first_key"), "first_key").select(
-        "key", "at", "first_key", "first_at", _agreeing(F.col("f1"), f).alias("ahead"), _agreeing(F.col("b1"), b).alias("back")
+    both = with_own.join(table.select(F.col("key").alias("first_key"), "h"), "first_key").select(
+        "key", "gram", "at", _agreeing(F.col("f1"), f).alias("ahead"), _agreeing(F.col("b1"), b).alias("back"), "w"
     )
     # where a document repeats itself the copies may overlap: one period stays before the later copy
-    runs = both.select("key", (F.col("at") - F.col("back")).alias("from"), (F.col("at") + F.col("ahead")).alias("to"))
-    spans = runs.groupBy("key").agg(F.collect_set(F.struct("from", "to")).alias("runs")).join(table.select("key", "w", "at"), "key")
-    long = F.filter("runs", lambda r: F.aggregate(F.slice("w", r["from"] + 1, r["to"] - r["from"]), F.lit(0), lambda s, x: s + x) >= threshold)
-    gone = F.array_distinct(F.flatten(F.transform(long, lambda r: F.slice("at", r["from"] + 1, r["to"] - r["from"]))))
-    return spans.select("key", gone.alias("gone")).where(F.size("gone") > 0)
+    matched = F.slice("w", F.least("at", F.lit(REACH)) - F.col("back") + 1, F.col("back") + F.col("ahead"))
+    return both.select(
+        "key", "gram", (F.col("at") - F.col("back")).alias("from"), (F.col("at") + F.col("ahead")).alias("to"),
+        F.aggregate(matched, F.lit(0), lambda s, x: s + x).alias("words"),
+    )
+
+
+def wider_grams(grams: DataFrame, short: DataFrame, table: DataFrame, threshold: int, gram: int) -> DataFrame:
+    """(id, key, gram, at): at every place of the grams in short, the shortest runs of at least threshold
+    words that start no more than threshold - gram lines before it."""
+    places = grams.join(short.select("gram").distinct(), "gram").select("id", "key", "at").distinct()
+    starts = F.sequence(F.greatest(F.col("at") - (threshold - gram), F.lit(0)), F.col("at"))
+
+    def run(s: Column) -> Column:
+        seen = F.struct(F.lit(0).alias("n"), F.lit(0).alias("lines"))
+        end = F.aggregate(
+            F.slice("w", s + 1, F.lit(threshold)), seen,
+            lambda a, x: F.when(a["n"] >= threshold, a).otherwise(F.struct((a["n"] + x).alias("n"), (a["lines"] + 1).alias("lines"))),
+            lambda a: F.when(a["n"] >= threshold, a["lines"]),
+        )
+        return F.struct(F.xxhash64(F.slice("h", s + 1, end)).alias("gram"), end.alias("lines"), s.alias("at"))
+
+    runs = places.join(table.select("key", "h", "w"), "key").select("id", "key", F.explode(F.transform(starts, run)).alias("r"))
+    return runs.where("r.lines is not null").select("id", "key", "r.gram", "r.at").distinct()
+
+
+def repeated_lines(table: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM) -> DataFrame:
+    """(key, gone): for each document with later repeated runs, the numbers of the lines to delete."""
+    grams = stage(selected_grams(table, threshold, gram), "line-grams")
+    runs = stage(extended(first_links(grams), table, gram), "line-runs")
+    # the first place of a gram may share less than a whole run with a document that repeats another's run
+    short = runs.where(F.col("words") < threshold)
+    wider = stage(wider_grams(grams, short, table, threshold, gram), "line-wider")
+    runs = runs.unionByName(extended(first_links(wider), table, gram)).where(F.col("words") >= threshold)
+    spans = runs.groupBy("key").agg(F.collect_set(F.struct("from", "to")).alias("runs")).join(table.select("key", "at"), "key")
+    gone = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.slice("at", r["from"] + 1, r["to"] - r["from"]))))
+    return spans.select("key", gone.alias("gone"))
 
 
 def dedup_lines(

@@ -177,6 +177,30 @@ def test_line_dedup(spark):
     assert linededup.dedup_lines(docs(spark, ["a"]).limit(0)).count() == 0
 
 
+def brute_line_dedup(texts, threshold=50):
+    """Texts without the lines of runs of threshold words that began earlier, run by run."""
+    seen, out = set(), []
+    for text in texts:
+        lines = [x for x in text.split("\n") if x]
+        gone, own = set(), set()
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                if sum(len(x.split()) for x in lines[a:b]) >= threshold:
+                    own.add(tuple(lines[a:b]))
+                    if tuple(lines[a:b]) in seen:
+                        gone |= set(range(a, b))
+        seen |= own
+        out.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return out
+
+
+def test_line_dedup_finds_runs_first_seen_after_a_shared_gram(spark):
+    a, b, c = line(41, 30), line(42, 30), line(43, 30)
+    texts = ["\n".join(x) for x in ([line(1, 9), a, line(2, 9)], [line(3, 9), a, b], [a, b, line(4, 9)], [c, b, line(5, 9)], [line(6, 9), c, b])]
+    got = [r.text for r in linededup.dedup_lines(docs(spark, texts)).orderBy("doc_id").collect()]
+    assert got == brute_line_dedup(texts) and got[2] == line(4, 9) and got[4] == line(6, 9)
+
+
 # 8 ---------------------------------------------------------------------------------------------
 
 
