@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from http import HTTPStatus
+
 from pyspark.sql import Column, functions as F
 
 # Fixed values of the data model.
@@ -19,6 +21,8 @@ COMPOSED_OUTCOMES = {
 }
 NOT_SHOWN = ["api", "stream"]
 SEVERITIES = ["EMERGENCY", "ALERT", "CRITICAL", "ERROR", "WARNING", "NOTICE", "INFO", "DEBUG"]
+#: Reason phrases whose wording changed; the data model counts the older one.
+OLDER_PHRASES = {413: "Request Entity Too Large", 414: "Request URI Too Long", 416: "Requested Range Not Satisfiable", 422: "Unprocessable Entity"}
 FNV_HIGH, FNV_LOW, FNV_PRIME_LOW = 3421674724, 2216829733, 435
 
 U32 = 0xFFFFFFFF
@@ -136,6 +140,17 @@ def bytes_in(method_: Column, uri: Column, major: Column, minor: Column, headers
     return (F.octet_length(method_) + F.octet_length(uri) + proto + 4 + lines + 2 + F.greatest(length, F.lit(0))).cast("long")
 
 
+def bytes_out(wrote: Column, hijacked: Column, status: Column, headers: Column, body: Column) -> Column:
+    """Status line, headers, blank line and body; 0 where nothing was written or the connection was taken over.
+
+    headers: array<struct<name, value>> without nulls."""
+    phrase = F.lit(0)
+    for code, text in sorted(({s.value: s.phrase for s in HTTPStatus} | OLDER_PHRASES).items()):
+        phrase = F.when(status == code, len(text)).otherwise(phrase)
+    lines = F.aggregate(headers, F.lit(0).cast("long"), lambda n, h: n + F.octet_length(h["name"]) + F.octet_length(h["value"]) + 4)
+    return F.when(~wrote | hijacked, 0).otherwise(len("HTTP/1.1 ") + 3 + 1 + phrase + 2 + lines + 2 + body).cast("long")
+
+
 def challenge_outcome(outcome: Column, reason: Column) -> Column:
     out = F.when((outcome == "failed") & reason.isin(NOT_SHOWN), F.concat(F.lit("not_shown_"), reason))
     for name, reasons in COMPOSED_OUTCOMES.items():

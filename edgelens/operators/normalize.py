@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from edgelens.functions import columns as C
 
@@ -10,10 +10,13 @@ from edgelens.functions import columns as C
 def normalize_requests(requests: DataFrame, salt: str = "salt") -> DataFrame:
     """requests with the derived columns of the data model (minute, status, origin, disposition, ...)."""
     c = F.col
-    headers = F.filter(
-        F.array(*[F.struct(F.lit(n).alias("name"), c(v).alias("value")) for n, v in (("X-Forwarded-For", "xff"), ("User-Agent", "ua"), ("Accept", "accept"))]),
-        lambda h: h["value"].isNotNull(),
-    )
+
+    def headers_of(pairs: dict[str, str]) -> Column:
+        entries = [F.struct(F.lit(n).alias("name"), c(v).alias("value")) for n, v in pairs.items()]
+        return F.filter(F.array(*entries), lambda h: h["value"].isNotNull())
+
+    headers = headers_of({"X-Forwarded-For": "xff", "User-Agent": "ua", "Accept": "accept"})
+    answer = headers_of({"Content-Type": "content_type", "Location": "location"})
     step = requests.withColumns({
         "minute": C.minute(c("end_ts")), "method_norm": C.method(c("method")),
         "status": C.final_status(c("wrote"), c("written_status"), c("err_is_handler"), c("err_status")),
@@ -24,7 +27,7 @@ def normalize_requests(requests: DataFrame, salt: str = "salt") -> DataFrame:
         "front_proxy": C.front_proxy(c("cdn_ip"), c("xff")), "hash_ip": C.hash_ip(c("xff"), c("remote_addr")),
         "challenge": C.challenge_outcome(c("challenge_outcome"), c("challenge_reason")), "source": C.challenge_source(c("challenge_source")),
         "bytes_in": C.bytes_in(c("method"), c("uri"), c("proto_major"), c("proto_minor"), headers, c("content_length")),
-        "bytes_out": F.when(~c("wrote") | c("hijacked"), 0).otherwise(c("body_bytes_out") + 17).cast("long"),
+        "bytes_out": C.bytes_out(c("wrote"), c("hijacked"), c("written_status"), answer, c("body_bytes_out")),
     })
     step = step.withColumns({
         "origin": C.origin(c("block_reason"), c("err_kind"), c("upstream_addr"), c("err_is_handler"), c("retried_response")),

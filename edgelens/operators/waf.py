@@ -15,6 +15,7 @@ MARKER = r"^http=([01]);waf_all=([01]);waf_rule_ids=((?:[1-9][0-9]*(?:,[1-9][0-9
 MARKS = ["[masked]", "[*]", ""]
 DECODE_ROUNDS = 3
 LONG_VALUE = 8
+SCAN_BYTES = 6 * 1024  # past a kept prefix: the longest managed value, each byte escaped
 
 
 def explode_findings(audit: DataFrame) -> DataFrame:
@@ -110,17 +111,37 @@ def redact_url(path_and_query: str, carried: bool, values: list[str], mark: str)
     return f"{out}?{redacted}"
 
 
-def redact(rows: DataFrame, managed: list[tuple[str, str]], uri: str = "uri", text: str = "msg", carried: str = "carried") -> DataFrame:
+def scan_window(text: str, limit: int, mark: str, target: bool = False) -> str:
+    """The part of a path (target: of a path with its query) to redact before it is cut to limit bytes.
+
+    A value of several escape rounds may start in the kept bytes and end past the window; the segment or
+    parameter that the window cuts is therefore masked if it starts within limit and holds an escape."""
+    raw = text.encode()
+    if len(raw) <= limit + SCAN_BYTES:
+        return text
+    window = raw[: limit + SCAN_BYTES].decode(errors="ignore")
+    start = window.rfind("/") + 1
+    if target and "?" in window:
+        start = max(window.index("?"), window.rfind("&")) + 1
+    if len(window[:start].encode()) < limit and re.search("[%&]", window[start:]):
+        return window[:start] + mark
+    return window
+
+
+def redact(
+    rows: DataFrame, managed: list[tuple[str, str]], uri: str = "uri", text: str = "msg", carried: str = "carried", limit: int | None = None
+) -> DataFrame:
     """Masks uri and text. managed: (header name, value) pairs, a bounded dictionary kept in the plan.
 
-    A native test of the decoded characters lets most rows skip Python; an unknown carried state masks all."""
+    A native test of the decoded characters lets most rows skip Python; an unknown carried state masks all.
+    With limit, uri is cut to so many bytes after its scan window was redacted."""
     importable(rows.sparkSession)
     values = sorted({v.strip().lower() for _, v in managed if v.strip()})
     mark = choose_marker(values)
 
     @F.pandas_udf("string")
     def url(u: pd.Series, c: pd.Series) -> pd.Series:
-        return pd.Series([redact_url(a or "", bool(b), values, mark) for a, b in zip(u, c)])
+        return pd.Series([redact_url(scan_window(a or "", limit, mark, target=True) if limit else a or "", bool(b), values, mark) for a, b in zip(u, c)])
 
     @F.pandas_udf("boolean")
     def found(t: pd.Series) -> pd.Series:
@@ -134,6 +155,8 @@ def redact(rows: DataFrame, managed: list[tuple[str, str]], uri: str = "uri", te
 
     known = F.col(carried).isNotNull()
     new_uri = F.when(~known, mark).when(F.col(carried) | suspect(F.col(uri)), url(F.col(uri), F.col(carried))).otherwise(F.col(uri))
+    if limit:
+        new_uri = C.byte_cap(new_uri, limit)
     new_text = F.when(~known | F.col(carried), mark).when(suspect(F.col(text)) & found(F.when(suspect(F.col(text)), F.col(text))), mark).otherwise(F.col(text))
     return rows.withColumns({uri: new_uri, text: new_text})
 

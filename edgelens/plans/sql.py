@@ -45,7 +45,9 @@ facts as (select *, date_trunc('minute', end_ts) as minute, date_trunc('day', en
     case when origin <> 'cluster_proxy_error' or status not between 500 and 599 or wrote or cancelled then '' when err_kind = 'no_upstreams' then 'no_upstreams_available'
       when err_kind = 'dns_timeout' then 'dns_timeout' when err_kind = 'eof' then 'upstream_eof' else 'unknown' end as failure_reason,
     cast(strlen(method) + strlen(uri) + 12 + coalesce(15 + strlen(xff) + 4, 0) + 10 + strlen(ua) + 4 + 6 + strlen(accept) + 4 + 2 + greatest(content_length, 0) as bigint) as bytes_in,
-    cast(case when not wrote or hijacked then 0 else body_bytes_out + 17 end as bigint) as bytes_out,
+    cast(case when not wrote or hijacked then 0 else body_bytes_out + 17 + coalesce(16 + strlen(content_type), 0) + coalesce(12 + strlen(location), 0)
+      + strlen(case written_status when 200 then 'OK' when 301 then 'Moved Permanently' when 404 then 'Not Found' when 500 then 'Internal Server Error' when 501 then 'Not Implemented'
+        when 502 then 'Bad Gateway' when 503 then 'Service Unavailable' when 504 then 'Gateway Timeout' end) end as bigint) as bytes_out,
     {PATH_BUCKET.format(p="uri")} as path_bucket
   from r1)
 """

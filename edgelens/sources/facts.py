@@ -30,6 +30,8 @@ select seq, ts as end_ts, user_id, k, cast(floor(value * 10000 + 0.5) as bigint)
   case when k % 4 = 0 then cast(k * 10 as bigint) else -1 end as content_length,
   k % 11 <> 0 as wrote, case when k % 7 = 0 then 500 + k % 5 when k % 7 = 1 then 404 when k % 7 = 2 then 301 else 200 end as written_status,
   k = 42 as hijacked, cast(floor(value * 100 + 0.5) as bigint) as body_bytes_out,
+  case when k % 7 = 2 then null when k % 3 = 0 then 'application/json' else 'text/html; charset=utf-8' end as content_type,
+  case when k % 7 = 2 then concat('https://shop.example.com/', cast(user_id as string)) else null end as location,
   k % 13 = 0 as err_is_handler, case when k % 26 = 0 then 429 when k % 13 = 0 then 502 else 0 end as err_status,
   case when k % 39 = 0 then 'stop: interruption triggered' when k % 13 = 0 then 'dial failed' else '' end as err_message,
   case when k = 22 then 'no_upstreams' when k % 11 = 0 and k % 13 = 0 then 'dns_timeout' when k % 13 = 0 then 'eof' else '' end as err_kind,
