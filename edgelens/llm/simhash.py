@@ -14,8 +14,9 @@ components over all leaves follow by star contraction.
 
 near_duplicates() links by one fingerprint of shingles. similar_documents() serves a wish for similar texts
 (Jaccard of five-word shingles of 0.8 or more), which differ in far more bits than a tree of 64-bit
-fingerprints can prune: it takes several independent fingerprints of the distinct words, links those that
-differ little in any of them, and keeps the links that the exact similarity confirms.
+fingerprints can prune. To the groups that the tree joins it adds SimHashes of small groups of shingles
+selected by min-hash, of which similar texts share one whatever kind of edit parts them, and keeps the
+links that the exact similarity confirms.
 
 Defined results: null and empty texts and texts without words have fingerprint 0 and are linked as any
 other; equal texts share a fingerprint; repeated rows are rows of the same component; an empty table
@@ -41,6 +42,7 @@ LEAF_ROWS = 4096  # expected members of an upper leaf, while the sample allows
 LEAST_SAMPLE = 32  # sampled members under which a node is not split
 SCAN_ROWS = 256  # members that a node in memory compares with one another
 PART = 1 << 15  # shingles hashed at a time
+GROUP, GROUP_PART = 4, 1 << 12  # shingles of a selected group; shingles ordered at a time
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -257,57 +259,39 @@ def near_duplicates(
     return fps.join(named, "fp").select(F.col("__id").alias(id_col), "fp", "component")
 
 
-def word_fingerprints(text: str | None, seeds: int) -> list[int]:
-    """SimHashes of the text's distinct words, each from other bits of their hashes."""
-    words = sorted(set((text or "").encode("utf-8", "surrogatepass").lower().split()))
-    if not words:
-        return [0] * seeds
-    out: list[int] = []
-    for seed in range(-(-seeds // 2)):
-        ones = np.zeros(128, dtype=np.int64)
-        for i in range(0, len(words), PART):
-            raw = np.frombuffer(b"".join([xxhash.xxh128_digest(w, seed) for w in words[i : i + PART]]), dtype=np.uint8)
-            ones += np.unpackbits(raw).reshape(-1, 128).sum(axis=0, dtype=np.int32)
-        out += np.packbits(2 * ones > len(words)).view(">i8").tolist()
-    return out[:seeds]
-
-
-def shingle_hashes(text: str | None, words: int) -> list[int]:
-    """Distinct 64-bit hashes of the word shingles; a shorter text is one shingle."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """Distinct 64-bit hashes of the word shingles, sorted; a shorter text is one shingle."""
     w = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not w:
-        return []
+        return np.zeros(0, dtype=np.int64)
     shingles = map(b" ".join, zip(*[w[k:] for k in range(words)])) if len(w) >= words else [b" ".join(w)]
     raw = b"".join([xxhash.xxh64_digest(x, SEED) for x in set(shingles)])
-    return np.frombuffer(raw, dtype=">i8").tolist()
-
-
-def similar_documents(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, seeds: int = 6, radius: int = 3, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """(id, component): groups of documents joined by links of at least the similarity; the component is the
-    smallest id. Equal texts are one document; texts without words are similar to each other."""
+    return np.unique(np.frombuffer(raw, dtype=">i8").astype(np.int64))
 
-    def maker():
-        def run(texts: pa.Array):
-            return [pa.array([word_fingerprints(t.as_py(), seeds) for t in texts], type=pa.list_(pa.int64()))]
 
-        return run
+def group_fingerprints(hashes: np.ndarray, groups: int) -> list[int]:
+    """SimHashes of groups of GROUP shingles, each shingle the least of all under an order of its own.
 
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    same = F.xxhash64("text", F.length("text"))
-    ids = stage(append_columns(rows.select("id", same.alias("same"), "text"), ["text"], [("fps", "array<long>")], maker).select("id", "same", "fps"), "similar-ids")
-    reps = stage(ids.groupBy("same").agg(F.min(F.struct("id", "fps")).alias("r")).select("same", "r.id", "r.fps"), "similar-reps")
-    each = reps.select("id", F.posexplode("fps").alias("seed", "fp"))
-    named = stage(each.groupBy("seed", "fp").agg(F.min("id").alias("first")), "similar-fps")
-    near = links(named.select("seed", "fp"), radius)
-    left, right = named.select("seed", F.col("fp").alias("a"), F.col("first").alias("x")), named.select("seed", F.col("fp").alias("b"), F.col("first").alias("y"))
-    pairs = near.join(left, ["seed", "a"]).join(right, ["seed", "b"]).select("x", "y")
-    shared = each.join(named, ["seed", "fp"]).where("id <> first").select(F.col("id").alias("x"), F.col("first").alias("y"))
-    pairs = pairs.unionByName(shared).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x <> y")
-    pairs = stage(pairs.distinct(), "similar-pairs")
-    # the exact check: shingles of the documents in a pair
-    asked = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct()
+    Two sets agree in a shingle with their Jaccard similarity J as the probability, wherever they differ,
+    and so share one of the fingerprints with 1 - (1 - J**GROUP)**groups at least."""
+    if not len(hashes):
+        return []
+    rnd = np.random.default_rng(SEED)
+    mask, factor = rnd.integers(0, 2**64, size=(2, groups * GROUP, 1), dtype=np.uint64)
+    best, picks = None, None
+    for i in range(0, len(hashes), GROUP_PART):
+        part = hashes[i : i + GROUP_PART].view(np.uint64)
+        order = (part[None, :] ^ mask) * (factor | np.uint64(1))
+        at = order.argmin(axis=1)
+        low, own = order[np.arange(len(at)), at], part[at]
+        best, picks = (low, own) if best is None else (np.minimum(best, low), np.where(low < best, own, picks))
+    a, b, c, d = picks.reshape(groups, GROUP).T
+    return ((a & b & (c | d)) | (c & d & (a | b))).view(np.int64).tolist()
+
+
+def confirmed(pairs: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Of the pairs (x, y) of keys those whose texts have at least the similarity. rows: (key, text)."""
+    asked = pairs.select(F.explode(F.array("x", "y")).alias("key")).distinct()
 
     def exact():
         def run(texts: pa.Array):
@@ -315,13 +299,53 @@ def similar_documents(
 
         return run
 
-    texts = rows.join(asked, "id", "left_semi").dropDuplicates(["id"])
-    sets = stage(append_columns(texts, ["text"], [("s", "array<long>")], exact).select("id", "s"), "similar-shingles")
-    one, other = sets.select(F.col("id").alias("x"), F.col("s").alias("sx")), sets.select(F.col("id").alias("y"), F.col("s").alias("sy"))
+    texts = rows.select("key", "text").join(asked, "key", "left_semi").dropDuplicates(["key"])
+    sets = stage(append_columns(texts, ["text"], [("s", "array<long>")], exact).select("key", "s"), "similar-shingles")
+    one, other = sets.select(F.col("key").alias("x"), F.col("s").alias("sx")), sets.select(F.col("key").alias("y"), F.col("s").alias("sy"))
     both = F.size(F.array_intersect("sx", "sy"))
-    joined = pairs.join(one, "x").join(other, "y")
     close = (both >= similarity * (F.size("sx") + F.size("sy") - both)).alias("close")
-    edges = joined.where(close).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    root = components(edges).select(F.col("node").alias("id"), "root")
-    of_text = reps.select("same", "id").join(root, "id", "left").select("same", F.coalesce("root", "id").alias("component"))
-    return ids.select("id", "same").join(of_text, "same").select(F.col("id").alias(id_col), "component")
+    return stage(pairs.join(one, "x").join(other, "y").where(close).select(F.col("x").alias("a"), F.col("y").alias("b")), "similar-edges")
+
+
+def similar_groups(
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, groups: int = 16, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(key, id, root): the documents, by a hash of id and text, and the groups that links of at least the
+    similarity join. Texts with equal shingles are one node; texts without words are similar to each other."""
+
+    def maker():
+        def run(texts: pa.Array):
+            sets = [shingle_hashes(t.as_py(), words) for t in texts]
+            return [
+                pa.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) - 2**63 for s in sets], type=pa.int64()),
+                pa.array([len(s) for s in sets], type=pa.int32()),
+                pa.array([group_fingerprints(s, groups) for s in sets], type=pa.list_(pa.int64())),
+            ]
+
+        return run
+
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    ids = append_columns(rows, ["text"], [("same", "long"), ("n", "int"), ("fps", "array<long>")], maker)
+    ids = stage(ids.select("id", "key", "same", "n", "fps"), "similar-ids")
+    nodes = ids.groupBy("same").agg(F.min(F.struct("key", "n", "fps")).alias("r")).select("same", "r.*")
+    nodes = stage(nodes.withColumnRenamed("key", "node"), "similar-nodes")
+    # buckets: a shared fingerprint of a group, or a component of the trees
+    each = nodes.select("node", "n", F.posexplode("fps").alias("seed", "fp")).select(F.xxhash64("seed", "fp").alias("bucket"), "node", "n")
+    trees = near_duplicates(rows, id_col="key").select(F.col("key").alias("node"), F.xxhash64(F.lit(-1), "component").alias("bucket")).distinct()
+    each = each.unionByName(nodes.join(trees, "node").select("bucket", "node", "n"))
+    shared = each.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("first")).where("size > 1")
+    members = stage(each.join(shared, "bucket"), "similar-buckets")
+    pairs = members.where("node <> first").select(F.col("first").alias("x"), F.col("node").alias("y")).distinct()
+    edges = confirmed(stage(pairs, "similar-pairs"), rows, words, similarity)
+    root = components(edges)
+    named = nodes.select("same", "node").join(root, "node", "left").select("same", F.coalesce("root", "node").alias("root"))
+    return ids.select("key", "id", "same").join(named, "same").select("key", "id", "root")
+
+
+def similar_documents(
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, groups: int = 16, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(id, component) of similar_groups(): the component is the smallest id."""
+    out = stage(similar_groups(docs, words, similarity, groups, id_col, text_col), "similar-groups")
+    smallest = out.groupBy("root").agg(F.min("id").alias("component"))
+    return out.join(smallest, "root").select(F.col("id").alias(id_col), "component")

@@ -281,3 +281,30 @@ def test_pipeline_stages(spark):
     out = corpus_pipeline.run(spark, SF)
     assert {"token_ids", "n_tokens"} <= set(out.columns) and out.where("size(token_ids) <> n_tokens").count() == 0
     assert 0 < out.count() < 2 * d.count()
+
+
+def plain_shingles(text, k=5):
+    w = (text or "").lower().split()
+    return {" ".join(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+
+
+def plain_groups(texts, least=0.8):
+    """The smallest index of each text's group, by comparing all pairs."""
+    sets, root = [plain_shingles(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return root
+
+
+def edits(i):
+    w, new = line(500 + i, 300).split(), line(700 + i, 60).split()
+    return [" ".join(x) for x in (w, w[:250], w[48:], w + new, new[:50] + w, w[:130] + new[:24] + w[154:], w[:90] + w[120:])]
+
+
+def test_similar_documents_finds_contiguous_edits(spark):
+    texts = [t for i in range(30) for t in (edits(i)[0], edits(i)[1 + i % 6])]
+    got = {r.doc_id: r.component for r in simhash.similar_documents(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == plain_groups(texts) and len(set(got.values())) == 30
