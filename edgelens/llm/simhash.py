@@ -333,10 +333,24 @@ def similar_groups(
     each = nodes.select("node", "n", F.posexplode("fps").alias("seed", "fp")).select(F.xxhash64("seed", "fp").alias("bucket"), "node", "n")
     trees = near_duplicates(rows, id_col="key").select(F.col("key").alias("node"), F.xxhash64(F.lit(-1), "component").alias("bucket")).distinct()
     each = each.unionByName(nodes.join(trees, "node").select("bucket", "node", "n"))
-    shared = each.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("first")).where("size > 1")
-    members = stage(each.join(shared, "bucket"), "similar-buckets")
-    pairs = members.where("node <> first").select(F.col("first").alias("x"), F.col("node").alias("y")).distinct()
-    edges = confirmed(stage(pairs, "similar-pairs"), rows, words, similarity)
+    shared = each.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("first"), F.min_by("node", F.xxhash64("bucket", "node")).alias("other"))
+    members = stage(each.join(shared.where("size > 1"), "bucket"), "similar-buckets")
+    # the exact check with one member of a bucket, in large ones with two, joins what most buckets hold
+    stars = members.withColumn("center", F.explode(F.when(F.col("size") > SCAN_ROWS, F.array("first", "other")).otherwise(F.array("first"))))
+    pairs = stars.select(F.least("center", "node").alias("x"), F.greatest("center", "node").alias("y")).where("x <> y").distinct()
+    pairs = stage(pairs, "similar-pairs")
+    edges = confirmed(pairs, rows, words, similarity)
+    # and all pairs of a bucket that are not joined by confirmed links yet, unless their sizes forbid it
+    parts = members.select("bucket", "size", "node", "n").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    parts = stage(parts, "similar-parts")
+    split = parts.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
+    blocks = F.ceil(F.col("size") / SCAN_ROWS).cast("int")
+    parts = parts.join(split, "bucket").withColumn("blocks", blocks)
+    one = parts.select("bucket", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
+    other = parts.select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
+    apart = (F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & (F.least("nx", "ny") >= similarity * F.greatest("nx", "ny"))
+    rest = one.join(other, ["bucket", "block"]).where(apart).select("x", "y").distinct().join(pairs, ["x", "y"], "left_anti")
+    edges = edges.unionByName(confirmed(stage(rest, "similar-rest"), rows, words, similarity))
     root = components(edges)
     named = nodes.select("same", "node").join(root, "node", "left").select("same", F.coalesce("root", "node").alias("root"))
     return ids.select("key", "id", "same").join(named, "same").select("key", "id", "root")

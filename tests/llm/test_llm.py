@@ -308,3 +308,11 @@ def test_similar_documents_finds_contiguous_edits(spark):
     texts = [t for i in range(30) for t in (edits(i)[0], edits(i)[1 + i % 6])]
     got = {r.doc_id: r.component for r in simhash.similar_documents(docs(spark, texts)).collect()}
     assert [got[i] for i in range(len(texts))] == plain_groups(texts) and len(set(got.values())) == 30
+
+
+def test_similar_documents_checks_before_thinning(spark):
+    w = line(900, 400).split()
+    chain = [" ".join(w[k : k + 200]) for k in range(0, 200, 18)]  # neighbours are similar, others are not
+    texts = ["ok", " ".join(["ok"] * 10), " ".join(["ok"] * 20), *chain, *[t for i in range(6) for t in edits(i)]]
+    got = {r.doc_id: r.component for r in simhash.similar_documents(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == plain_groups(texts) and got[0] == 0 and got[2] == 1
