@@ -2,7 +2,8 @@
 
 A source with n documents and weight w out of W of a target of T documents is to be repeated
 w / W * T / n times on the mean. A document's count is the Poisson quantile, with that mean, of a uniform
-number hashed from (seed, doc_id, source): the same on every run and for every partitioning. Documents
+number hashed from (seed, doc_id, source): the same on every run and for every partitioning. A mean above
+MAX_RATE is split evenly into several draws of their own, which are added: a sum of Poisson counts is one. Documents
 are exploded by their count and dealt anew by a hash of (seed, doc_id, copy), so neighbours are unrelated.
 
 Defined results: null sources form one source of their own; a source without a weight takes
@@ -17,7 +18,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from edgelens.runtime import stage
 
 BROADCAST_SOURCES = 10_000
-MAX_RATE = 500.0
+MAX_RATE = 500.0  # mean of one draw
+EXPLODED = 1024  # copies made at a time
 
 
 def uniform(*parts: Column) -> Column:
@@ -42,7 +44,9 @@ def rates(docs: DataFrame, weights: dict[str, float], default_weight: float, tar
 
 
 def poisson_steps(table: DataFrame) -> DataFrame:
-    """rates with __cdf: P(count <= k) for k = 0, 1, ... until what is left is below 1e-12."""
+    """rates by draw with __draws and __cdf: P(count <= k) of a draw for k = 0, 1, ... until what is left is below 1e-12."""
+    draws = F.greatest(F.ceil(F.col("__rate") / MAX_RATE), F.lit(1)).cast("int")
+    table = table.withColumn("__draws", draws).withColumn("__rate", F.col("__rate") / F.col("__draws"))
     last = F.ceil(F.col("__rate") + 10 * F.sqrt("__rate") + 20).cast("int")
     start = F.struct(
         F.exp(-F.col("__rate")).alias("p"), F.exp(-F.col("__rate")).alias("c"), F.array(F.exp(-F.col("__rate"))).alias("all")
@@ -59,33 +63,37 @@ def mix(
     docs: DataFrame, weights: dict[str, float] | None = None, default_weight: float = 1.0, target: float | None = None,
     seed: int = 17, id_col: str = "doc_id", source_col: str = "source", copy_col: str = "copy",
 ) -> DataFrame:
-    """docs, each repeated by its Poisson count and dealt out at random, with copy_col from 0.
-
-    Rates above MAX_RATE raise an error: a source is then far too small for its weight.
-    """
+    """docs, each repeated by its Poisson count and dealt out at random, with copy_col from 0."""
     table = stage(poisson_steps(rates(docs, weights or {}, default_weight, target, source_col)), "source-rates")
-    facts = table.agg(F.count("*").alias("n"), F.max("__rate").alias("top")).first()
-    if (facts["top"] or 0) > MAX_RATE:
-        raise ValueError(f"a source would be repeated {facts['top']:.0f} times; the most allowed is {MAX_RATE:.0f}")
+    n_sources = table.count()
     copies = "__copy"
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != copy_col.lower()]
     keyed = docs.select(
         *kept, F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("__source"),
         uniform(F.lit(seed), F.col(id_col), F.col(source_col)).alias("__u"),
     )
-    if facts["n"] <= BROADCAST_SOURCES:
+    if n_sources <= BROADCAST_SOURCES:
         joined = keyed.join(F.broadcast(table), "__source")
     else:  # a hot source is spread over salts
         salts = 64
         joined = keyed.withColumn("__salt", (F.col("__u") * salts).cast("int")).join(
             table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["__source", "__salt"]
         )
-    count = F.aggregate("__cdf", F.lit(0), lambda n, c: n + (c <= F.col("__u")).cast("int"))
+    def drawn(u: Column) -> Column:
+        return F.aggregate("__cdf", F.lit(0), lambda n, c: n + (c <= u).cast("int"))
+
+    more = F.aggregate(  # the draws after the first
+        F.sequence(F.lit(1), F.col("__draws") - 1), F.lit(0),
+        lambda n, i: n + drawn(uniform(F.lit(seed), F.col(id_col), F.col(source_col), i)),
+    )
+    count = drawn(F.col("__u")) + F.when(F.col("__draws") > 1, more).otherwise(0)
+    run = F.sequence(F.col("__from"), F.least(F.col("__from") + EXPLODED, F.col("__count")) - 1)
     return (
         joined.where(F.col("__rate") > 0)
         .withColumn("__count", count)
         .where(F.col("__count") > 0)
-        .select(*kept, F.explode(F.sequence(F.lit(0), F.col("__count") - 1)).alias(copies))
+        .withColumn("__from", F.explode(F.sequence(F.lit(0), F.col("__count") - 1, F.lit(EXPLODED))))
+        .select(*kept, F.explode(run).alias(copies))
         .withColumn("__deal", F.xxhash64(F.lit(seed), F.col(id_col), F.col(copies)))
         .repartition("__deal")
         .sortWithinPartitions("__deal")

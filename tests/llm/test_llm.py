@@ -316,3 +316,13 @@ def test_similar_documents_checks_before_thinning(spark):
     texts = ["ok", " ".join(["ok"] * 10), " ".join(["ok"] * 20), *chain, *[t for i in range(6) for t in edits(i)]]
     got = {r.doc_id: r.component for r in simhash.similar_documents(docs(spark, texts)).collect()}
     assert [got[i] for i in range(len(texts))] == plain_groups(texts) and got[0] == 0 and got[2] == 1
+
+
+
+
+def test_mixing_of_a_rare_source_in_a_large_table(spark):
+    d = spark.range(24000).select(F.col("id").alias("doc_id"), F.when(F.col("id") > 0, F.concat(F.lit("s"), F.col("id") % 19)).alias("source"))
+    out = mixing.mix(d).select("doc_id", "source", "copy")
+    own = sorted(r["copy"] for r in out.where("source is null").collect())
+    assert own == list(range(len(own))) and 1000 < len(own) < 1400 and 23000 < out.count() < 25000
+    assert own == sorted(r["copy"] for r in mixing.mix(d.repartition(5)).where("source is null").collect())
