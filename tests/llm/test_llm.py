@@ -318,6 +318,15 @@ def test_similar_documents_checks_before_thinning(spark):
     assert [got[i] for i in range(len(texts))] == plain_groups(texts) and got[0] == 0 and got[2] == 1
 
 
+def test_near_dedup_of_null_and_repeated_ids(spark):
+    import corpus_pipeline
+
+    a, b, c, d = (line(i, 100) for i in range(800, 804))
+    rows = [(None, a), (None, b), (1, c), (1, d), (2, c + " more"), (None, a), (3, b)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_duplicates(spark, df, SF).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, a), (3, b), (1, c), (1, d)], key=str)
+
 
 
 def test_mixing_of_a_rare_source_in_a_large_table(spark):
