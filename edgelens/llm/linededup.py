@@ -10,7 +10,8 @@ words are repeated runs, and their lines are deleted from the later place. Where
 occurrence is shorter, the gram's places are compared again by their runs of THRESHOLD words, so that a run
 first seen in between is found too.
 
-Matches go to one first occurrence, never to all pairs. A line's words are one more than its blanks.
+Matches go to one first occurrence, never to all pairs. A line's words stand between Unicode white space; a line
+without words is blank.
 
 Defined results: null text stays null; a text of which every line is repeated becomes empty, its row
 stays; the first occurrence in order of (id, text hash, line) always stays, in one document too; rows with
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from edgelens.runtime import stage
 
 THRESHOLD, GRAM = 50, 25
+WHITE = r"(?U)\s+"  # Unicode white space, no-break spaces too
 REACH = 64  # non-blank lines that extension looks at on each side, more than THRESHOLD words have
 
 
@@ -35,13 +37,10 @@ def _key(id_col: str, text_col: str) -> Column:
 
 def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, key, h, w, at): hashes, word counts and places of each document's non-blank lines."""
-    lines = F.transform(F.split(F.col(text_col), "\n", -1), lambda x, i: F.struct(F.trim(x).alias("t"), i.alias("i")))
-    kept = F.filter(lines, lambda x: x["t"] != "")
-    words = F.transform(kept, lambda x: F.struct(
-        F.xxhash64(x["t"]).alias("h"),
-        (F.octet_length(x["t"]) - F.octet_length(F.replace(x["t"], F.lit(" "), F.lit(""))) + 1).alias("w"),
-        x["i"].alias("at"),
+    lines = F.transform(F.split(F.col(text_col), "\n", -1), lambda x, i: F.struct(
+        F.xxhash64(F.trim(x)).alias("h"), F.size(F.filter(F.split(x, WHITE), lambda t: t != "")).alias("w"), i.alias("at"),
     ))
+    words = F.filter(lines, lambda x: x["w"] > 0)
     rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), _key(id_col, text_col).alias("key"), words.alias("x"))
     return rows.where(F.size("x") > 0).select("id", "key", F.col("x.h").alias("h"), F.col("x.w").alias("w"), F.col("x.at").alias("at")).dropDuplicates(["key"])
 

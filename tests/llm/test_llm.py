@@ -328,6 +328,13 @@ def test_near_dedup_of_null_and_repeated_ids(spark):
     assert sorted(map(tuple, got), key=str) == sorted([(None, a), (3, b), (1, c), (1, d)], key=str)
 
 
+def test_line_dedup_counts_words_between_white_space(spark):
+    tabs, wide, rest = line(61, 60).replace(" ", "\t"), line(62, 30).replace(" ", "   "), line(63, 55).replace(" ", "\u00a0")
+    tsv = "\n".join(line(64 + i, 6).replace(" ", "\t") for i in range(12))
+    texts = ["\n".join(x) for x in ([line(1, 9), tabs], [tabs, line(2, 9)], [wide, line(3, 9)], [line(4, 9), wide], [rest, "a"], ["b", rest], [tsv, "c"], ["d", tsv])]
+    got = [r.text for r in linededup.dedup_lines(docs(spark, texts)).orderBy("doc_id").collect()]
+    assert got == brute_line_dedup(texts) and got[1] == line(2, 9) and got[3] == texts[3] and got[5] == "b" and got[7] == "d"
+
 
 def test_mixing_of_a_rare_source_in_a_large_table(spark):
     d = spark.range(24000).select(F.col("id").alias("doc_id"), F.when(F.col("id") > 0, F.concat(F.lit("s"), F.col("id") % 19)).alias("source"))
