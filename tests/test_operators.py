@@ -1,5 +1,7 @@
+import itertools
 import math
 
+import pandas as pd
 import pytest
 from pyspark.sql import Row, functions as F
 
@@ -132,6 +134,33 @@ def test_latency_score_arithmetic(spark):
     assert math.isclose(got[2], 0.2 * 2000 + 0.8 * 500) and got[3] == 5_000_000 and set(got) == {1, 2, 3}
 
 
+def test_long_series_of_one_key_against_a_plain_fold(spark):
+    n = 100_000
+    us, dt = [1000 + i * 7919 % 5000 for i in range(n)], [700.0 if i % 9000 == 8999 else float(i % 40) for i in range(n)]
+    at = list(itertools.accumulate(dt))
+    df = spark.createDataFrame(pd.DataFrame({"dial": "u", "t": range(n), "ts": at, "latency_us": us, "status": 200})).withColumn("ts", F.timestamp_seconds("ts"))
+    want = []
+    for x, d in zip(us, dt):
+        want.append(float(x) if not want or d > 600 else 0.2 * x + 0.8 * want[-1] * 0.5 ** (d / 30))
+    got = [r.score for r in series.latency_scores(df).orderBy("t").collect()]
+    assert len(got) == n and all(math.isclose(a, b) for a, b in zip(got, want))
+    rates = df.select(F.col("dial").alias("machine_id"), "t", F.col("latency_us").alias("steal_permille"), F.lit(1.5).alias("dt"))
+    last, gain = None, 1 - math.exp(-0.15)
+    for x, r in zip(us, series.throttle_ewma(rates).orderBy("t").collect()):
+        last = float(x) if last is None else last + gain * (x - last)
+        assert math.isclose(r.ewma, last)
+
+
+def test_overload_levels_stream_over_machines(spark):
+    row = lambda m, t: (m, t, float(t), 400, 1.0, 400.0, 0.0, False, t * 10, t * 1000)
+    rows = [row(m, t) for t in range(30) for m in ("a", "b", None)]
+    df = spark.createDataFrame(rows, "machine_id string, t long, seconds double, steal_permille long, busy double, ewma double, sched_s double, hard_cap_hit boolean, completions long, latency_ns long")
+    out = series.overload_levels(df.repartition(5))
+    assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().toString()
+    got = {(r.machine_id, r.t): r.level for r in out.collect()}
+    assert got == {(m, t): 2 if t >= 2 else 0 for m in ("a", "b", None) for t in range(30)}
+
+
 def test_batch_round_trip_and_empty_batch(spark, tmp_path):
     df = spark.createDataFrame([(1, None, "a"), (2, 0, "b")], "k long, n long, s string")
     assert batches.write_batch({"x": df, "y": df.limit(0)}, str(tmp_path / "b"))
