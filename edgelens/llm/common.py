@@ -5,15 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from edgelens.runtime import importable
 
+#: Rows of one key that a task takes in a join, while the table has fewer than HOT_KEYS times as many.
+HOT_ROWS, HOT_KEYS = 256, 1024
+
 
 #: Rows whose results a task holds at a time.
 SLICE_ROWS = 1024
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """128 bits that name a document: rows with equal id and text are one. Nulls differ from empty values."""
+    own, text = F.col(id_col).cast("string"), F.col(text_col)
+    name = F.coalesce(F.concat(F.length(own).cast("string"), F.lit(":"), own), F.lit("-"))
+    return F.unhex(F.md5(F.concat(name, F.coalesce(F.concat(F.lit("+"), text), F.lit("-")))))
+
+
+def hot_limit(rows: int) -> int:
+    """Keys with more rows than this are hot; there are fewer than HOT_KEYS of them, so they may be broadcast."""
+    return max(HOT_ROWS, rows // HOT_KEYS)
+
+
 def append_columns(
     df: DataFrame, inputs: list[str], schema: list[tuple[str, str]], maker: Callable[[], Callable]
 ) -> DataFrame:

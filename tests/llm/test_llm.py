@@ -328,6 +328,59 @@ def test_near_dedup_of_null_and_repeated_ids(spark):
     assert sorted(map(tuple, got), key=str) == sorted([(None, a), (3, b), (1, c), (1, d)], key=str)
 
 
+def plain_line_dedup(texts, threshold=50):
+    """Texts in order without the lines that stand in a run of threshold words which begins at an earlier place too."""
+    first, out = {}, []
+    for d, text in enumerate(texts):
+        rows = (text or "").split("\n")
+        at = [i for i, x in enumerate(rows) if x.split()]
+        lines, w, gone = [rows[i].strip(" ") for i in at], [len(rows[i].split()) for i in at], set()
+        for a in range(len(lines)):
+            n = 0
+            for b in range(a, len(lines)):
+                n += w[b]
+                if n - w[a] >= threshold and n - w[b] >= threshold:
+                    break
+                if n >= threshold and first.setdefault("\n".join(lines[a : b + 1]), (d, a)) < (d, a):
+                    gone |= set(at[a : b + 1])
+        out.append(None if text is None else "\n".join(x for i, x in enumerate(rows) if i not in gone))
+    return out
+
+
+def test_line_dedup_of_all_documents(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()
+    got = linededup.dedup_lines(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).orderBy("doc_id").collect()
+    want = plain_line_dedup([r.text for r in rows])
+    assert [r.text for r in got] == want and sum(a != b.text for a, b in zip(want, rows)) > 20
+
+
+def test_line_dedup_of_branching_runs(spark):
+    """Passages cut and joined at random, so that heads and tails of runs have first places of their own."""
+    rnd = random.Random(8)
+    pool = [line(2000 + i, rnd.choice([1, 3, 8, 14, 30, 55])) for i in range(30)]
+    texts = []
+    for _ in range(120):
+        x = []
+        for _ in range(rnd.randrange(1, 5)):
+            a = rnd.randrange(30)
+            x += pool[a : a + rnd.randrange(1, 12)] + ([line(rnd.random(), 6)] if rnd.random() < 0.5 else [""])
+        texts.append("\n".join(x))
+    got = [r.text for r in linededup.dedup_lines(docs(spark, texts)).orderBy("doc_id").collect()]
+    assert got == plain_line_dedup(texts)
+
+
+def test_line_dedup_edges(spark):
+    """Very long text, repeated rows, null ids, a clashing column."""
+    big = "\n".join(line(i, 9) for i in range(3000))
+    rows = [(1, big), (1, big), (None, big), (2, "own\n" + big + "\nend"), (3, None), (3, "")]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, N_lines_removed string")
+    got = linededup.dedup_lines(df)
+    assert got.columns == ["doc_id", "text", "n_lines_removed"]
+    got = sorted([(r.doc_id, r.text, r.n_lines_removed) for r in got.collect()], key=repr)
+    # the null id comes first and keeps the passage
+    assert got == sorted([(1, "", 3000), (1, "", 3000), (None, big, 0), (2, "own\nend", 3000), (3, None, 0), (3, "", 0)], key=repr)
+
+
 def test_line_dedup_counts_words_between_white_space(spark):
     tabs, wide, rest = line(61, 60).replace(" ", "\t"), line(62, 30).replace(" ", "   "), line(63, 55).replace(" ", "\u00a0")
     tsv = "\n".join(line(64 + i, 6).replace(" ", "\t") for i in range(12))
