@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from edgelens.llm.common import append_columns
+from edgelens.llm.common import append_columns, hot_limit, row_key
 from edgelens.runtime import importable, stage
 
 SEED = 42
@@ -215,11 +215,11 @@ def links(fingerprints: DataFrame, radius: int = 2) -> DataFrame:
     return routed.groupBy("seed", "leaf").applyInPandas(inside, "seed int, a long, b long")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each component, for nodes on an edge (a, b).
 
-    Alternates large-star and small-star contraction until nothing changes: O(log^2 n) rounds whatever
-    the diameter, and the edges never grow in number.
+    Alternates large-star and small-star contraction until nothing changes, however many rounds that takes
+    (O(log^2 n) whatever the diameter); the edges never grow in number.
     """
     edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "cc-edges")
 
@@ -227,9 +227,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         return e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
     seen = mark(edges)
-    for _ in range(rounds):
-        if not seen[0]:
-            break
+    while seen[0]:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -259,14 +257,16 @@ def near_duplicates(
     return fps.join(named, "fp").select(F.col("__id").alias(id_col), "fp", "component")
 
 
-def shingle_hashes(text: str | None, words: int) -> np.ndarray:
-    """Distinct 64-bit hashes of the word shingles, sorted; a shorter text is one shingle."""
+def shingle_set(text: str | None, words: int) -> tuple[np.ndarray, bytes]:
+    """Distinct 64-bit hashes of the word shingles, sorted, and 128 bits that name the set; a shorter text is one shingle."""
     w = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not w:
-        return np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.int64), bytes(16)
     shingles = map(b" ".join, zip(*[w[k:] for k in range(words)])) if len(w) >= words else [b" ".join(w)]
-    raw = b"".join([xxhash.xxh64_digest(x, SEED) for x in set(shingles)])
-    return np.unique(np.frombuffer(raw, dtype=">i8").astype(np.int64))
+    digest = xxhash.xxh3_128_digest
+    both = np.frombuffer(b"".join([digest(x, SEED) for x in set(shingles)]), dtype="<i8").reshape(-1, 2)
+    both = both[np.argsort(both[:, 0])]
+    return both[:, 0].copy(), digest(both.tobytes(), SEED)
 
 
 def group_fingerprints(hashes: np.ndarray, groups: int) -> list[int]:
@@ -290,42 +290,53 @@ def group_fingerprints(hashes: np.ndarray, groups: int) -> list[int]:
 
 
 def confirmed(pairs: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Of the pairs (x, y) of keys those whose texts have at least the similarity. rows: (key, text)."""
-    asked = pairs.select(F.explode(F.array("x", "y")).alias("key")).distinct()
+    """Of the pairs (x, y) of keys those whose texts have at least the similarity. rows: (key, text).
+
+    The few keys of very many pairs have their shingles copied, a copy for each part of their pairs, so that no
+    task takes all pairs of one text."""
+    asked = pairs.select(F.explode(F.array("x", "y")).alias("key")).groupBy("key").agg(F.count("*").alias("asked"))
+    limit = hot_limit(2 * pairs.count())
 
     def exact():
         def run(texts: pa.Array):
-            return [pa.array([shingle_hashes(t.as_py(), words) for t in texts], type=pa.list_(pa.int64()))]
+            return [pa.array([shingle_set(t.as_py(), words)[0] for t in texts], type=pa.list_(pa.int64()))]
 
         return run
 
-    texts = rows.select("key", "text").join(asked, "key", "left_semi").dropDuplicates(["key"])
-    sets = stage(append_columns(texts, ["text"], [("s", "array<long>")], exact).select("key", "s"), "similar-shingles")
-    one, other = sets.select(F.col("key").alias("x"), F.col("s").alias("sx")), sets.select(F.col("key").alias("y"), F.col("s").alias("sy"))
+    texts = rows.select("key", "text").join(asked, "key").dropDuplicates(["key"])
+    parts = F.ceil(F.col("asked") / limit).cast("int").alias("parts")
+    sets = stage(append_columns(texts, ["text"], [("s", "array<long>")], exact).select("key", parts, "s"), "similar-shingles")
+    hot = F.broadcast(sets.where("parts > 1").select("key", "parts"))
+    for a, b in (("x", "y"), ("y", "x")):
+        pairs = pairs.join(hot.withColumnsRenamed({"key": a, "parts": "p" + a}), a, "left")
+        pairs = pairs.withColumn("p" + a, F.pmod(F.xxhash64(b), F.coalesce("p" + a, F.lit(1))).cast("int"))
+    each = sets.select("key", "s", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    one, other = (each.select(F.col("key").alias(a), F.col("part").alias("p" + a), F.col("s").alias("s" + a)) for a in "xy")
     both = F.size(F.array_intersect("sx", "sy"))
     close = (both >= similarity * (F.size("sx") + F.size("sy") - both)).alias("close")
-    return stage(pairs.join(one, "x").join(other, "y").where(close).select(F.col("x").alias("a"), F.col("y").alias("b")), "similar-edges")
+    joined = pairs.join(one, ["x", "px"]).join(other, ["y", "py"])
+    return stage(joined.where(close).select(F.col("x").alias("a"), F.col("y").alias("b")), "similar-edges")
 
 
 def similar_groups(
     docs: DataFrame, words: int = 5, similarity: float = 0.8, groups: int = 16, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(key, id, root): the documents, by a hash of id and text, and the groups that links of at least the
+    """(key, id, root): the documents, by a 128-bit hash of id and text, and the groups that links of at least the
     similarity join. Texts with equal shingles are one node; texts without words are similar to each other."""
 
     def maker():
         def run(texts: pa.Array):
-            sets = [shingle_hashes(t.as_py(), words) for t in texts]
+            sets = [shingle_set(t.as_py(), words) for t in texts]
             return [
-                pa.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) - 2**63 for s in sets], type=pa.int64()),
-                pa.array([len(s) for s in sets], type=pa.int32()),
-                pa.array([group_fingerprints(s, groups) for s in sets], type=pa.list_(pa.int64())),
+                pa.array([name for _, name in sets], type=pa.binary()),
+                pa.array([len(s) for s, _ in sets], type=pa.int32()),
+                pa.array([group_fingerprints(s, groups) for s, _ in sets], type=pa.list_(pa.int64())),
             ]
 
         return run
 
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
-    ids = append_columns(rows, ["text"], [("same", "long"), ("n", "int"), ("fps", "array<long>")], maker)
+    rows = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    ids = append_columns(rows, ["text"], [("same", "binary"), ("n", "int"), ("fps", "array<long>")], maker)
     ids = stage(ids.select("id", "key", "same", "n", "fps"), "similar-ids")
     nodes = ids.groupBy("same").agg(F.min(F.struct("key", "n", "fps")).alias("r")).select("same", "r.*")
     nodes = stage(nodes.withColumnRenamed("key", "node"), "similar-nodes")
