@@ -106,16 +106,23 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     # at most MAX_LANGUAGES * SAMPLE_PER_LANGUAGE ids
     sample = rows.join(F.broadcast(ids), ["id", "lang"], "left_semi")
 
+    def counter():
+        def run(texts: pa.Array):
+            return [pa.array([grams(t.as_py()).astype(np.int32).tobytes() if LETTER.search(t.as_py()) else None for t in texts], type=pa.binary())]
+
+        return run
+
+    # the texts, of any length, are counted where they are; a language's group holds vectors only
+    counted = append_columns(sample, ["text"], [("counts", "binary")], counter).where("counts is not null").select("id", "lang", "counts")
+
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf[[bool(LETTER.search(t)) for t in pdf["text"]]].sort_values(["id", "text"])
-        if not len(pdf):
-            return pd.DataFrame({"lang": [], "centroids": [], "floor": []})
-        v = vectors(np.stack([grams(t) for t in pdf["text"]]), idf)
+        pdf = pdf.sort_values(["id", "counts"])
+        v = vectors(np.stack([np.frombuffer(c, dtype=np.int32) for c in pdf["counts"]]), idf)
         c = cluster(v, CENTROIDS)
         floor = REJECT * float(np.quantile((v @ c.T).max(axis=1), 0.01))
         return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "centroids": [c.astype(np.float32).tobytes()], "floor": [floor]})
 
-    fitted = sorted(sample.groupBy("lang").applyInPandas(fit, "lang string, centroids binary, floor double").collect(), key=lambda r: r["lang"])
+    fitted = sorted(counted.groupBy("lang").applyInPandas(fit, "lang string, centroids binary, floor double").collect(), key=lambda r: r["lang"])
     if not fitted:
         return None
     each = [np.frombuffer(r["centroids"], dtype=np.float32).reshape(-1, DIMENSIONS) for r in fitted]
