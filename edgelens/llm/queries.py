@@ -68,7 +68,7 @@ MIX_SEED = 17
 def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as often as its source's weight asks for."""
     docs = table(spark, sf_dir, "documents")
-    return mixing.mix(docs, MIX_WEIGHTS, seed=MIX_SEED).select("doc_id", "source", "copy", "n_chars")
+    return mixing.mix(docs, MIX_WEIGHTS, seed=MIX_SEED).select("doc_id", "source", "copy", "n_chars", "text")
 
 
 OP9_SQL = f"""
@@ -84,14 +84,14 @@ with recursive s as (
   select c.src, c.k + 1, c.p * r.rate / (c.k + 1), c.cdf + c.p * r.rate / (c.k + 1)
   from c join r using (src) where c.k < ceil(r.rate + 10 * sqrt(r.rate) + 20)
 ), d as (
-  select doc_id, source, n_chars, coalesce(source, '') as src,
+  select doc_id, source, n_chars, text, coalesce(source, '') as src,
     ('0x' || md5('{MIX_SEED}|' || coalesce(doc_id::varchar, '') || '|' || coalesce(source, ''))[1:13])::bigint::double / 4503599627370496.0 as u
   from documents
 ), counted as (
-  select d.doc_id, d.source, d.n_chars, count(*) filter (c.cdf <= d.u) as copies
-  from d join c using (src) group by d.doc_id, d.source, d.n_chars
+  select d.doc_id, d.source, d.n_chars, d.text, count(*) filter (c.cdf <= d.u) as copies
+  from d join c using (src) group by d.doc_id, d.source, d.n_chars, d.text
 )
-select doc_id, source, unnest(range(copies))::int as copy, n_chars from counted where copies > 0
+select doc_id, source, unnest(range(copies))::int as copy, n_chars, text from counted where copies > 0
 """
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
