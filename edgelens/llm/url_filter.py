@@ -5,8 +5,9 @@ and each path length that occurs among the rules. The filter is an array of bloc
 words; a key sets or tests one bit of each word of one block, so a test touches one block. Keys that
 pass are joined with the rules by equality, which removes the filter's false positives.
 
-The filter's size follows from the number of rules. Up to MAX_FILTER_BLOCKS (16 MiB) it travels as one
-constant array; beyond that its blocks are a table and the test is an equi-join on the block number.
+The filter's size follows from the number of rules. Its blocks are a table and the test is an equi-join on the
+block number, by broadcast up to MAX_FILTER_BLOCKS (16 MiB of words). Of a host only suffixes with at most as many
+labels as the longest rule's are candidates, so that a long host costs no more than its length.
 
 Defined results: null URLs and URLs without "://" have empty host and path and the default verdict;
 of fitting rules the longest (host and path together) wins, then block, then the largest by name;
@@ -63,13 +64,9 @@ def maybe_listed(rows: DataFrame, key: str, rules: DataFrame, n_rules: int) -> D
             out = out & (words[i].bitwiseAND(b) != 0)
         return out
 
-    block = F.pmod(F.xxhash64(key), F.lit(blocks))
-    if blocks <= MAX_FILTER_BLOCKS:
-        whole = {r["block"]: list(r["words"]) for r in table.collect()}  # at most 16 MiB, by the check above
-        flat = F.lit([w for b in range(blocks) for w in whole.get(b, [0, 0, 0, 0])])
-        at = (block * 4).cast("int")
-        return rows.where(passes([F.get(flat, at + i) for i in range(4)]))
-    joined = rows.withColumn("__block", block).join(table.withColumnRenamed("block", "__block"), "__block")
+    table = table.withColumnRenamed("block", "__block")
+    table = F.broadcast(table) if blocks <= MAX_FILTER_BLOCKS else table
+    joined = rows.withColumn("__block", F.pmod(F.xxhash64(key), F.lit(blocks))).join(table, "__block")
     return joined.where(passes(F.col("words"))).drop("__block", "words")
 
 
@@ -86,13 +83,16 @@ def judge(
         F.length(F.concat("host", "path")).alias("__len"), F.col("verdict").alias("__verdict"),
     ).dropDuplicates()
     facts = rules.agg(
-        F.count("*").alias("n"), F.collect_set(F.length(F.substring_index("__key", "\n", -1))).alias("lengths")
+        F.count("*").alias("n"), F.collect_set(F.length(F.substring_index("__key", "\n", -1))).alias("lengths"),
+        F.max(F.size(F.split(F.substring_index("__key", "\n", 1), r"\."))).alias("labels"),
     ).first()
     base = urls.select(F.col(id_col).alias("__id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     if not facts["n"]:
         return base.select(F.col("__id").alias(id_col), "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    suffixes = F.transform(
+        F.sequence(F.lit(1), F.least(F.size(labels), F.lit(facts["labels"]))), lambda n: F.array_join(F.slice(labels, F.size(labels) - n + 1, n), ".")
+    )
     prefixes = F.filter(F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in sorted(facts["lengths"])]), lambda p: p.isNotNull())
     keys = F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat_ws("\n", s, p))))
     # the candidates need the URL's distinct (host, path) only: repeated URLs are looked up once
