@@ -12,7 +12,8 @@ backslash, "[" and "<" become \\b, \\l and \\t, so no control string can occur,
 
 Defined results: null text and role are empty; messages whose parent is null or absent are roots;
 of repeated (conversation, message) ids the smallest by (role, text) counts; ties between branches go
-to the deeper, then to the smaller message id; a conversation without messages does not occur.
+to the deeper, then to the smaller message id; a conversation without messages does not occur. Where
+replies go round in a circle, the smallest message id of the circle is a root.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from edgelens.runtime import stage
 
 # Fixed values of the template.
 TAGS = {"user": "INST", "assistant": "RSP", "system": "SYS"}
+OTHER = "ROLE "
 ESCAPES = [("\\", "\\b"), ("[", "\\l"), ("<", "\\t")]
 TURNS_PER_PIECE = 64
 
@@ -52,27 +54,46 @@ def linear_messages(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
     )
 
 
-def branch_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
-    """(conv, leaf, depth, msg) of the best branches of each conversation; messages: (conv, msg, parent, score)."""
-    nodes = messages.select("conv", "msg", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
-    known = nodes.select(F.col("conv").alias("c2"), F.col("msg").alias("up"))
-    nodes = stage(
-        nodes.join(known, F.col("conv").eqNullSafe(F.col("c2")) & (F.col("parent") == F.col("up")), "left")
-        .select("conv", "msg", "up", F.col("score").alias("total"), F.when(F.col("up").isNull(), 0).otherwise(1).alias("hops")),
-        "chat-jumps",
-    )
+def doubled_jumps(nodes: DataFrame, longest: int) -> tuple[list[DataFrame], DataFrame | None]:
+    """Jumps of 1, 2, 4, ... replies up: (conv, msg, up, total, hops, low), low the smallest message passed; and the
+    (conv c3, message m3) to cut circles at if some path is longer than the longest conversation, else None."""
     jumps = [nodes]
     while not nodes.where("up is not null").isEmpty():
+        if 1 << (len(jumps) - 1) > longest:
+            # whatever is this far up is on a circle, and has seen all of it
+            return jumps, stage(nodes.where("up is not null").select("conv", "up").distinct().join(
+                nodes.select(F.col("conv").alias("c3"), F.col("msg").alias("m2"), F.col("low").alias("m3")), F.col("conv").eqNullSafe(F.col("c3")) & (F.col("up") == F.col("m2"))
+            ).select("c3", "m3").distinct(), "chat-circles")
         far = nodes.select(
-            F.col("conv").alias("c2"), F.col("msg").alias("m2"), F.col("up").alias("up2"), F.col("total").alias("t2"), F.col("hops").alias("h2")
+            F.col("conv").alias("c2"), F.col("msg").alias("m2"), F.col("up").alias("up2"), F.col("total").alias("t2"), F.col("hops").alias("h2"), F.col("low").alias("l2")
         )
         # messages whose path has reached the root stay as they are
         moved = nodes.where("up is not null").join(far, F.col("conv").eqNullSafe(F.col("c2")) & (F.col("up") == F.col("m2")), "left").select(
             "conv", "msg", F.col("up2").alias("up"), (F.col("total") + F.coalesce("t2", F.lit(0.0))).alias("total"),
-            (F.col("hops") + F.coalesce("h2", F.lit(0))).alias("hops"),
+            (F.col("hops") + F.coalesce("h2", F.lit(0))).alias("hops"), F.least("low", "l2").alias("low"),
         )
         nodes = stage(moved.unionByName(nodes.where("up is null")), "chat-jumps")
         jumps.append(nodes)
+    return jumps, None
+
+
+def branch_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
+    """(conv, leaf, depth, msg) of the best branches of each conversation; messages: (conv, msg, parent, score)."""
+    nodes = messages.select("conv", "msg", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
+    known = nodes.select(F.col("conv").alias("c2"), F.col("msg").alias("up"))
+    first = (
+        nodes.join(known, F.col("conv").eqNullSafe(F.col("c2")) & (F.col("parent") == F.col("up")), "left")
+        .select("conv", "msg", "up", F.col("score").alias("total"), F.when(F.col("up").isNull(), 0).otherwise(1).alias("hops"), F.col("msg").alias("low"))
+    )
+    longest = nodes.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
+    jumps, circles = doubled_jumps(stage(first, "chat-jumps"), longest)
+    if circles is not None:
+        cut = circles.withColumn("cut", F.lit(True))
+        first = first.join(cut, F.col("conv").eqNullSafe(cut["c3"]) & (F.col("msg") == cut["m3"]), "left").select(
+            "conv", "msg", F.when(F.col("cut").isNull(), F.col("up")).alias("up"), "total", F.when(F.col("cut").isNull(), F.col("hops")).otherwise(0).alias("hops"), "low",
+        )
+        jumps, _ = doubled_jumps(stage(first, "chat-jumps"), longest)
+    nodes = jumps[-1]
     parents = jumps[0].where("up is not null").select(F.col("conv").alias("c2"), F.col("up").alias("m2")).distinct()
     leaves = nodes.join(parents, F.col("conv").eqNullSafe(F.col("c2")) & (F.col("msg") == F.col("m2")), "left_anti")
     rank = F.row_number().over(Window.partitionBy("conv").orderBy(F.desc("total"), F.desc("hops"), "msg"))
@@ -115,7 +136,7 @@ def format_chats(messages: DataFrame, branches: int = 1) -> DataFrame:
     ).select("conv", "msg", "m.*"), "chat-messages")
     paths = branch_paths(messages, branches)
     said = messages.select(F.col("conv").alias("c2"), F.col("msg").alias("m2"), "role", "text")
-    tag = F.concat(F.lit("ROLE "), F.replace(escape(F.col("role")), F.lit("]"), F.lit("\\r")))
+    tag = F.concat(F.lit(OTHER), F.replace(escape(F.col("role")), F.lit("]"), F.lit("\\r")))
     for role, name in TAGS.items():
         tag = F.when(F.col("role") == role, F.lit(name)).otherwise(tag)
     turns = (
@@ -145,7 +166,8 @@ def parse_turns(formatted: Column) -> Column:
 
     def turn(s: Column) -> Column:
         tag = F.substring_index(F.substring_index(s, "]", 1), "[", -1)
-        role = unescape(F.replace(F.substring_index(tag, "ROLE ", -1), F.lit("\\r"), F.lit("]")))
+        other = tag.substr(F.lit(len(OTHER) + 1), F.length(tag))
+        role = unescape(F.replace(other, F.lit("\\r"), F.lit("]")))
         for name, t in TAGS.items():
             role = F.when(tag == t, F.lit(name)).otherwise(role)
         body = s.substr(F.length(tag) + 4, F.length(s) - 2 * F.length(tag) - 7)

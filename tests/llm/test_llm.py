@@ -95,6 +95,34 @@ def test_chat_trees_pick_branches_and_escape(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def chat_turns(spark, rows, branches=1):
+    df = spark.createDataFrame(rows, "conv long, msg long, parent long, score double, role string, text string")
+    out = chat.format_chats(df, branches=branches).select("conv", "leaf", chat.parse_turns(F.col("formatted")).alias("t"))
+    return {(r.conv, r.leaf): [(t.role, t.text) for t in r.t] for r in out.collect()}
+
+
+def test_chat_odd_roles_and_texts_come_back(spark):
+    odd = ["my ROLE x", "ROLE ", "", "INST", "ROLE INST", "a]b[c<d\\r", "\\", "x] [/INST", "user ", " [", "\\b\\l\\t\\r"]
+    rows = [(c, i, i - 1 if i else None, 0.0, r, t) for c, t in enumerate(odd) for i, r in enumerate(odd)]
+    assert chat_turns(spark, rows) == {(c, len(odd) - 1): [(r, t) for r in odd] for c, t in enumerate(odd)}
+
+
+def test_chat_reply_circles_have_the_smallest_message_as_root(spark):
+    rows = [(1, 1, 1, 0.0, "user", "self"), (1, 2, None, 1.0, "user", "beside"),
+            (2, 7, 9, 0.0, "user", "b"), (2, 8, 7, 0.0, "user", "c"), (2, 9, 8, 0.0, "user", "d"), (2, 10, 9, 0.0, "user", "tail"),
+            (3, 0, None, 0.0, "user", "r"), *[(3, i, i - 1, 0.0, "user", str(i)) for i in range(1, 40)]]
+    got = chat_turns(spark, rows, branches=5)
+    assert got[1, 1] == [("user", "self")] and got[1, 2] == [("user", "beside")]
+    assert got[2, 10] == [("user", x) for x in ("b", "c", "d", "tail")] and len(got[3, 39]) == 40 and len(got) == 4
+
+
+def test_chat_long_conversation_with_ties_and_repeats(spark):
+    rows = [(1, i // 2, "user", f"t{i // 2}" + "x" * (100_000 if i == 50 else 0)) for i in range(600)] + [(None, 0, None, None)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {r.conv: r for r in chat.format_chats(chat.linear_messages(turns)).select("conv", "n_turns", chat.parse_turns(F.col("formatted")).alias("t")).collect()}
+    assert [t.text for t in out[1].t] == [t for _, _, t in sorted((r[1], r[2], r[3]) for r in rows[:-1])] and out[None].n_turns == 1
+
+
 # 4 ---------------------------------------------------------------------------------------------
 
 
@@ -272,6 +300,18 @@ def test_url_rules(spark):
     assert url_filter.judge(df, rules.limit(0)).where("verdict = 'allow'").count() == len(urls)
 
 
+def test_url_rules_of_long_hosts_and_many_rules(spark):
+    deep = ".".join("x" for _ in range(50_000))
+    rules = [(f"s{i}.com", f"/{'p' * (i % 4)}", "block" if i % 2 else "allow") for i in range(3000)] + [("b.c", "/", "block")]
+    urls = [f"http://{deep}.b.c/y", f"http://{deep}/", "http://" + "a" * 100_000 + ".b.c/" + "z" * 100_000] + [f"https://w{i % 7}.s{i}.com/{'p' * (i % 5)}" for i in range(0, 6000, 7)]
+    df = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id long, url string, Verdict string")
+    got = {r.page_id: r.rule for r in url_filter.judge(df, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()}
+    for i, u in enumerate(urls):
+        host, path = u.split("://")[1].split("/")[0], "/" + u.split("://")[1].partition("/")[2]
+        fits = [h + p for h, p, _ in rules[-1:] + rules[: i + 1 if i > 2 else 0] + rules[(i - 3) * 7 : (i - 3) * 7 + 1] if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        assert got[i] == (max(fits, key=len) if fits else None), u[:80]
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
