@@ -7,6 +7,9 @@ merges are applied in rank order. Up to a frontier both are split alike. Only a
 ends at the frontier can move it, left by |u|; and the next merge that moves it must have a v that
 begins with that u, and a higher rank. The heaviest such chain of merges bounds the movement.
 
+A text passes as slices cut at blanks, where no word goes on: a task holds a bounded group of slices as words
+and ids, whatever the texts' length, and each row's ids and decoded text grow as its slices pass.
+
 Decoding maps ids to bytes and bytes to text with an incremental UTF-8 decoder, or, for a file that
 names no decoder, to the tokens' own strings joined by single spaces.
 
@@ -34,7 +37,7 @@ from edgelens.llm.common import append_columns
 
 NONE = 1 << 30
 SLICE_CHARS = 1 << 16
-GROUP_CHARS = 4 << 20
+GROUP_CHARS = 2 << 20  # of the slices that a task holds as words and ids
 WIDEST = 32
 
 
@@ -143,8 +146,6 @@ class Codec:
         data = word.encode("utf-8", "surrogatepass")
         t, symbols = self.transducer, [self.inner[b] for b in data]
         symbols[-1] = self.last[data[-1]]
-        if len(data) < t.window:  # nothing becomes stable before the word ends
-            return array("i", t.apply(symbols)).tobytes()
         out = array("i", t.feed(symbols))
         out.extend(t.finish())
         return out.tobytes()
@@ -170,7 +171,7 @@ class Codec:
         return np.frombuffer(b"".join(out), dtype=np.int32)
 
     def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(offsets, ids) of many texts: each different word of the group goes through the merges once."""
+        """(offsets, ids) of slices of texts: each different word of the group goes through the merges once."""
         alone = {i: self.encode(t) for i, t in enumerate(texts) if len(t) > GROUP_CHARS or any(a in t for a in self.added)}
         plain = pa.array(["" if i in alone else self.normal(t) for i, t in enumerate(texts)], type=pa.large_string())
         pieces = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
@@ -190,8 +191,9 @@ class Codec:
         return offsets, ids
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(offsets, ids) of pre-tokens. Those shorter than a window need no early emission and are
-        merged side by side, one merge of each a round; the others are streamed."""
+        """(offsets, ids) of pre-tokens. The end of a word settles its tokens as its lookahead would: words of
+        up to WIDEST bytes end inside their window and run side by side, one merge of each a round; longer
+        ones are fed to the transducer."""
         data = [w.encode("utf-8", "surrogatepass") for w in words]
         sizes = np.fromiter(map(len, data), dtype=np.int64, count=len(data))
         counts, out = np.zeros(len(data), dtype=np.int64), []
@@ -383,6 +385,20 @@ def groups(texts: pa.Array, chars: int = GROUP_CHARS) -> Iterator[list[str]]:
         yield group
 
 
+def slice_groups(texts: pa.Array, chars: int = GROUP_CHARS) -> Iterator[list[tuple[int, str]]]:
+    """(row, slice) of the texts of a batch, null as empty, in lists of about so many characters."""
+    group, size = [], 0
+    for row, t in enumerate(texts):
+        for piece in slices(t.as_py() or ""):
+            group.append((row, piece))
+            size += len(piece)
+            if size >= chars:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group
+
+
 def encode_decode(
     df: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids", decoded_col: str | None = "decoded"
 ) -> DataFrame:
@@ -393,16 +409,20 @@ def encode_decode(
         c = codec(path)
 
         def run(texts: pa.Array):
-            lists, decoded = [], []
-            for group in groups(texts):
-                offsets, ids = c.encode_many(group)
-                lists.append(pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.array(ids, type=pa.int32())))
-                if decoded_col:
-                    for a, b in zip(offsets.tolist(), offsets[1:].tolist()):
-                        d = c.decoder()
-                        parts = [d.feed(ids[i : min(b, i + SLICE_CHARS)].tolist()) for i in range(a, b, SLICE_CHARS)]
+            flat, counts, decoded = [np.zeros(0, dtype=np.int32)], np.zeros(len(texts), dtype=np.int64), []
+            row, d, parts = 0, c.decoder(), []
+            for group in slice_groups(texts):
+                offsets, ids = c.encode_many([piece for _, piece in group])
+                flat.append(ids)
+                np.add.at(counts, [r for r, _ in group], np.diff(offsets))
+                for (r, _), a, b in zip(group, offsets.tolist(), offsets[1:].tolist()) if decoded_col else ():
+                    if r != row:
                         decoded.append("".join(parts) + d.finish())
-            ids = pa.concat_arrays(lists) if lists else pa.array([], type=pa.list_(pa.int32()))
+                        row, d, parts = r, c.decoder(), []
+                    parts.append(d.feed(ids[a:b].tolist()))
+            if decoded_col and len(texts):
+                decoded.append("".join(parts) + d.finish())
+            ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), type=pa.int32()), pa.array(np.concatenate(flat)))
             return [ids, pa.array(decoded, type=pa.string())] if decoded_col else [ids]
 
         return run
