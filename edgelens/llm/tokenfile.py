@@ -21,7 +21,6 @@ import os
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -31,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from edgelens.llm.bpe import groups, ragged_take
+from edgelens.llm.bpe import groups, ragged_take, spread
 from edgelens.runtime import importable, shared_dir
 
 BLOCK = 1024
@@ -97,14 +96,16 @@ class LibraryEncoder:
 
     A blank before a non-blank begins a pre-token, whatever came before; so does a punctuation mark after a
     letter, and a single line feed between two other characters stands alone. Texts are cut at these places,
-    and each different piece of a group of texts is encoded once; short ones are remembered for the next
-    groups, in two generations of REMEMBERED at most. Texts that hold an added token are encoded whole.
+    and each different piece of a group of texts is encoded once; the latest REMEMBERED short ones are kept for the
+    next groups. Words after a blank go through the library many to a text, and the ids are dealt back by the
+    bytes that they stand for. Texts that hold an added token are encoded whole.
     """
 
-    REMEMBERED, SHORT = 150_000, 32
-
     MARK = "\x01"
     APART = re.compile(r" \s|\x01")
+    WORD = r"^ [\p{L}\p{M}\p{N}\p{P}\p{S}]+$"
+    JOINED_BYTES = 1 << 16
+    REMEMBERED, SHORT = 1_000_000, 32
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -113,24 +114,67 @@ class LibraryEncoder:
         self.t = Tokenizer.from_file(path)
         self.t.no_truncation()
         self.t.no_padding()
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
         self.added = [a.content for a in self.t.get_added_tokens_decoder().values()]
+        # a token of a byte-level vocabulary has a character for each byte
+        vocab = self.t.get_vocab(with_added_tokens=False)
+        self.bytes = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
+        self.bytes[list(vocab.values())] = list(map(len, vocab))
+        self.known = pa.array([], type=pa.large_string())
+        self.known_ids = (np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int32))
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.int32) for e in self.t.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def pieces(self, pieces: list[str]) -> list[bytes]:
-        """The ids of different pieces, as bytes of 32-bit integers."""
-        out = [self.young.get(p) or self.old.get(p) for p in pieces]
-        new = [i for i, v in enumerate(out) if v is None]
-        for i, e in zip(new, self.t.encode_batch_fast([pieces[i] for i in new], add_special_tokens=False)):
-            out[i] = array("i", e.ids).tobytes()
-        if len(self.young) >= self.REMEMBERED:
-            self.old, self.young = self.young, {}
-        self.young.update((p, v) for p, v in zip(pieces, out) if len(p) <= self.SHORT)
+    def joined(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(counts, ids) of words that begin with a blank."""
+        ends = np.cumsum(pc.binary_length(words).to_numpy())
+        cuts = np.unique(np.searchsorted(ends, np.arange(self.JOINED_BYTES, ends[-1] + self.JOINED_BYTES, self.JOINED_BYTES)).clip(0, len(ends) - 1))
+        texts = [t.as_py() for t in pc.binary_join(pa.ListArray.from_arrays(np.concatenate([[0], cuts + 1]).astype(np.int32), words.cast(pa.string())), "")]
+        ids = np.concatenate(self.whole(texts))
+        read = np.cumsum(self.bytes[ids])
+        at = np.searchsorted(read, ends)
+        if read[-1] != ends[-1] or (read[at] != ends).any():
+            raise ValueError("a token of this file spans two words")
+        return np.diff(at, prepend=-1), ids
+
+    def pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, ids) of different pieces, of which those seen lately are looked up."""
+        at = pc.index_in(pieces, value_set=self.known)
+        new = np.flatnonzero(pc.is_null(at).to_numpy(zero_copy_only=False))
+        fresh = pieces.take(pa.array(new))
+        offsets, ids = self.encoded(fresh)
+        # the known pieces and the new ones in one ragged table, from which both are taken
+        n, (seen, old) = len(self.known), self.known_ids
+        offsets, ids = np.concatenate([seen, seen[-1] + offsets[1:]]), np.concatenate([old, ids])
+        rows = pc.fill_null(at, 0).to_numpy().astype(np.int64)
+        rows[new] = n + np.arange(len(new))
+        out = ragged_take(offsets, ids, rows)
+        short = np.flatnonzero((pc.binary_length(fresh).to_numpy() <= self.SHORT))
+        kept = np.concatenate([np.arange(n), n + short])
+        if len(kept) > self.REMEMBERED:
+            kept = kept[-self.REMEMBERED // 2 :]
+        self.known = pa.concat_arrays([self.known, fresh]).take(pa.array(kept))
+        self.known_ids = ragged_take(offsets, ids, kept)
         return out
 
+    def encoded(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, ids) of different pieces, encoded by the library."""
+        word = pc.match_substring_regex(pieces, self.WORD)
+        rows = np.flatnonzero(word.to_numpy(zero_copy_only=False))
+        rest = np.flatnonzero(~word.to_numpy(zero_copy_only=False))
+        alone = self.whole(pieces.take(pa.array(rest)).to_pylist())
+        counts = np.zeros(len(pieces), dtype=np.int64)
+        counts[rest] = [len(i) for i in alone]
+        ids = np.zeros(0, dtype=np.int32)
+        if len(rows):
+            counts[rows], ids = self.joined(pieces.take(pa.array(rows)))
+        offsets = np.concatenate([[0], np.cumsum(counts)])
+        out = np.empty(offsets[-1], dtype=np.int32)
+        out[spread(offsets[rows], counts[rows])] = ids
+        if alone:
+            out[spread(offsets[rest], counts[rest])] = np.concatenate(alone)
+        return offsets, out
+
     def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids) of the texts."""
         apart = [i for i, t in enumerate(texts) if self.APART.search(t) or any(a in t for a in self.added)]
@@ -140,10 +184,7 @@ class LibraryEncoder:
         cut = pc.replace_substring_regex(cut, r"([\p{L}\p{N}\p{P}])\n([\p{L}\p{N}\p{P}])", f"\\1{self.MARK}\n{self.MARK}\\2")
         pieces = pc.split_pattern(pc.replace_substring(cut, " ", self.MARK + " "), self.MARK)
         coded = pieces.values.dictionary_encode()
-        flat = self.pieces(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        offsets = np.zeros(len(flat) + 1, dtype=np.int64)
-        np.cumsum(np.fromiter(map(len, flat), dtype=np.int64, count=len(flat)) // 4, out=offsets[1:])
-        flat = np.frombuffer(b"".join(flat), dtype=np.int32)
+        offsets, flat = self.pieces(coded.dictionary)
         offsets, ids = ragged_take(offsets, flat, coded.indices.to_numpy())
         offsets = offsets[pieces.offsets.to_numpy()]
         if alone:
