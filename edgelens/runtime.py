@@ -9,6 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of an Arrow batch on its way to Python, where the session has Spark's default of 64 MiB.
+ARROW_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4194304b")
 PACKAGE_ROOT = str(Path(__file__).resolve().parent.parent)
 
 
@@ -18,7 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from the driver's checkout (clusters: --py-files)."""
+    """Let Python workers import this package from the driver's checkout (clusters: --py-files), and bound the
+    bytes of the batches that they are sent: rows of a batch may hold texts of any length."""
+    key, default, bound = ARROW_BYTES
+    if spark.conf.get(key, default) == default:
+        spark.conf.set(key, bound)
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if PACKAGE_ROOT not in paths:
