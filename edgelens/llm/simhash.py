@@ -26,12 +26,13 @@ gives an empty table.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from edgelens.llm.common import append_columns, hot_limit, row_key
 from edgelens.runtime import importable, stage
@@ -42,7 +43,9 @@ LEAF_ROWS = 4096  # expected members of an upper leaf, while the sample allows
 LEAST_SAMPLE = 32  # sampled members under which a node is not split
 SCAN_ROWS = 256  # members that a node in memory compares with one another
 PART = 1 << 15  # shingles hashed at a time
-GROUP, GROUP_PART = 4, 1 << 12  # shingles of a selected group; shingles ordered at a time
+PICKS, GROUP = 96, 6  # shingles selected by min-hash, and of them in a group
+GROUP_PART = 1 << 12  # shingles ordered at a time
+BROADCAST_KEYS = 1 << 18  # keys of 16 bytes, 6 MiB
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -269,33 +272,82 @@ def shingle_set(text: str | None, words: int) -> tuple[np.ndarray, bytes]:
     return both[:, 0].copy(), digest(both.tobytes(), SEED)
 
 
+@lru_cache(maxsize=4)
+def _orders(groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Masks and factors of the orders, and the picks of each group, which all picks serve equally often."""
+    rnd = np.random.default_rng(SEED)
+    mask, factor = rnd.integers(0, 2**64, size=(2, PICKS, 1), dtype=np.uint64)
+    whole = [rnd.permutation(PICKS).reshape(-1, GROUP) for _ in range(-(-groups * GROUP // PICKS))]
+    return mask, factor | np.uint64(1), np.concatenate(whole)[:groups]
+
+
 def group_fingerprints(hashes: np.ndarray, groups: int) -> list[int]:
-    """SimHashes of groups of GROUP shingles, each shingle the least of all under an order of its own.
+    """SimHashes of groups of GROUP of PICKS shingles, each the least of all under an order of its own.
 
-    Two sets agree in a shingle with their Jaccard similarity J as the probability, wherever they differ,
-    and so share one of the fingerprints with 1 - (1 - J**GROUP)**groups at least."""
+    Two sets agree in a pick with their Jaccard similarity as the probability, wherever they differ. At 0.8
+    they share none of 32 groups with probability 0.0005, at 0.1 they share one with 0.00005."""
     if not len(hashes):
         return []
-    rnd = np.random.default_rng(SEED)
-    mask, factor = rnd.integers(0, 2**64, size=(2, groups * GROUP, 1), dtype=np.uint64)
+    mask, factor, members = _orders(groups)
     best, picks = None, None
     for i in range(0, len(hashes), GROUP_PART):
         part = hashes[i : i + GROUP_PART].view(np.uint64)
-        order = (part[None, :] ^ mask) * (factor | np.uint64(1))
+        order = (part[None, :] ^ mask) * factor
         at = order.argmin(axis=1)
         low, own = order[np.arange(len(at)), at], part[at]
         best, picks = (low, own) if best is None else (np.minimum(best, low), np.where(low < best, own, picks))
-    a, b, c, d = picks.reshape(groups, GROUP).T
-    return ((a & b & (c | d)) | (c & d & (a | b))).view(np.int64).tolist()
+    bits = np.unpackbits(picks[members].astype("<u8").view(np.uint8).reshape(groups, GROUP, 8), axis=2)
+    return np.packbits(2 * bits.sum(axis=1) > GROUP, axis=1).view("<i8").reshape(-1).tolist()
+
 
+def parities(hashes: np.ndarray) -> list[int]:
+    """Whether an odd number of hashes falls on each of a power of two of bits, two a hash or more: two sets differ
+    in at least as many elements as such bits. Halves fold by exclusive or."""
+    size = 64
+    while size < 2 * len(hashes):
+        size *= 2
+    odd = np.bincount((hashes.view(np.uint64) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
 
-def confirmed(pairs: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Of the pairs (x, y) of keys those whose texts have at least the similarity. rows: (key, text).
 
-    The few keys of very many pairs have their shingles copied, a copy for each part of their pairs, so that no
-    task takes all pairs of one text."""
-    asked = pairs.select(F.explode(F.array("x", "y")).alias("key")).groupBy("key").agg(F.count("*").alias("asked"))
+def with_sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    """pairs (x, y) with the columns of both keys' rows in table (key, columns), named after x and y.
+
+    The few keys of very many pairs have their row copied, a copy for each part of their pairs, so that no task
+    takes all pairs of one key."""
     limit = hot_limit(2 * pairs.count())
+    asked = pairs.select(F.explode(F.array("x", "y")).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    hot = F.broadcast(stage(asked.where(F.col("n") > limit).select("key", F.ceil(F.col("n") / limit).cast("int").alias("parts")), "hot-keys"))
+    for a, b in (("x", "y"), ("y", "x")):
+        pairs = pairs.join(hot.withColumnsRenamed({"key": a, "parts": "p" + a}), a, "left")
+        pairs = pairs.withColumn("p" + a, F.pmod(F.xxhash64(b), F.coalesce("p" + a, F.lit(1))).cast("int"))
+    each = table.join(hot, "key", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+    for a in "xy":
+        side = each.select(F.col("key").alias(a), F.col("part").alias("p" + a), *[F.col(c).alias(c + a) for c in columns])
+        pairs = pairs.join(side, [a, "p" + a])
+    return pairs
+
+
+def may_be_similar(similarity: float) -> Column:
+    """Whether texts x and y, of sizes n and parities odd, are not too far apart for the similarity: never false for
+    a similar pair, and true for few others."""
+
+    def halved(o: Column, other: Column) -> Column:
+        n = F.size(other)
+        return F.when(F.size(o) <= n, o).otherwise(F.zip_with(F.slice(o, 1, n), F.slice(o, n + 1, n), lambda a, b: a.bitwiseXOR(b)))
+
+    sizes = F.least("nx", "ny") >= similarity * F.greatest("nx", "ny")  # so one has at most twice the bits of the other
+    apart = F.zip_with(halved(F.col("oddx"), F.col("oddy")), halved(F.col("oddy"), F.col("oddx")), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    differ = F.aggregate(apart, F.lit(0), lambda n, b: n + b)
+    return F.when(sizes, differ <= (1 - similarity) / (1 + similarity) * (F.col("nx") + F.col("ny")) + 1e-6).otherwise(False)
+
+
+def confirmed(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Of the pairs (x, y) of keys those whose texts have at least the similarity. nodes: (key, n, odd), the size and
+    the parities of a text's shingles; rows: (key, text)."""
+    pairs = stage(with_sides(pairs, nodes, "n", "odd").where(may_be_similar(similarity)).select("x", "y"), "similar-near")
+    asked = stage(pairs.select(F.explode(F.array("x", "y")).alias("key")).distinct(), "similar-asked")
+    asked = F.broadcast(asked) if asked.count() <= BROADCAST_KEYS else asked
 
     def exact():
         def run(texts: pa.Array):
@@ -303,23 +355,15 @@ def confirmed(pairs: DataFrame, rows: DataFrame, words: int, similarity: float)
 
         return run
 
-    texts = rows.select("key", "text").join(asked, "key").dropDuplicates(["key"])
-    parts = F.ceil(F.col("asked") / limit).cast("int").alias("parts")
-    sets = stage(append_columns(texts, ["text"], [("s", "array<long>")], exact).select("key", parts, "s"), "similar-shingles")
-    hot = F.broadcast(sets.where("parts > 1").select("key", "parts"))
-    for a, b in (("x", "y"), ("y", "x")):
-        pairs = pairs.join(hot.withColumnsRenamed({"key": a, "parts": "p" + a}), a, "left")
-        pairs = pairs.withColumn("p" + a, F.pmod(F.xxhash64(b), F.coalesce("p" + a, F.lit(1))).cast("int"))
-    each = sets.select("key", "s", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    one, other = (each.select(F.col("key").alias(a), F.col("part").alias("p" + a), F.col("s").alias("s" + a)) for a in "xy")
+    texts = rows.select("key", "text").join(asked, "key", "left_semi").dropDuplicates(["key"])
+    sets = stage(append_columns(texts, ["text"], [("s", "array<long>")], exact).select("key", "s"), "similar-shingles")
     both = F.size(F.array_intersect("sx", "sy"))
     close = (both >= similarity * (F.size("sx") + F.size("sy") - both)).alias("close")
-    joined = pairs.join(one, ["x", "px"]).join(other, ["y", "py"])
-    return stage(joined.where(close).select(F.col("x").alias("a"), F.col("y").alias("b")), "similar-edges")
+    return stage(with_sides(pairs, sets, "s").where(close).select(F.col("x").alias("a"), F.col("y").alias("b")), "similar-edges")
 
 
 def similar_groups(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, groups: int = 16, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, groups: int = 32, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(key, id, root): the documents, by a 128-bit hash of id and text, and the groups that links of at least the
     similarity join. Texts with equal shingles are one node; texts without words are similar to each other."""
@@ -331,44 +375,54 @@ def similar_groups(
                 pa.array([name for _, name in sets], type=pa.binary()),
                 pa.array([len(s) for s, _ in sets], type=pa.int32()),
                 pa.array([group_fingerprints(s, groups) for s, _ in sets], type=pa.list_(pa.int64())),
+                pa.array([parities(s) for s, _ in sets], type=pa.list_(pa.int64())),
             ]
 
         return run
 
     rows = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
-    ids = append_columns(rows, ["text"], [("same", "binary"), ("n", "int"), ("fps", "array<long>")], maker)
-    ids = stage(ids.select("id", "key", "same", "n", "fps"), "similar-ids")
-    nodes = ids.groupBy("same").agg(F.min(F.struct("key", "n", "fps")).alias("r")).select("same", "r.*")
+    ids = append_columns(rows, ["text"], [("same", "binary"), ("n", "int"), ("fps", "array<long>"), ("odd", "array<long>")], maker)
+    ids = stage(ids.select("id", "key", "same", "n", "fps", "odd"), "similar-ids")
+    nodes = ids.groupBy("same").agg(F.min(F.struct("key", "n", "fps", "odd")).alias("r")).select("same", "r.*")
     nodes = stage(nodes.withColumnRenamed("key", "node"), "similar-nodes")
     # buckets: a shared fingerprint of a group, or a component of the trees
     each = nodes.select("node", "n", F.posexplode("fps").alias("seed", "fp")).select(F.xxhash64("seed", "fp").alias("bucket"), "node", "n")
     trees = near_duplicates(rows, id_col="key").select(F.col("key").alias("node"), F.xxhash64(F.lit(-1), "component").alias("bucket")).distinct()
     each = each.unionByName(nodes.join(trees, "node").select("bucket", "node", "n"))
-    shared = each.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("first"), F.min_by("node", F.xxhash64("bucket", "node")).alias("other"))
-    members = stage(each.join(shared.where("size > 1"), "bucket"), "similar-buckets")
-    # the exact check with one member of a bucket, in large ones with two, joins what most buckets hold
-    stars = members.withColumn("center", F.explode(F.when(F.col("size") > SCAN_ROWS, F.array("first", "other")).otherwise(F.array("first"))))
+    shared = each.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = stage(each.join(shared, "bucket"), "similar-buckets")
+    # of a bucket the text that shares most with others, as the least edited copy does, is checked exactly with the
+    # rest, in large buckets another one too: that joins what most buckets hold
+    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    first = members.join(weight, "node").groupBy("bucket").agg(
+        F.max(F.struct("weight", "node"))["node"].alias("first"), F.min_by("node", F.xxhash64("bucket", "node")).alias("other"))
+    stars = members.join(first, "bucket").withColumn("center", F.explode(F.when(F.col("size") > SCAN_ROWS, F.array("first", "other")).otherwise(F.array("first"))))
     pairs = stars.select(F.least("center", "node").alias("x"), F.greatest("center", "node").alias("y")).where("x <> y").distinct()
     pairs = stage(pairs, "similar-pairs")
-    edges = confirmed(pairs, rows, words, similarity)
-    # and all pairs of a bucket that are not joined by confirmed links yet, unless their sizes forbid it
-    parts = members.select("bucket", "size", "node", "n").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sketches = nodes.select(F.col("node").alias("key"), "n", "odd")
+    edges = confirmed(pairs, sketches, rows, words, similarity)
+    # then, in buckets that confirmed links do not join yet, whatever is outside the largest part with all other
+    # parts, unless size or parities forbid it
+    parts = members.select("bucket", "size", "node").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
     parts = stage(parts, "similar-parts")
-    split = parts.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
+    heads = parts.groupBy("bucket", "root").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.max(F.struct("k", "root"))["root"].alias("main"), F.count("*").alias("roots"))
     blocks = F.ceil(F.col("size") / SCAN_ROWS).cast("int")
-    parts = parts.join(split, "bucket").withColumn("blocks", blocks)
-    one = parts.select("bucket", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    other = parts.select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
-    apart = (F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & (F.least("nx", "ny") >= similarity * F.greatest("nx", "ny"))
-    rest = one.join(other, ["bucket", "block"]).where(apart).select("x", "y").distinct().join(pairs, ["x", "y"], "left_anti")
-    edges = edges.unionByName(confirmed(stage(rest, "similar-rest"), rows, words, similarity))
+    parts = parts.join(heads.where("roots > 1"), "bucket").withColumns({"blocks": blocks, "minor": F.col("root") != F.col("main")})
+    parts = stage(parts.join(nodes.select("node", "n", "odd"), "node"), "similar-split")
+    side = lambda a: [F.col("node").alias(a), *[F.col(c).alias(c + a) for c in ("n", "odd", "root", "minor")]]
+    one = parts.where("minor").select("bucket", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), *side("x"))
+    other = parts.select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *side("y"))
+    apart = (F.col("rootx") != F.col("rooty")) & ((F.col("x") < F.col("y")) | ~F.col("minory"))
+    rest = one.join(other, ["bucket", "block"]).where(apart & may_be_similar(similarity)).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    rest = rest.distinct().join(pairs, ["x", "y"], "left_anti")
+    edges = edges.unionByName(confirmed(stage(rest, "similar-rest"), sketches, rows, words, similarity))
     root = components(edges)
     named = nodes.select("same", "node").join(root, "node", "left").select("same", F.coalesce("root", "node").alias("root"))
     return ids.select("key", "id", "same").join(named, "same").select("key", "id", "root")
 
 
 def similar_documents(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, groups: int = 16, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, groups: int = 32, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, component) of similar_groups(): the component is the smallest id."""
     out = stage(similar_groups(docs, words, similarity, groups, id_col, text_col), "similar-groups")
