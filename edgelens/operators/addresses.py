@@ -42,6 +42,13 @@ def ip_dimension(rows: DataFrame, col: str = "remote_addr") -> DataFrame:
     return rows.select(col).distinct().withColumn("a", parse(col)).select(col, "a.ip", "a.prefix", "a.prefix_len")
 
 
+def with_client_ip(rows: DataFrame, col: str = "remote_addr", out: str = "client_ip") -> DataFrame:
+    """rows with the canonical address of the connection, or its trimmed text where that is no address."""
+    known = ip_dimension(rows, col).select(F.col(col).alias("__addr"), F.col("ip").alias("__ip"))
+    joined = rows.join(known, F.col(col) == F.col("__addr"), "left")
+    return joined.withColumn(out, F.coalesce("__ip", F.trim(col))).drop("__addr", "__ip")
+
+
 def with_ip(rows: DataFrame, col: str = "remote_addr") -> DataFrame:
     """Rows with a valid address, and its canonical form."""
     return rows.join(ip_dimension(rows, col).where("ip is not null"), col)
@@ -77,7 +84,7 @@ def top_by_count(counts: DataFrame, group: list[str], key: list[str], k: int) ->
 def fair_top_paths(facts: DataFrame, k: int, tracked: int, window: str = "w") -> DataFrame:
     """Top k (path, status class) of the vhosts admitted first, a share of tracked for each of 16 shards."""
     seen = facts.groupBy(window, "vhost_id").agg(F.min("seq").alias("first")).withColumn("shard", F.col("vhost_id") % 16)
-    arrival = F.row_number().over(Window.partitionBy(window, "shard").orderBy("first"))
+    arrival = F.row_number().over(Window.partitionBy(window, "shard").orderBy("first", "vhost_id"))
     admitted = seen.withColumn("arrival", arrival).where(F.col("arrival") <= -(-tracked // 16)).select(window, "vhost_id")
     c = facts.join(admitted, [window, "vhost_id"], "left_semi").groupBy(window, "vhost_id", "path_bucket", "status_bucket").agg(F.count("*").alias("cnt"))
     return top_by_count(c, [window, "vhost_id"], ["path_bucket", "status_bucket"], k)

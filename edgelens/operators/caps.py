@@ -16,21 +16,26 @@ def keyed_counts(rows: DataFrame, keys: list[str], window: str, count: Column |
     return rows.groupBy(window, *keys).agg((F.count("*") if count is None else F.sum(count)).alias("cnt"), F.min(seq).alias("first"))
 
 
-def ranked(counts: DataFrame, window: list[str]) -> DataFrame:
-    return counts.withColumn("arrival", F.row_number().over(Window.partitionBy(*window).orderBy("first")))
+def ranked(counts: DataFrame, window: list[str], keys: list[str]) -> DataFrame:
+    """With the arrival of each key in its window; keys that arrive together are ordered by themselves."""
+    return counts.withColumn("arrival", F.row_number().over(Window.partitionBy(*window).orderBy("first", *keys)))
 
 
 def cap_keys(rows: DataFrame, keys: list[str], n: int, window: str = "w") -> tuple[DataFrame, DataFrame]:
-    """(admitted counts, overflow per window)."""
-    r = ranked(keyed_counts(rows, keys, window), [window])
-    kept = r.where(F.col("arrival") <= n).select(window, *keys, "cnt")
-    over = r.where(F.col("arrival") > n).groupBy(window).agg(F.sum("cnt").alias("overflow"), F.count("*").alias("keys_dropped"))
+    """(admitted counts, overflow per window). A task ranks only the first n keys of what it holds of a window,
+    and the overflow is the window's total without the admitted keys."""
+    counts = keyed_counts(rows, keys, window)
+    kept = ranked(counts, [window], keys).where(F.col("arrival") <= n).select(window, *keys, "cnt")
+    total = counts.groupBy(window).agg(F.sum("cnt").alias("cnt"), F.count("*").alias("keys"))
+    own = kept.groupBy(F.col(window).alias("__w")).agg(F.sum("cnt").alias("own"), F.count("*").alias("own_keys"))
+    rest = total.join(own, F.col(window).eqNullSafe(F.col("__w")), "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("own", "own_keys")})
+    over = rest.where(F.col("keys") > F.col("own_keys")).select(window, (F.col("cnt") - F.col("own")).alias("overflow"), (F.col("keys") - F.col("own_keys")).alias("keys_dropped"))
     return kept, over
 
 
 def cap_with_sentinel(rows: DataFrame, keys: list[str], n: int, sentinel: dict[str, Column], window: str = "w") -> DataFrame:
     """Counts in which keys beyond the cap are re-keyed by sentinel and summed again."""
-    r = ranked(keyed_counts(rows, keys, window), [window])
+    r = ranked(keyed_counts(rows, keys, window), [window], keys)
     late = F.col("arrival") > n
     r = r.withColumns({k: F.when(late, v).otherwise(F.col(k)) for k, v in sentinel.items()})
     return r.groupBy(window, *keys).agg(F.sum("cnt").alias("cnt"))
@@ -38,7 +43,7 @@ def cap_with_sentinel(rows: DataFrame, keys: list[str], n: int, sentinel: dict[s
 
 def cap_per_group(rows: DataFrame, group: str, key: str, n: int, sentinel: str = "__overflow__", window: str = "w", more: tuple[str, ...] = ()) -> DataFrame:
     """At most n different keys in each group; later ones become the sentinel."""
-    r = ranked(keyed_counts(rows, [group, key, *more], window), [window, group])
+    r = ranked(keyed_counts(rows, [group, key, *more], window), [window, group], [key, *more])
     named = F.when(F.col("arrival") > n, sentinel).otherwise(F.col(key))
     return r.withColumn(key, named).groupBy(window, group, key, *more).agg(F.sum("cnt").alias("cnt"))
 
@@ -50,9 +55,9 @@ def is_page(outcome: Column, source: Column) -> Column:
 
 def cap_two_tier(rows: DataFrame, keys: list[str], page: Column, n: int, reserve: int, window: str = "w") -> DataFrame:
     """Counts with kept: the first n keys of any kind, then the first reserve others that are no pages."""
-    r = ranked(keyed_counts(rows, keys, window), [window]).withColumn("page", page)
+    r = ranked(keyed_counts(rows, keys, window), [window], keys).withColumn("page", page)
     late = F.when((F.col("arrival") > n) & ~F.col("page"), F.col("first"))
-    second = F.row_number().over(Window.partitionBy(window, late.isNotNull()).orderBy(late))
+    second = F.row_number().over(Window.partitionBy(window, late.isNotNull()).orderBy(late, *keys))
     r = r.withColumn("reserve", F.when(late.isNotNull(), second))
     kept = (F.col("arrival") <= n) | (F.coalesce("reserve", F.lit(reserve + 1)) <= reserve)
     return r.withColumn("kept", kept).select(window, *keys, "cnt", "page", "kept")

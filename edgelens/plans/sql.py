@@ -111,7 +111,7 @@ from d where shed is not null and (max_level > 0 or shed > 0 or extract(minute f
 
 def _capped(keys: str, n: int, source: str) -> str:
     return f""", c as (select w, {keys}, count(*) as cnt, min(seq) as f from {source} group by all),
-r as (select *, row_number() over (partition by w order by f) as a from c)"""
+r as (select *, row_number() over (partition by w order by f, {keys}) as a from c)"""
 
 
 _OWN = "(select * from facts where not monitor and vhost_id is not null)"
@@ -120,7 +120,7 @@ A20 = " select w as minute, vhost_id, origin, count(*) as request_count, cast(su
 C1 = _capped("vhost_id, origin, method_norm", 20, _OWN) + " select w, vhost_id, origin, method_norm, cnt from r where a <= 20"
 C1_OVER = _capped("vhost_id, origin, method_norm", 20, _OWN) + " select w, cast(sum(cnt) as bigint) as overflow, count(*) as keys_dropped from r where a > 20 group by w"
 C1_LINEITEM = """with c as (select concat(l_returnflag, l_linestatus) as w, l_suppkey, l_partkey % 10 as part_class, count(*) as cnt, min(l_orderkey * 10 + l_linenumber) as f from lineitem group by all),
-r as (select *, row_number() over (partition by w order by f) as a from c) select w, l_suppkey, part_class, cnt from r where a <= 50"""
+r as (select *, row_number() over (partition by w order by f, l_suppkey, part_class) as a from c) select w, l_suppkey, part_class, cnt from r where a <= 50"""
 
 CONN = f"""with ev as ({EV_DUCKDB}), raw as ({CONNECTIONS}),
 conn as (select seq, ts, remote_addr, ja3, ja4, reason, date_trunc('day', ts) as w, date_trunc('minute', ts) as minute,
@@ -153,6 +153,10 @@ z as (select *, case when a > 30 and not page then row_number() over (partition
 t as (select *, a <= 30 or coalesce(a2, 11) <= 10 as kept from z)"""
 C4 = _TIERS + " select w, minute, host_n, challenge, source, cnt, page, kept from t"
 C11 = _TIERS + " select minute, cast(sum(cnt) as bigint) as lost_count from t where not kept and not page group by minute"
+# losses come in ascending minutes, so at the bound the oldest of ten always moves into the new one
+T11 = _TIERS + """, l as (select epoch_us(minute) // 60000000 as m, sum(cnt) as lost from t where not kept and not page group by 1),
+n as (select *, row_number() over (partition by m % 3 order by m) % 10 as c from l)
+select m % 3 as cluster_id, max(m) as minute, cast(sum(lost) as bigint) as lost from n group by m % 3, c"""
 C6 = _capped("vhost_id, hash_ip, ua", 100, _OWN) + " select w, vhost_id, count(*) as entries from r where a <= 100 group by all"
 _POS = f", e as ({_EVENTS}), p as (select *, row_number() over (partition by machine_id, w order by seq) - 1 as pos from e)"
 C7 = _POS + " select seq, machine_id, w from p where pos < 50"
@@ -167,7 +171,7 @@ r2_ as (select *, row_number() over (partition by w order by f) as a from c2)
 select 'counter' as track, count(*) filter (a <= 20) as keys_kept, coalesce(sum(cnt) filter (a <= 20), 0)::bigint as counted, coalesce(sum(cnt) filter (a > 20), 0)::bigint as overflow, count(*) filter (a > 20) as keys_dropped from r1_
 union all select 'http_version', count(*) filter (a <= 5), coalesce(sum(cnt) filter (a <= 5), 0)::bigint, coalesce(sum(cnt) filter (a > 5), 0)::bigint, count(*) filter (a > 5) from r2_"""
 
-J1 = """, d as (select 'h' || s_suppkey::varchar || '.example.com' as host, s_suppkey + 100 as v from supplier where s_suppkey <= 15),
+J1 = """, d as (select 'h' || s_suppkey::varchar || '.example.com' as host, s_suppkey + 100 as v from supplier),
 x as (select seq, vhost_id, case when regexp_full_match(hn, '[a-z0-9._-]{1,253}') then hn end as hn
   from (select seq, vhost_id, lower(regexp_replace(regexp_replace(host, ':[0-9]*$', ''), '\\.$', '')) as hn from facts))
 select seq, coalesce(d.v, x.vhost_id)::bigint as vhost_id, coalesce(d.v <> x.vhost_id, false) as conflict from x left join d on x.hn = d.host"""

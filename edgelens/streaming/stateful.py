@@ -1,6 +1,6 @@
-"""Streaming twins of the folds that remember their last result: overload levels and latency scores.
+"""Streaming twin of the fold that remembers its last result: latency scores.
 
-State is kept per machine or upstream in Spark's state store, and samples of one micro-batch are folded in order.
+State is kept per upstream in Spark's state store, and samples of one micro-batch are folded in order.
 A sample that comes after a later one of its key was folded cannot be folded any more: it changes nothing
 and gives no row. Losses per minute need no state: a micro-batch delivers them whole (tracks.run_stream with
 series.bounded_losses).
@@ -8,71 +8,17 @@ series.bounded_losses).
 
 from __future__ import annotations
 
-import json
-import math
 from collections.abc import Iterator
-from dataclasses import asdict
-from types import SimpleNamespace
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from edgelens.operators import series
 from edgelens.runtime import importable
 
-LEVELS = "machine_id string, t long, level long, reasons long, burst_est_s long, lim long"
 SLOW_STATUS = (502, 503, 504)
 
 
-def _rates(last: dict | None, r, gap_s: float, hz: int) -> tuple[float | None, int, float | None]:
-    """(seconds since the last sample, steal in permille, busy cores)."""
-    if last is None:
-        return None, 0, None
-    dt = r.seconds - last["seconds"]
-    user, steal, idle = r.user_j - last["user_j"], r.steal_j - last["steal_j"], r.idle_j - last["idle_j"]
-    total = user + steal + idle
-    if not 0 < dt <= gap_s or min(user, steal, idle) < 0 or total <= 0:
-        return dt, 0, None
-    return dt, int(steal * 1000 // total), user / hz / dt
-
-
-def _ewma(last: float | None, x: float, dt: float | None, gap_s: float) -> float:
-    if last is None or dt is None or dt > gap_s:
-        return x
-    return last + (1 - math.exp(-dt / 10)) * (x - last) if dt > 0 else last
-
-
-def overload_levels(samples: DataFrame, vcpus: float = 8.0, least: int = 8, most: int = 256, gap_s: float = series.GAP_S, hz: int = 100) -> DataFrame:
-    """(machine_id, t, level, reasons, burst_est_s, lim) of a stream of samples with machine_id, t, seconds,
-    user_j, steal_j, idle_j, sched_s, hard_cap_hit, completions and latency_ns."""
-    importable(samples.sparkSession)
-
-    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = json.loads(state.get[0]) if state.exists else {"last": None, "ewma": None, "t": None, "model": None}
-        model = series.Overload(**held["model"]) if held["model"] else series.Overload()
-        model.latency = tuple(model.latency)
-        rows = pd.concat(list(parts)).sort_values("t")
-        out = []
-        for r in rows.itertuples(index=False):
-            if held["t"] is not None and r.t <= held["t"]:
-                continue
-            dt, steal, busy = _rates(held["last"], r, gap_s, hz)
-            held["ewma"] = _ewma(held["ewma"], float(steal), dt, gap_s)
-            sample = SimpleNamespace(
-                seconds=r.seconds, busy=busy, steal_permille=steal, ewma=held["ewma"], sched_s=r.sched_s, hard_cap_hit=r.hard_cap_hit,
-                completions=r.completions, latency_ns=r.latency_ns,
-            )
-            out.append((key[0], int(r.t), *series.advance(model, sample, vcpus, least, most)))
-            held["last"] = {"seconds": float(r.seconds), "user_j": int(r.user_j), "steal_j": int(r.steal_j), "idle_j": int(r.idle_j)}
-            held["t"] = int(r.t)
-        held["model"] = asdict(model)
-        state.update((json.dumps(held),))
-        yield pd.DataFrame(out, columns=["machine_id", "t", "level", "reasons", "burst_est_s", "lim"])
-
-    return samples.groupBy("machine_id").applyInPandasWithState(run, LEVELS, "held string", "append", GroupStateTimeout.NoTimeout)
-
-
 def latency_scores(
     samples: DataFrame, alpha: float = 0.2, half_life_s: float = 30.0, idle_s: float = 600.0, floor_us: int = 5_000_000
 ) -> DataFrame:

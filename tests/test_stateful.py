@@ -24,25 +24,6 @@ def halves(spark, rows, schema, order, folder):
     return df, spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
 
 
-def test_overload_stream_equals_batch(spark, tmp_path):
-    schema = "machine_id string, t long, seconds double, ts timestamp, user_j long, steal_j long, idle_j long, sched_s double, hard_cap_hit boolean, completions long, latency_ns long"
-    rows, user, steal = [], 0, 0
-    from datetime import datetime, timedelta
-
-    for t in range(240):
-        for m in ("m0", "m1"):
-            hot = 40 < t < 120 and m == "m0"
-            user, steal = user + (700 if hot else 20), steal + (400 if hot else 0)
-            rows.append((m, t, float(t), datetime(2024, 1, 1) + timedelta(seconds=t), user, steal, t * 300, 0.15 if hot else 0.0, t == 200, t * 30, t * 30 * 4_000_000))
-    df, stream = halves(spark, rows, schema, 1, tmp_path)
-    got = drain(spark, stateful.overload_levels(stream.drop("ts")), "levels", str(tmp_path / "cp"))
-    rates = series.cpu_rates(df)
-    e = series.throttle_ewma(rates)
-    want = series.overload_levels(rates.join(e, ["machine_id", "t"]).select("machine_id", "t", "seconds", "steal_permille", "busy", "ewma", "sched_s", "hard_cap_hit", "completions", "latency_ns"))
-    key = lambda f: sorted(tuple(r) for r in f.collect())
-    assert key(got) == key(want) and {r.level for r in got.collect()} == {0, 1, 2}
-
-
 def test_latency_stream_equals_batch(spark, tmp_path):
     from datetime import datetime, timedelta
 
