@@ -167,16 +167,17 @@ def is_static(path: Column) -> Column:
     return extension.isin(STATIC_EXTENSIONS)
 
 
-def admission_class(method_: Column, path: Column, fetch_mode: Column, accept: Column, platform: tuple[str, ...] = ("/.well-known/acme-challenge/",)) -> Column:
+def admission_class(method_: Column, path: Column, fetch_mode: Column, fetch_dest: Column, accept: Column, platform: tuple[str, ...] = ("/.well-known/acme-challenge/",)) -> Column:
     own = F.lit(False)
     for p in platform:
         own = own | path.startswith(p)
     read = method_.isin("GET", "HEAD")
-    page = (F.coalesce(fetch_mode, F.lit("")) == "navigate") | F.coalesce(accept, F.lit("")).startswith("text/html")
+    page = (F.coalesce(fetch_mode, F.lit("")) == "navigate") | (F.coalesce(fetch_dest, F.lit("")) == "document") | F.coalesce(accept, F.lit("")).startswith("text/html")
     return F.when(own | (path == "/healthy"), "P0").when(read & page, "P1").when(read & is_static(path), "P3").otherwise("P2")
 
 
-def failure_reason(kind: Column, origin_: Column, status: Column, wrote: Column, cancelled: Column) -> Column:
+def failure_reason(kind: Column, origin_: Column, status: Column, wrote: Column, cancelled: Column, staged: Column) -> Column:
+    """Why a proxy error without an answer happened; what staged evidence says comes before write errors."""
     names = {
         "no_upstreams": "no_upstreams_available", "certificate": "tls_certificate_error", "dns_timeout": "dns_timeout", "dns": "dns_error",
         "reset": "connection_reset", "eof": "upstream_eof", "header_timeout": "response_header_timeout",
@@ -184,6 +185,8 @@ def failure_reason(kind: Column, origin_: Column, status: Column, wrote: Column,
     }
     out = F.when((origin_ != "cluster_proxy_error") | ~status.between(500, 599) | wrote | cancelled, "")
     for k, name in names.items():
+        if k.startswith("write"):
+            out = out.when(staged.isNotNull(), staged)
         out = out.when(kind == k, name)
     return out.otherwise("unknown")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from edgelens.functions import columns as C
+from edgelens.operators import addresses, exemptions
 
 
 def normalize_requests(requests: DataFrame, salt: str = "salt") -> DataFrame:
@@ -33,9 +34,10 @@ def normalize_requests(requests: DataFrame, salt: str = "salt") -> DataFrame:
         "origin": C.origin(c("block_reason"), c("err_kind"), c("upstream_addr"), c("err_is_handler"), c("retried_response")),
         "disposition": C.disposition(c("block_reason"), c("challenge_outcome")), "status_bucket": C.status_bucket(c("status")),
         "is_static": c("method").isin("GET", "HEAD") & C.is_static(c("path")),
-        "admission_class": C.admission_class(c("method"), c("path"), c("fetch_mode"), c("accept")),
+        "admission_class": C.admission_class(c("method"), c("path"), c("fetch_mode"), c("fetch_dest"), c("accept")),
     })
-    return step.withColumn("failure_reason", C.failure_reason(c("err_kind"), c("origin"), c("status"), c("wrote"), c("cancelled")))
+    staged = C.staged_reason(c("failure_evidence"), c("err_message"), c("connections"))
+    return step.withColumn("failure_reason", C.failure_reason(c("err_kind"), c("origin"), c("status"), c("wrote"), c("cancelled"), staged))
 
 
 def observed(facts: DataFrame) -> DataFrame:
@@ -48,6 +50,24 @@ def attributed(facts: DataFrame) -> DataFrame:
     return observed(facts).where("vhost_id is not null")
 
 
+def request_events(facts: DataFrame, v2: bool = True) -> DataFrame:
+    """The raw event track with its wire names. Mode v2 adds seven columns, the last of them null without a
+    failure; defense_exempt is null unless true. Unsampled: caps.sample_* set sample_rate."""
+    c = F.col
+    rows = exemptions.with_forwarded_ip(addresses.with_client_ip(event_rows(facts, v2)))
+    out = [
+        F.date_trunc("second", "end_ts").cast("timestamp_ntz").alias("ts"), "cluster_id", "vhost_id", "client_ip", "forwarded_ip", "front_proxy", c("method_norm").alias("method"),
+        "path", "path_bucket", "status", "http_version", C.byte_cap(c("ua"), 512).alias("ua"), "origin", "bytes_in", "bytes_out", "duration_us",
+        F.lit(1).cast("long").alias("sample_rate"), F.when(c("exempt"), True).alias("defense_exempt"),
+    ]
+    if v2:
+        out += [
+            F.unix_millis(c("end_ts").cast("timestamp")).alias("ts_ms"), C.byte_cap(c("machine_id"), 64).alias("machine_id"), c("seq").alias("machine_seq"), "disposition",
+            c("event_host").alias("host"), c("request_uuid").alias("request_id"), F.nullif("failure_reason", F.lit("")).alias("upstream_failure_reason"),
+        ]
+    return rows.select(*out)
+
+
 def event_rows(facts: DataFrame, v2: bool = True) -> DataFrame:
     """Rows of the raw event track. Mode v2 keeps rows without a vhost only where a challenge was seen, as
     vhost 0 with their host; legacy mode keeps rows that were not blocked."""

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from edgelens.functions import columns as C
 from edgelens.runtime import importable
 
-MARKER = r"^http=([01]);waf_all=([01]);waf_rule_ids=((?:[1-9][0-9]*(?:,[1-9][0-9]*)*)?)$"
-MARKS = ["[masked]", "[*]", ""]
+#: Field names of a marker, fixed values of its format: the request's flag, the flag for all rules, the rule ids.
+MARKER_FIELDS = ("http", "coraza_all", "coraza_rule_ids")
+MARKS, URL_MARKS = ["[masked]", "[*]", ""], ["[masked]", "[*]", "-", ""]
 DECODE_ROUNDS = 3
 LONG_VALUE = 8
 SCAN_BYTES = 6 * 1024  # past a kept prefix: the longest managed value, each byte escaped
@@ -35,23 +36,29 @@ def header_vhost(headers: Column, name: str) -> Column:
     return F.coalesce(F.get(F.array_compact(F.transform(values, lambda v: C.u32(v))), F.lit(0)), F.lit(0))
 
 
-def parse_evidence(marker: Column) -> Column:
+def parse_evidence(marker: Column, fields: tuple[str, str, str] = MARKER_FIELDS) -> Column:
     """struct<http, all, ids> of a canonical marker with strictly ascending ids; null otherwise."""
-    ids = F.transform(F.filter(F.split(F.regexp_extract(marker, MARKER, 3), ","), lambda x: x != ""), lambda x: x.try_cast("long"))
+    form = "^{}=([01]);{}=([01]);{}=((?:[1-9][0-9]*(?:,[1-9][0-9]*)*)?)$".format(*map(re.escape, fields))
+    ids = F.transform(F.filter(F.split(F.regexp_extract(marker, form, 3), ","), lambda x: x != ""), lambda x: x.try_cast("long"))
     ascending = F.forall(F.zip_with(F.slice(ids, 1, F.greatest(F.size(ids) - 1, F.lit(0))), F.slice(ids, 2, F.greatest(F.size(ids) - 1, F.lit(0))), lambda a, b: a < b), lambda x: x)
-    value = F.struct((F.regexp_extract(marker, MARKER, 1) == "1").alias("http"), (F.regexp_extract(marker, MARKER, 2) == "1").alias("all"), ids.alias("ids"))
-    return F.when(marker.rlike(MARKER) & ascending, value)
+    value = F.struct((F.regexp_extract(marker, form, 1) == "1").alias("http"), (F.regexp_extract(marker, form, 2) == "1").alias("all"), ids.alias("ids"))
+    return F.when(marker.rlike(form) & ascending, value)
 
 
 def mark_exempt(findings: DataFrame, catalog: DataFrame, marker: str = "marker") -> DataFrame:
     """findings with exempt: by the all-flag, or the rule is in the marker's list; a marker that names a
-    rule outside the catalogue is void. Markers are few, so different ones are checked once."""
-    markers = findings.select(marker).distinct().withColumn("e", parse_evidence(F.col(marker))).where("e is not null")
-    named = markers.select(marker, F.explode("e.ids").alias("rule_id"))
-    void = named.join(catalog, "rule_id", "left_anti").select(marker).distinct()
-    valid = markers.join(void, marker, "left_anti")
-    out = findings.join(valid, marker, "left")
-    return out.withColumn("exempt", F.coalesce(F.col("e.all") | F.array_contains("e.ids", F.col("rule_id")), F.lit(False))).drop("e")
+    rule outside the catalogue is void. Of a marker's rules only those that it names are joined, by id, with
+    the catalogue; findings without a marker of rules, most of them, take no part in that join."""
+    e = parse_evidence(F.col(marker))
+    rows = findings.withColumn("__e", e).withColumn("__named", F.when(F.size("__e.ids") > 0, F.col(marker)))
+    named = rows.where("__named is not null").select("__named", "__e").dropDuplicates(["__named"])
+    known = catalog.select(F.col("rule_id").alias("__rule")).distinct()
+    ids = named.select("__named", F.explode("__e.ids").alias("__rule")).join(known.withColumn("__known", F.lit(True)), "__rule", "left")
+    valid = ids.groupBy("__named").agg(F.bool_and(F.col("__known").isNotNull()).alias("__valid"))
+    own = rows.where("__named is not null").join(valid, "__named").drop("__named")
+    other = rows.where("__named is null").drop("__named").withColumn("__valid", F.lit(True))
+    hit = F.col("__valid") & (F.col("__e.all") | F.array_contains("__e.ids", F.col("rule_id")))
+    return own.unionByName(other).withColumn("exempt", F.coalesce(hit, F.lit(False))).drop("__e", "__valid")
 
 
 def unknown_rules(ids: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -64,12 +71,16 @@ def choose_marker(values: list[str], marks: list[str] = MARKS) -> str:
 
 
 def decode_round(text: str) -> str:
-    """One lenient round: %XX, %uXXXX, +, HTML entities, NUL."""
+    """One lenient round over bytes: %XX, %uXXXX (its low byte, full-width letters as plain ones), +, HTML entities, NUL."""
 
-    def escape(m: re.Match) -> str:
-        return chr(int(m[1] or m[2], 16))
+    def escape(m: re.Match) -> bytes:
+        if m[0] == b"+":
+            return b" "
+        n = int(m[1] or m[2], 16)
+        return bytes([n % 256 + (0x20 if n >> 8 == 0xFF and 0 < n % 256 < 0x5F else 0)])
 
-    return html.unescape(re.sub(r"%u([0-9a-fA-F]{4})|%([0-9a-fA-F]{2})", escape, text.replace("+", " "))).replace("\0", "")
+    raw = re.sub(rb"%[uU]([0-9a-fA-F]{4})|%([0-9a-fA-F]{2})|\+", escape, text.encode("utf-8", "surrogateescape"))
+    return html.unescape(raw.decode("utf-8", "surrogateescape")).replace("\0", "")
 
 
 def rounds(text: str) -> list[str]:
@@ -98,17 +109,23 @@ def redact_url(path_and_query: str, carried: bool, values: list[str], mark: str)
 
     parts = [mark if s and hit(s) else s for s in path.split("/")]
     out = "/".join(parts)
-    if out == path and carries(path, long):
+    if carries(out, long):
         out = "/" + mark
     if not sep:
         return out
     if carried:
-        return f"{out}?{mark}"
+        return f"/{mark}?{mark}" if carries(path_and_query, [v for v in long if "?" in v]) else f"{out}?{mark}"
     params = [mark if p and hit(p) else p for p in query.split("&")]
     redacted = "&".join(params)
-    if redacted == query and carries(query, long):
+    if carries(redacted, long):
         redacted = mark
-    return f"{out}?{redacted}"
+    if not carries(f"{out}?{redacted}", long):
+        return f"{out}?{redacted}"
+    # a value with a question mark of its own lies across the path's last segment and the first parameter, or further
+    if not carries(path.rpartition("/")[2] + "?" + query.split("&")[0], long):
+        return f"/{mark}?{mark}"
+    out, redacted = f"{out.rpartition('/')[0]}/{mark}", "&".join([mark, *redacted.split("&")[1:]])
+    return f"/{mark}?{mark}" if carries(f"{out}?{redacted}", long) else f"{out}?{redacted}"
 
 
 def scan_window(text: str, limit: int, mark: str, target: bool = False) -> str:
@@ -136,12 +153,13 @@ def redact(
     A native test of the decoded characters lets most rows skip Python; an unknown carried state masks all.
     With limit, uri is cut to so many bytes after its scan window was redacted."""
     importable(rows.sparkSession)
-    values = sorted({v.strip().lower() for _, v in managed if v.strip()})
-    mark = choose_marker(values)
+    values = {v.strip().lower() for _, v in managed if v.strip()}
+    values = sorted(values | {v.replace("+", " ") for v in values})
+    mark, url_mark = choose_marker(values), choose_marker(values, URL_MARKS)
 
     @F.pandas_udf("string")
     def url(u: pd.Series, c: pd.Series) -> pd.Series:
-        return pd.Series([redact_url(scan_window(a or "", limit, mark, target=True) if limit else a or "", bool(b), values, mark) for a, b in zip(u, c)])
+        return pd.Series([redact_url(scan_window(a or "", limit, url_mark, target=True) if limit else a or "", bool(b), values, url_mark) for a, b in zip(u, c)])
 
     @F.pandas_udf("boolean")
     def found(t: pd.Series) -> pd.Series:
@@ -154,17 +172,47 @@ def redact(
         return F.coalesce(test, F.lit(False))
 
     known = F.col(carried).isNotNull()
-    new_uri = F.when(~known, mark).when(F.col(carried) | suspect(F.col(uri)), url(F.col(uri), F.col(carried))).otherwise(F.col(uri))
+    new_uri = F.when(~known, url_mark).when(F.col(carried) | suspect(F.col(uri)), url(F.col(uri), F.col(carried))).otherwise(F.col(uri))
     if limit:
         new_uri = C.byte_cap(new_uri, limit)
     new_text = F.when(~known | F.col(carried), mark).when(suspect(F.col(text)) & found(F.when(suspect(F.col(text)), F.col(text))), mark).otherwise(F.col(text))
     return rows.withColumns({uri: new_uri, text: new_text})
 
 
+def forms(text: str | None) -> list[str]:
+    """What a field may stand for: itself and its list elements, trimmed and folded, as they are or decoded, and the
+    addresses among them in canonical form."""
+    from edgelens.operators.exemptions import parse_ip
+
+    parts = [p for t in rounds(text or "") for p in (t, *t.split(","))]
+    return sorted({p.strip().lower() for p in parts} | {ip for ip in map(parse_ip, parts) if ip})
+
+
 def carries_managed(headers: DataFrame, managed: DataFrame) -> DataFrame:
-    """(id, carried): requests with a managed header whose list element equals a managed value after
-    trimming and folding. headers: (id, name, value); managed: (name, value)."""
-    elements = headers.select("id", F.lower("name").alias("name"), F.explode(F.split("value", ",")).alias("v")).select("id", "name", F.lower(F.trim("v")).alias("v"))
-    keys = managed.select(F.lower("name").alias("name"), F.lower(F.trim("value")).alias("v")).distinct()
-    hits = elements.join(keys, ["name", "v"], "left_semi").select("id").distinct().withColumn("carried", F.lit(True))
-    return headers.select("id").distinct().join(hits, "id", "left").withColumn("carried", F.coalesce("carried", F.lit(False)))
+    """(id, carried): requests with a managed header of which the field or a list element is a managed value after
+    trimming and folding, as it is or after up to three rounds of decoding; an address counts in any form.
+    headers: (id, name, value); managed: (name, value). Fields of other names are never read; different fields
+    are read once, and only those that may hold escapes or addresses leave the JVM."""
+    from edgelens.operators.exemptions import parse_ip
+
+    importable(headers.sparkSession)
+
+    @F.pandas_udf("array<string>")
+    def each(s: pd.Series) -> pd.Series:
+        return s.map(forms)
+
+    @F.pandas_udf("array<string>")
+    def addresses(s: pd.Series) -> pd.Series:
+        return s.map(lambda v: [ip for ip in map(parse_ip, v.split(",")) if ip])
+
+    own = managed.select(F.lower("name").alias("name"), "value").where("trim(value) <> ''")
+    fields = headers.select(F.lower("name").alias("name"), "value").distinct().join(own.select("name").distinct(), "name", "left_semi")
+    odd = F.col("value").rlike(r"[%+&]|^[\s0-9A-Fa-f:.,]*$")
+    plain = F.transform(F.concat(F.array("value"), F.split("value", ",")), lambda v: F.lower(F.trim(v)))
+    seen = fields.where(~odd).select("name", "value", F.explode(plain).alias("form")).unionByName(
+        fields.where(odd).select("name", "value", F.explode(each("value")).alias("form")))
+    # a value managed under any name counts, once the field's own name is managed
+    keys = own.select(F.explode(F.concat(F.array(F.lower(F.trim("value"))), addresses("value"))).alias("form")).distinct()
+    hits = seen.join(keys, "form", "left_semi").select("name", "value").distinct()
+    ids = headers.select("id", F.lower("name").alias("name"), "value").join(hits, ["name", "value"], "left_semi").select("id").distinct().withColumn("carried", F.lit(True))
+    return headers.select("id").distinct().join(ids, "id", "left").withColumn("carried", F.coalesce("carried", F.lit(False)))

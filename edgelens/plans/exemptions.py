@@ -63,7 +63,7 @@ def e5_evidence_versions(spark, sf_dir):
         .when(tx % 7 == 3, F.array(F.lit(p.signature), F.lit("EVIDENCE/9"))).when(tx % 7 == 6, F.array(F.lit("core")))
         .otherwise(F.array(F.lit("core"), F.lit(p.signature)))
     )
-    marker = F.when(F.col("marker") == "all", "http=0;waf_all=1;waf_rule_ids=").otherwise(F.col("marker"))
+    marker = F.when(F.col("marker") == "all", "http=0;coraza_all=1;coraza_rule_ids=").otherwise(F.col("marker"))
     values = F.when(tx % 9 == 0, F.array(marker, marker)).otherwise(F.array(marker))
     headers = F.map_from_arrays(F.array(F.lit("X-Evidence"), F.lit("X-EXEMPT")), F.array(values, F.array(F.when(tx % 4 == 0, "true").otherwise("True"))))
     found = waf.explode_findings(audit(spark, sf_dir)).withColumns({"rulesets": sets, "headers": headers})

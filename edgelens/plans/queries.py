@@ -33,7 +33,10 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize.normalize_requests(views(spark, sf_dir, "requests")[0]).withColumn("w", C.day(F.col("end_ts")))
+    e = lambda message, reason, n: F.struct(F.lit(message).alias("message"), F.lit(reason).alias("reason"), F.lit(n).cast("long").alias("connections"))
+    evidence = F.array(e("dial failed", "connection_refused", 1), e("failed", "connect_timeout", 2))
+    rows = views(spark, sf_dir, "requests")[0].withColumns({"failure_evidence": evidence, "connections": F.lit(2).cast("long")})
+    return normalize.normalize_requests(rows).withColumn("w", C.day(F.col("end_ts")))
 
 
 def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,8 +85,12 @@ def p29_staged_reason(spark, sf_dir):
 
 @query(S.FACTS + S.P33)
 def p33_request_events(spark, sf_dir):
-    rows = normalize.event_rows(facts(spark, sf_dir))
-    return rows.select("seq", "vhost_id", "event_host", "disposition", "status", "path", "origin", F.nullif("failure_reason", F.lit("")).alias("upstream_failure_reason"))
+    return normalize.request_events(facts(spark, sf_dir))
+
+
+@query(S.FACTS + S.P33_LEGACY)
+def p33_legacy_events(spark, sf_dir):
+    return normalize.request_events(facts(spark, sf_dir), v2=False)
 
 
 @query(S.FACTS + "select seq, vhost_id, status from facts where not monitor and vhost_id is not null and block_reason = ''")
@@ -357,7 +364,7 @@ def e3_vhost_headers(spark, sf_dir):
 def e4_rule_exemptions(spark, sf_dir):
     """Findings exempt by their request's marker; rules of the catalogue are the even half and the hot ones."""
     catalog = spark.range(942000, 942100).where("id % 40 <> 7").select(F.col("id").alias("rule_id"))
-    found = waf.explode_findings(audit(spark, sf_dir).withColumn("marker", F.when(F.col("marker") == "all", "http=0;waf_all=1;waf_rule_ids=").otherwise(F.col("marker"))))
+    found = waf.explode_findings(audit(spark, sf_dir).withColumn("marker", F.when(F.col("marker") == "all", "http=0;coraza_all=1;coraza_rule_ids=").otherwise(F.col("marker"))))
     return waf.mark_exempt(found, catalog).select("tx_id", "pos", "rule_id", "exempt")
 
 
@@ -372,7 +379,7 @@ MANAGED = [("X-Origin-Key", "part 1234 of"), ("X-Origin-Key", "Line R of supplie
 
 @query()
 def r2_redact_findings(spark, sf_dir):
-    """Findings with managed values masked in target and text; brute force in the tests."""
+    """Findings with managed values masked in target and text; held against random targets in the tests."""
     found = waf.explode_findings(audit(spark, sf_dir)).withColumns({
         "uri": F.concat(F.lit("/a/"), F.replace("match_data", F.lit(" "), F.lit("%20")), F.lit("?q="), F.col("tx_id").cast("string")),
         "carried": F.when(F.col("tx_id") % 11 == 0, F.lit(None).cast("boolean")).otherwise(F.col("tx_id") % 7 == 0),
@@ -383,7 +390,7 @@ def r2_redact_findings(spark, sf_dir):
 @query(S.R1)
 def r1_carries_managed(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    headers = o.select(F.col("o_orderkey").alias("id"), F.lit("X-Prio").alias("name"), F.concat_ws(" , ", F.col("o_orderpriority"), F.col("o_orderstatus")).alias("value"))
+    headers = o.select(F.col("o_orderkey").alias("id"), F.lit("X-Prio").alias("name"), F.concat_ws(" , ", F.when(F.col("o_orderkey") % 3 == 0, F.replace("o_orderpriority", F.lit("-"), F.lit("%252D"))).otherwise(F.col("o_orderpriority")), F.col("o_orderstatus")).alias("value"))
     managed = spark.createDataFrame([("x-prio", "1-urgent"), ("X-Prio", " P "), ("x-other", "f")], "name string, value string")
     return waf.carries_managed(headers, managed)
 

@@ -40,10 +40,13 @@ facts as (select *, date_trunc('minute', end_ts) as minute, date_trunc('day', en
     case when coalesce(challenge_source, '') = '' then '' when challenge_source in ('automatic','staff','customer','edge_sequence','reputation','unknown') then challenge_source else 'unknown' end as source,
     method in ('GET', 'HEAD') and regexp_matches(lower(path), '\\.(css|js|mjs|map|png|jpg|jpeg|gif|webp|avif|svg|ico|bmp|woff|woff2|ttf|otf|eot|mp4|webm|mp3|ogg|wav|m4a|wasm)$') as is_static,
     case when starts_with(path, '/.well-known/acme-challenge/') or path = '/healthy' then 'P0'
-      when method in ('GET', 'HEAD') and (coalesce(fetch_mode, '') = 'navigate' or starts_with(accept, 'text/html')) then 'P1'
+      when method in ('GET', 'HEAD') and (coalesce(fetch_mode, '') = 'navigate' or coalesce(fetch_dest, '') = 'document' or starts_with(accept, 'text/html')) then 'P1'
       when method in ('GET', 'HEAD') and regexp_matches(lower(path), '\\.(css|js|mjs|map|png|jpg|jpeg|gif|webp|avif|svg|ico|bmp|woff|woff2|ttf|otf|eot|mp4|webm|mp3|ogg|wav|m4a|wasm)$') then 'P3' else 'P2' end as admission_class,
     case when origin <> 'cluster_proxy_error' or status not between 500 and 599 or wrote or cancelled then '' when err_kind = 'no_upstreams' then 'no_upstreams_available'
-      when err_kind = 'dns_timeout' then 'dns_timeout' when err_kind = 'eof' then 'upstream_eof' else 'unknown' end as failure_reason,
+      when err_kind = 'certificate' then 'tls_certificate_error' when err_kind = 'dns' then 'dns_error' when err_kind = 'dns_timeout' then 'dns_timeout'
+      when err_kind = 'reset' then 'connection_reset' when err_kind = 'eof' then 'upstream_eof' when err_kind = 'header_timeout' then 'response_header_timeout'
+      when err_message = 'dial failed' then 'connection_refused' when err_message = 'x: failed' then 'connect_timeout' when err_message = '' then 'connect_timeout'
+      when err_kind = 'write' then 'request_write_error' else 'unknown' end as failure_reason,
     cast(strlen(method) + strlen(uri) + 12 + coalesce(15 + strlen(xff) + 4, 0) + 10 + strlen(ua) + 4 + 6 + strlen(accept) + 4 + 2 + greatest(content_length, 0) as bigint) as bytes_in,
     cast(case when not wrote or hijacked then 0 else body_bytes_out + 17 + coalesce(16 + strlen(content_type), 0) + coalesce(12 + strlen(location), 0)
       + strlen(case written_status when 200 then 'OK' when 301 then 'Moved Permanently' when 404 then 'Not Found' when 500 then 'Internal Server Error' when 501 then 'Not Implemented'
@@ -73,9 +76,13 @@ P29 = BASE + """x as (select seq, k from requests)
 select seq, case k % 4 when 0 then 'connection_refused' when 1 then case when k % 2 = 0 then 'connect_timeout' else 'connection_refused' end
   when 2 then case when k % 2 = 0 then 'connect_timeout' else 'connection_refused' end end as reason from x"""
 
-P33 = """select seq, coalesce(vhost_id, 0) as vhost_id, case when vhost_id is null then lower(regexp_replace(host, ':[0-9]*$', '')) else '' end as event_host,
-  disposition, status, path, origin, nullif(failure_reason, '') as upstream_failure_reason
+_LEGACY = """date_trunc('second', end_ts) as ts, cluster_id, coalesce(vhost_id, 0) as vhost_id, string_split(remote_addr, ':')[1] as client_ip,
+  case when cdn_ip is not null then '2001:db8::1' when contains(xff, ',') then trim(string_split(xff, ',')[-1]) else '::' end as forwarded_ip, front_proxy, method_norm as method, path, path_bucket,
+  status, http_version, ua, origin, bytes_in, bytes_out, duration_us, 1::bigint as sample_rate, case when exempt then true end as defense_exempt"""
+P33 = f"""select {_LEGACY}, epoch_us(end_ts) // 1000 as ts_ms, machine_id, seq as machine_seq, disposition,
+  case when vhost_id is null then lower(regexp_replace(host, ':[0-9]*$', '')) else '' end as host, request_uuid as request_id, nullif(failure_reason, '') as upstream_failure_reason
 from facts where not monitor and (vhost_id is not null or challenge_outcome <> '')"""
+P33_LEGACY = f"select {_LEGACY} from facts where not monitor and vhost_id is not null and block_reason = ''"
 
 _COUNTER = "minute, vhost_id, method_norm, status, origin, country_norm, asn_norm, exempt, count(*) as request_count, cast(sum(bytes_in) as bigint) as bytes_in, cast(sum(bytes_out) as bigint) as bytes_out, cast(sum(duration_us) as bigint) as duration_us_sum"
 A1 = f"select {_COUNTER} from facts where not monitor and vhost_id is not null group by all"
@@ -91,11 +98,11 @@ s as (select *, case when disposition = 'served' or pos < 5 then 1 else pos // 5
 A17 = f", {_DISP} select origin, disposition, count(*) as kept, cast(sum(sample_rate) as bigint) as requests from s where disposition = 'served' or pos % sample_rate = 0 group by all"
 C9 = f", {_DISP} select seq, disposition, sample_rate from s where disposition = 'served' or pos % sample_rate = 0"
 
-A12 = """, h as (select *, origin = 'upstream' and wrote and upstream_latency_us > 0 and (latency_before_us is null or latency_before_us <> upstream_latency_us)
+A12 = """, h as (select *, origin = 'upstream' and (wrote or retried_response) and upstream_latency_us > 0 and (latency_before_us is null or latency_before_us <> upstream_latency_us)
     and (upstream_status = 101 or upstream_status between 200 and 599) as seen from facts
   where not monitor and vhost_id is not null and vhost_id <> 0 and regexp_full_match(health_key, '[0-9a-f]{64}'))
 select minute, vhost_id, health_key, count(*) as request_count,
-  count(*) filter (seen or (not err_is_handler and origin <> 'cluster_proxy_error' and (wrote or origin <> 'upstream'))) as routing_responses,
+  count(*) filter (seen or (not err_is_handler and origin <> 'cluster_proxy_error' and (wrote or (origin <> 'upstream' and not cancelled)))) as routing_responses,
   count(*) filter (seen) as upstream_responses, count(*) filter (seen and upstream_status between 200 and 399) as upstream_successes,
   count(*) filter (seen and upstream_status between 500 and 599) as upstream_5xx, count(*) filter (origin = 'cluster_proxy_error') as proxy_errors
 from h group by all"""
@@ -196,7 +203,7 @@ E1 = AUDIT + f" select tx_id, pos, rule_id, {_SEVERITY} as severity_label, left(
 E3 = AUDIT + " select distinct tx_id, case when vhost_case < 3 then vhost_case else 0 end::bigint as vhost_id from a"
 E4 = AUDIT + """ select tx_id, pos, rule_id, case when tx_id % 5 = 1 then true
   when tx_id % 5 = 0 and (942000 + tx_id % 40) % 40 <> 7 and (942041 + tx_id % 40) % 40 <> 7 then rule_id in (942000 + tx_id % 40, 942041 + tx_id % 40) else false end as exempt from a"""
-R1 = "select o_orderkey as id, lower(o_orderpriority) = '1-urgent' or o_orderstatus = 'P' as carried from orders"
+R1 = "select o_orderkey as id, lower(o_orderpriority) = '1-urgent' or o_orderstatus in ('P', 'F') as carried from orders"
 
 T2 = NODES + """, d as (select *, (epoch_us(ts) - epoch_us(lag(ts) over w)) / 1e6::double as dt, user_j - lag(user_j) over w as u, steal_j - lag(steal_j) over w as s, idle_j - lag(idle_j) over w as i
   from n window w as (partition by machine_id order by t))

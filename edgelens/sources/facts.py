@@ -26,16 +26,17 @@ select seq, ts as end_ts, user_id, k, cast(floor(value * 10000 + 0.5) as bigint)
   case when k % 6 = 0 then concat('198.51.100.7, 203.0.113.', cast(k as string)) when k % 6 = 1 then 'junk' else null end as xff,
   case when k % 9 = 0 then '2001:DB8:0:0::0001' else null end as cdn_ip,
   concat(event_type, '/', cast(k as string)) as ua,
-  case when k % 12 = 5 then 'navigate' else null end as fetch_mode, case when k % 4 = 1 then 'text/html,*/*' else 'application/json' end as accept,
+  case when k % 12 = 5 then 'navigate' else null end as fetch_mode, case when k % 12 = 7 then 'document' when k % 12 = 8 then 'image' else null end as fetch_dest, case when k % 4 = 1 then 'text/html,*/*' else 'application/json' end as accept,
   case when k % 4 = 0 then cast(k * 10 as bigint) else -1 end as content_length,
   k % 11 <> 0 as wrote, case when k % 7 = 0 then 500 + k % 5 when k % 7 = 1 then 404 when k % 7 = 2 then 301 else 200 end as written_status,
   k = 42 as hijacked, cast(floor(value * 100 + 0.5) as bigint) as body_bytes_out,
   case when k % 7 = 2 then null when k % 3 = 0 then 'application/json' else 'text/html; charset=utf-8' end as content_type,
   case when k % 7 = 2 then concat('https://shop.example.com/', cast(user_id as string)) else null end as location,
-  k % 13 = 0 as err_is_handler, case when k % 26 = 0 then 429 when k % 13 = 0 then 502 else 0 end as err_status,
-  case when k % 39 = 0 then 'stop: interruption triggered' when k % 13 = 0 then 'dial failed' else '' end as err_message,
-  case when k = 22 then 'no_upstreams' when k % 11 = 0 and k % 13 = 0 then 'dns_timeout' when k % 13 = 0 then 'eof' else '' end as err_kind,
-  case when k = 77 then 'geo' else '' end as block_reason_var,
+  k % 13 = 0 or k % 11 = 0 as err_is_handler, case when k % 26 = 0 then 429 when k % 13 = 0 or k % 11 = 0 then 502 else 0 end as err_status,
+  case when k % 39 = 0 then 'stop: interruption triggered' when k % 13 = 0 then 'dial failed' when k in (88, 99) and user_id % 3 = 0 then 'odd' when k = 99 and user_id % 3 = 1 then 'dial failed' when k = 99 then 'x: failed' else '' end as err_message,
+  case when k = 22 then 'no_upstreams' when k % 11 = 0 and k % 13 = 0 then 'dns_timeout' when k = 11 then 'certificate' when k = 33 then 'dns' when k = 44 then 'reset'
+    when k = 66 then 'header_timeout' when k = 88 then 'write' when k % 13 = 0 then 'eof' else '' end as err_kind,
+  case when k = 57 then 'geo' else '' end as block_reason_var,
   case when k % 5 = 0 then null else concat('10.1.0.', cast(user_id % 4 as string)) end as upstream_addr,
   cast(floor(value * 1000 + 0.5) as bigint) as upstream_latency_us, case when k % 17 = 3 then cast(floor(value * 1000 + 0.5) as bigint) else null end as latency_before_us,
   case when k % 7 = 0 then 500 + k % 5 when k % 7 = 1 then 404 when k % 7 = 3 then 101 else 200 end as upstream_status,
@@ -48,7 +49,7 @@ select seq, ts as end_ts, user_id, k, cast(floor(value * 10000 + 0.5) as bigint)
   case when k % 25 = 4 then 'passed' when k % 25 = 5 then 'failed' else '' end as verify_outcome,
   case when k % 3 = 0 then concat(md5(cast(user_id % 6 as string)), md5('x')) when k % 3 = 1 then 'short' else '' end as health_key,
   k % 17 = 0 as exempt, k = 50 as monitor, concat('m', cast(user_id % 3 as string)) as machine_id, cast(1 as bigint) as cluster_id,
-  false as cancelled, false as retried_response
+  k = 99 and user_id % 5 = 0 as cancelled, k % 11 = 0 and k % 2 = 1 and user_id % 7 = 0 as retried_response, md5(cast(seq as string)) as request_uuid
 from ev
 """
 
@@ -80,7 +81,7 @@ WAF_AUDIT = """
 select l_orderkey as tx_id, l_linenumber as pos, cast(l_partkey % 90 + 942000 as bigint) as rule_id, cast(l_suppkey % 10 as int) as severity,
   concat('Line ', l_returnflag, ' of supplier ', cast(l_suppkey as string), ' ', md5(cast(l_partkey as string))) as msg,
   concat('part ', cast(l_partkey as string), ' of order ', md5(cast(l_orderkey as string))) as data, cast(l_orderkey % 7 as int) as vhost_case,
-  case when l_orderkey % 5 = 0 then concat('http=1;waf_all=0;waf_rule_ids=', cast(942000 + l_orderkey % 40 as string), ',', cast(942041 + l_orderkey % 40 as string))
+  case when l_orderkey % 5 = 0 then concat('http=1;coraza_all=0;coraza_rule_ids=', cast(942000 + l_orderkey % 40 as string), ',', cast(942041 + l_orderkey % 40 as string))
     when l_orderkey % 5 = 1 then 'all' else '' end as marker
 from lineitem
 """
