@@ -42,6 +42,11 @@ def ip_dimension(rows: DataFrame, col: str = "remote_addr") -> DataFrame:
     return rows.select(col).distinct().withColumn("a", parse(col)).select(col, "a.ip", "a.prefix", "a.prefix_len")
 
 
+def without_zone(ip: Column) -> Column:
+    """An address without the scope zone, which means something on one connection only."""
+    return F.substring_index(ip, "%", 1)
+
+
 def with_client_ip(rows: DataFrame, col: str = "remote_addr", out: str = "client_ip") -> DataFrame:
     """rows with the canonical address of the connection, or its trimmed text where that is no address."""
     known = ip_dimension(rows, col).select(F.col(col).alias("__addr"), F.col("ip").alias("__ip"))

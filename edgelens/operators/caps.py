@@ -48,6 +48,14 @@ def cap_per_group(rows: DataFrame, group: str, key: str, n: int, sentinel: str =
     return r.withColumn(key, named).groupBy(window, group, key, *more).agg(F.sum("cnt").alias("cnt"))
 
 
+def cap_nested(rows: DataFrame, group: str, key: str, n: int, most: int, sentinel: str = "__overflow__", window: str = "w", more: tuple[str, ...] = ()) -> DataFrame:
+    """cap_per_group, and of its rows the first most of each window."""
+    r = ranked(keyed_counts(rows, [group, key, *more], window), [window, group], [key, *more])
+    named = F.when(F.col("arrival") > n, sentinel).otherwise(F.col(key))
+    r = r.withColumn(key, named).groupBy(window, group, key, *more).agg(F.sum("cnt").alias("cnt"), F.min("first").alias("first"))
+    return ranked(r, [window], [group, key, *more]).where(F.col("arrival") <= most).drop("first", "arrival")
+
+
 def is_page(outcome: Column, source: Column) -> Column:
     """Outcomes whose silent loss is lenient."""
     return (source != "") & (outcome.startswith("issued_") | outcome.startswith("not_shown_"))

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from edgelens.functions import columns as C
 
 COUNTER_KEY = ["minute", "vhost_id", "method_norm", "status", "origin", "country_norm", "asn_norm", "exempt"]
+#: Cumulative counters of a machine, fixed names in their order.
+NODE_COUNTERS = ["waf_skipped_detect", "waf_skipped_static", "waf_would_skip", "shed_p0", "shed_p1", "shed_p2", "shed_p3", "would_shed"]
 BUCKETS = len(C.LATENCY_BOUNDS_US) + 1
 
 
@@ -51,27 +53,34 @@ def domain_health(facts: DataFrame) -> DataFrame:
     )
 
 
-def node_state_minutes(samples: DataFrame) -> DataFrame:
-    """Per machine and minute: maxima, seconds at levels, reason bits, least known burst estimate, and counter
-    deltas as the first value of the next observed minute less the first of this; then the emission rule."""
+def node_state_minutes(samples: DataFrame, counters: list[str] = NODE_COUNTERS) -> DataFrame:
+    """Per machine and minute: maxima, seconds at levels, reason bits, least known burst estimate and its last
+    model, least limit in force, last processors, and each counter's delta as the first value of the next observed
+    minute less the first of this. Then the emission rule: completed minutes at a level, with a counter, or each tenth."""
     m = samples.withColumn("minute", C.minute(F.col("ts"))).groupBy("machine_id", "minute").agg(
         F.max("level").alias("max_level"), F.sum(F.when(F.col("level") == 1, 1).otherwise(0)).alias("level1_samples"),
-        F.sum(F.when(F.col("level") == 2, 1).otherwise(0)).alias("level2_samples"), F.bit_or("reasons").alias("reasons"),
-        F.min(F.when(F.col("burst_est") != -1, F.col("burst_est"))).alias("burst"), F.max("inflight").alias("max_inflight"),
-        F.min_by("shed_total", "t").alias("shed_first"), F.max_by("inflight", "t").alias("last_inflight"),
+        F.sum(F.when(F.col("level") == 2, 1).otherwise(0)).alias("level2_samples"), F.bit_or("reasons").alias("reasons"), F.max("sched_us").alias("max_sched_us"),
+        F.coalesce(F.min(F.when(F.col("burst_est") != -1, F.col("burst_est"))), F.lit(-1)).alias("burst_est"), F.max_by("burst_model", "t").alias("burst_model"),
+        F.max("inflight").alias("max_inflight"), F.coalesce(F.min(F.when(F.col("admission_limit") > 0, F.col("admission_limit"))), F.lit(0)).alias("admission_limit"),
+        F.max_by("gomaxprocs", "t").alias("gomaxprocs"), *[F.min_by(c, "t").alias(c) for c in counters],
     )
-    later = F.lead("shed_first").over(Window.partitionBy("machine_id").orderBy("minute"))
-    m = m.withColumn("shed", later - F.col("shed_first")).where("shed is not null")
-    worth = (F.col("max_level") > 0) | (F.col("shed") > 0) | (F.minute("minute") % 10 == 0)
-    return m.where(worth).select("machine_id", "minute", "max_level", "level1_samples", "level2_samples", "reasons", F.coalesce("burst", F.lit(-1)).alias("burst_est"), "max_inflight", "last_inflight", "shed")
+    order = Window.partitionBy("machine_id").orderBy("minute")
+    m = m.withColumns({"later": F.lead("minute").over(order), **{c: F.lead(c).over(order) - F.col(c) for c in counters}}).where("later is not null").drop("later")
+    worth = (F.col("max_level") > 0) | (F.minute("minute") % 10 == 0)
+    for c in counters:
+        worth = worth | (F.col(c) > 0)
+    return m.where(worth)
 
 
-def merge_rollups(key: list[str], measures: list[str], *parts: DataFrame) -> DataFrame:
-    """Partial rows of one track, summed again on the natural key."""
+def merge_rollups(key: list[str], measures: list[str], *parts: DataFrame, sets: list[str] = (), maxima: list[str] = ()) -> DataFrame:
+    """Partial rows of one track on the natural key: measures are summed, sets united, maxima taken.
+
+    A set is one value of its row; a track of large sets should keep an entry a row instead."""
     whole = parts[0]
     for p in parts[1:]:
         whole = whole.unionByName(p, allowMissingColumns=True)
-    return whole.groupBy(*key).agg(*[F.sum(m).alias(m) for m in measures])
+    merged = [F.sum(m).alias(m) for m in measures] + [F.max(m).alias(m) for m in maxima]
+    return whole.groupBy(*key).agg(*merged, *[F.array_distinct(F.flatten(F.collect_list(s))).alias(s) for s in sets])
 
 
 def track_health(tracks: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:

@@ -24,8 +24,9 @@ def explode_findings(audit: DataFrame) -> DataFrame:
 
     audit: (tx_id, ..., messages array<struct<pos, rule_id, severity, msg, data>>)."""
     rows = audit.withColumn("m", F.explode(F.filter("messages", lambda m: m.isNotNull()))).drop("messages").select("*", "m.*").drop("m")
+    wide = {c: C.byte_cap(F.col(c), n) for c, n in (("uri", 2048), ("host", 255), ("method", 32)) if c in rows.columns}
     return rows.withColumns({
-        "msg": C.byte_cap(F.coalesce("msg", F.lit("")), 256), "match_data": C.byte_cap(F.coalesce("data", F.lit("")), 512),
+        **wide, "msg": C.byte_cap(F.coalesce("msg", F.lit("")), 256), "match_data": C.byte_cap(F.coalesce("data", F.lit("")), 512),
         "severity_label": C.severity_label(F.col("severity")),
     }).drop("data")
 

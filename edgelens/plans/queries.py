@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from edgelens.functions import columns as C
+from edgelens.functions import columns as C, screening
 from edgelens.operators import addresses, caps, normalize, rollups, series, waf
 from edgelens.plans import sql as S
 from edgelens.runtime import shared_dir, table
@@ -41,7 +41,7 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = addresses.with_ip(views(spark, sf_dir, "connections")[0])
-    return rows.withColumns({"w": C.day(F.col("ts")), "minute": C.minute(F.col("ts")), "sni": F.when(F.col("sni") == "", "__empty__").otherwise(F.col("sni"))})
+    return rows.withColumns({"w": C.day(F.col("ts")), "minute": C.minute(F.col("ts")), "sni": F.when(F.col("sni") == "", "__empty__").otherwise(C.byte_cap(F.col("sni"), 255))})
 
 
 # Projection -----------------------------------------------------------------------------------
@@ -145,9 +145,13 @@ def a17_disposition_mix(spark, sf_dir):
     return rows.groupBy("origin", "disposition").agg(F.count("*").alias("kept"), F.sum("sample_rate").alias("requests"))
 
 
-@query(S.FACTS + "select minute, admission_class, is_static, count(*) as cnt from facts where not monitor group by all")
+@query(S.FACTS + S.A18)
 def a18_admission_mix(spark, sf_dir):
-    return rollups.counts(normalize.observed(facts(spark, sf_dir)), "minute", "admission_class", "is_static")
+    """Requests by admission class and whether a firewall may skip them."""
+    rows = normalize.observed(facts(spark, sf_dir))
+    headers = F.array(*[F.struct(F.lit(n).alias("name"), F.col(v).alias("value")) for n, v in (("User-Agent", "ua"), ("Accept", "accept"), ("X-Forwarded-For", "xff"))])
+    skippable = screening.skippable_static(F.col("method"), F.col("uri"), F.col("content_length"), headers)
+    return rollups.counts(rows.withColumn("skippable", skippable), "minute", "admission_class", "skippable")
 
 
 @query(S.FACTS + S.A12)
@@ -175,6 +179,16 @@ def a20_merge_rollups(spark, sf_dir):
     return rollups.merge_rollups(key, ["request_count", "duration_us_sum"], part(rows.where("seq % 2 = 0")), part(rows.where("seq % 2 = 1")))
 
 
+@query(S.FACTS + S.A20_SETS)
+def a20_merge_sets_and_maxima(spark, sf_dir):
+    """Two batches' partial rows whose client sets are united and whose maxima are taken."""
+    rows = normalize.attributed(facts(spark, sf_dir)).withColumn("minute", F.col("w"))
+    key = ["minute", "vhost_id"]
+    part = lambda r: r.groupBy(*key).agg(F.collect_set("hash_ip").alias("clients"), F.max("duration_us").alias("longest_us"))
+    merged = rollups.merge_rollups(key, [], part(rows.where("seq % 2 = 0")), part(rows.where("seq % 2 = 1")), sets=["clients"], maxima=["longest_us"])
+    return merged.select(*key, F.size("clients").cast("long").alias("clients"), "longest_us")
+
+
 # Caps and sampling ----------------------------------------------------------------------------
 
 C1_KEY = ["vhost_id", "origin", "method_norm"]
@@ -215,9 +229,17 @@ def c4_challenge_counts(spark, sf_dir):
     return _challenges(spark, sf_dir)
 
 
-def _challenges(spark, sf_dir):
+@query(S.FACTS + S.A11)
+def a11_challenge_counts(spark, sf_dir):
+    """Challenge attempts by minute, host, address, composed outcome and source, as the two-tier cap keeps them."""
+    kept = _challenges(spark, sf_dir, "client_ip").where("kept")
+    return kept.select("minute", F.col("host_n").alias("host"), "client_ip", F.col("challenge").alias("outcome"), "source", F.col("cnt").alias("attempt_count"))
+
+
+def _challenges(spark, sf_dir, *more):
     rows = facts(spark, sf_dir).where("challenge_outcome <> '' and not exempt").withColumn("host_n", F.coalesce(addresses.normal_host(F.col("host")), F.lit("")))
-    return caps.cap_two_tier(rows, ["minute", "host_n", "challenge", "source"], caps.is_page(F.col("challenge"), F.col("source")), 30, 10)
+    rows = addresses.with_client_ip(rows) if more else rows
+    return caps.cap_two_tier(rows, ["minute", "host_n", *more, "challenge", "source"], caps.is_page(F.col("challenge"), F.col("source")), 30, 10)
 
 
 @query(S.FACTS + S.C11)
@@ -309,20 +331,36 @@ def k3_sampled_ips(spark, sf_dir):
     return s.groupBy("w").agg(F.count("*").alias("sampled"), (F.count("*") * 16).alias("estimate"), F.min("ip").alias("least_ip"))
 
 
-@query(S.CONN + "select w, prefix, prefix_len, count(*) as cnt from conn group by all")
+@query(S.CONN + S.A5)
 def a5_ip_prefixes(spark, sf_dir):
-    return rollups.counts(connections(spark, sf_dir), "w", "prefix", "prefix_len")
+    return caps.cap_keys(connections(spark, sf_dir), ["prefix", "prefix_len"], 12)[0]
 
 
-@query(S.CONN + "select minute, ja3, ja4, 'allowed' as outcome, count(*) as cnt from conn where ja3 <> '' and ja4 <> '' group by all")
+@query(S.CONN + S.A6)
+def a6_ip_sni(spark, sf_dir):
+    """Server names by address: three a window and address, the others as one; then the first forty keys."""
+    rows = connections(spark, sf_dir).withColumn("outcome", F.lit("allowed"))
+    return caps.cap_nested(rows, "ip", "sni", 3, 40, more=("outcome",))
+
+
+@query(S.CONN + S.A7)
 def a7_fingerprints(spark, sf_dir):
     rows = connections(spark, sf_dir).where("ja3 <> '' and ja4 <> ''").withColumn("outcome", F.lit("allowed"))
-    return rollups.counts(rows, "minute", "ja3", "ja4", "outcome")
+    return caps.cap_keys(rows, ["minute", "ja3", "ja4", "outcome"], 30)[0]
 
 
-@query(S.CONN + "select minute, ja4, ip, count(*) as cnt from conn where ja3 <> '' and ja4 <> '' group by all")
+@query(S.CONN + S.A8)
 def a8_fingerprint_ips(spark, sf_dir):
-    return rollups.counts(connections(spark, sf_dir).where("ja3 <> '' and ja4 <> ''"), "minute", "ja4", "ip")
+    return caps.cap_keys(connections(spark, sf_dir).where("ja3 <> '' and ja4 <> ''"), ["minute", "ja4", "ip"], 30)[0]
+
+
+@query(S.CONN + S.A9)
+def a9_block_counts(spark, sf_dir):
+    """Closes by minute, address without zone and reason; what a window's first forty keys leave over is stamped with
+    the window."""
+    rows = connections(spark, sf_dir).where(F.col("reason").isin("ip", "sni", "ja3", "ja4", "abuseipdb")).withColumn("ip", addresses.without_zone(F.col("ip")))
+    over = {"minute": F.col("w"), "ip": F.lit("::"), "reason": F.when(F.col("reason") == "abuseipdb", "abuseipdb_overflow").otherwise("overflow")}
+    return caps.cap_with_sentinel(rows, ["minute", "ip", "reason"], 40, over)
 
 
 @query(S.J6)

@@ -91,6 +91,9 @@ A3 = f""", u as (select distinct w as minute, vhost_id, hash_ip || chr(31) || ua
 h as (select s, ({FNV.format(t="s")})::varchar as client_hash from (select distinct s from u))
 select minute, vhost_id, count(*) as clients, min(client_hash) as least_hash from u join h using (s) group by all"""
 
+# agents, forwarded lists and accepted types of the view hold nothing that the screen refuses
+A18 = """, x as (select *, is_static and content_length = 0 and not regexp_matches(uri, '[?#]') and not contains(uri, '//') and not regexp_matches(uri, '\\..*/') as skippable from facts where not monitor)
+select minute, admission_class, skippable, count(*) as cnt from x group by all"""
 _EVENTS = "select * from facts where not monitor and (vhost_id is not null or challenge_outcome <> '')"
 _DISP = f"""e as ({_EVENTS}),
 p as (select *, row_number() over (partition by machine_id, w, disposition <> 'served' order by seq) - 1 as pos from e),
@@ -108,12 +111,14 @@ select minute, vhost_id, health_key, count(*) as request_count,
 from h group by all"""
 
 NODES = f"with ev as ({EV_DUCKDB}), n as ({NODE_SAMPLES})"
+_COUNTERS = ["waf_skipped_detect", "waf_skipped_static", "waf_would_skip", "shed_p0", "shed_p1", "shed_p2", "shed_p3", "would_shed"]
 A14 = NODES + """, m as (select machine_id, date_trunc('minute', ts) as minute, max(level) as max_level, count(*) filter (level = 1) as level1_samples,
-    count(*) filter (level = 2) as level2_samples, bit_or(reasons) as reasons, min(burst_est) filter (burst_est <> -1) as burst, max(inflight) as max_inflight,
-    arg_min(shed_total, t) as shed_first, arg_max(inflight, t) as last_inflight from n group by 1, 2),
-d as (select *, lead(shed_first) over (partition by machine_id order by minute) - shed_first as shed from m)
-select machine_id, minute, max_level, level1_samples, level2_samples, reasons, coalesce(burst, -1) as burst_est, max_inflight, last_inflight, cast(shed as bigint) as shed
-from d where shed is not null and (max_level > 0 or shed > 0 or extract(minute from minute) % 10 = 0)"""
+    count(*) filter (level = 2) as level2_samples, bit_or(reasons) as reasons, max(sched_us) as max_sched_us, coalesce(min(burst_est) filter (burst_est <> -1), -1) as burst_est,
+    arg_max(burst_model, t) as burst_model, max(inflight) as max_inflight, coalesce(min(admission_limit) filter (admission_limit > 0), 0)::bigint as admission_limit,
+    arg_max(gomaxprocs, t) as gomaxprocs, """ + ", ".join(f"arg_min({c}, t) as {c}_0" for c in _COUNTERS) + """ from n group by 1, 2),
+d as (select *, lead(minute) over w as later, """ + ", ".join(f"cast(lead({c}_0) over w - {c}_0 as bigint) as {c}" for c in _COUNTERS) + """ from m window w as (partition by machine_id order by minute))
+select machine_id, minute, max_level, level1_samples, level2_samples, reasons, max_sched_us, burst_est, burst_model, max_inflight, admission_limit, gomaxprocs, """ + ", ".join(_COUNTERS) + """
+from d where later is not null and (max_level > 0 or extract(minute from minute) % 10 = 0 or """ + " or ".join(f"{c} > 0" for c in _COUNTERS) + ")"
 
 
 def _capped(keys: str, n: int, source: str) -> str:
@@ -124,6 +129,7 @@ r as (select *, row_number() over (partition by w order by f, {keys}) as a from
 _OWN = "(select * from facts where not monitor and vhost_id is not null)"
 A10 = _capped("host, path_bucket, verify_outcome", 20, "(select * from facts where not monitor and verify_outcome <> '')") + " select w, host, path_bucket, verify_outcome, cnt from r where a <= 20"
 A20 = " select w as minute, vhost_id, origin, count(*) as request_count, cast(sum(duration_us) as bigint) as duration_us_sum from facts where not monitor and vhost_id is not null group by all"
+A20_SETS = " select w as minute, vhost_id, count(distinct hash_ip) as clients, max(duration_us) as longest_us from facts where not monitor and vhost_id is not null group by all"
 C1 = _capped("vhost_id, origin, method_norm", 20, _OWN) + " select w, vhost_id, origin, method_norm, cnt from r where a <= 20"
 C1_OVER = _capped("vhost_id, origin, method_norm", 20, _OWN) + " select w, cast(sum(cnt) as bigint) as overflow, count(*) as keys_dropped from r where a > 20 group by w"
 C1_LINEITEM = """with c as (select concat(l_returnflag, l_linestatus) as w, l_suppkey, l_partkey % 10 as part_class, count(*) as cnt, min(l_orderkey * 10 + l_linenumber) as f from lineitem group by all),
@@ -149,15 +155,32 @@ select w, sni, cast(cnt as bigint) as cnt from k where cnt > 1 or sni = '__overf
 C3 = """, c as (select w, prefix, sni, count(*) as cnt, min(seq) as f from conn group by all),
 r as (select *, row_number() over (partition by w, prefix order by f) as a from c)
 select w, prefix, case when a > 8 then '__overflow__' else sni end as sni, cast(sum(cnt) as bigint) as cnt from r group by 1, 2, 3"""
+A5 = _capped("prefix, prefix_len", 12, "conn") + " select w, prefix, prefix_len, cnt from r where a <= 12"
+A6 = """, c as (select w, ip, sni, 'allowed' as outcome, count(*) as cnt, min(seq) as f from conn group by all),
+r as (select *, row_number() over (partition by w, ip order by f, sni) as a from c),
+g as (select w, ip, case when a > 3 then '__overflow__' else sni end as sni, outcome, sum(cnt) as cnt, min(f) as f from r group by 1, 2, 3, 4)
+select w, ip, sni, outcome, cast(cnt as bigint) as cnt from g qualify row_number() over (partition by w order by f, ip, sni) <= 40"""
+_PRINTS = "(select *, 'allowed' as outcome from conn where ja3 <> '' and ja4 <> '')"
+A7 = _capped("minute, ja3, ja4, outcome", 30, _PRINTS) + " select w, minute, ja3, ja4, outcome, cnt from r where a <= 30"
+A8 = _capped("minute, ja4, ip", 30, _PRINTS) + " select w, minute, ja4, ip, cnt from r where a <= 30"
+A9 = _capped("minute, ip, reason", 40, "(select * from conn where reason <> 'other')") + """
+select w, case when a > 40 then w else minute end as minute, case when a > 40 then '::' else ip end as ip,
+  case when a <= 40 then reason when reason = 'abuseipdb' then 'abuseipdb_overflow' else 'overflow' end as reason, cast(sum(cnt) as bigint) as cnt
+from r group by 1, 2, 3, 4"""
 C5 = _capped("ip, reason", 40, "(select * from conn where reason <> 'other')") + """
 select w, case when a > 40 then '::' else ip end as ip, case when a <= 40 then reason when reason = 'abuseipdb' then 'abuseipdb_overflow' else 'overflow' end as reason, cast(sum(cnt) as bigint) as cnt
 from r group by 1, 2, 3"""
 
-_TIERS = _capped("minute, host_n, challenge, source", 30, """(select *, case when regexp_full_match(hn, '[a-z0-9._-]{1,253}') then hn else '' end as host_n
+def _tiers(keys: str) -> str:
+    return _capped(keys, 30, """(select *, string_split(remote_addr, ':')[1] as client_ip, case when regexp_full_match(hn, '[a-z0-9._-]{1,253}') then hn else '' end as host_n
   from (select *, lower(regexp_replace(regexp_replace(host, ':[0-9]*$', ''), '\\.$', '')) as hn from facts where challenge_outcome <> '' and not exempt))""") + """,
 q as (select *, source <> '' and (starts_with(challenge, 'issued_') or starts_with(challenge, 'not_shown_')) as page from r),
 z as (select *, case when a > 30 and not page then row_number() over (partition by w, a > 30 and not page order by f) end as a2 from q),
 t as (select *, a <= 30 or coalesce(a2, 11) <= 10 as kept from z)"""
+
+
+_TIERS = _tiers("minute, host_n, challenge, source")
+A11 = _tiers("minute, host_n, client_ip, challenge, source") + " select minute, host_n as host, client_ip, challenge as outcome, source, cnt as attempt_count from t where kept"
 C4 = _TIERS + " select w, minute, host_n, challenge, source, cnt, page, kept from t"
 C11 = _TIERS + " select minute, cast(sum(cnt) as bigint) as lost_count from t where not kept and not page group by minute"
 # losses come in ascending minutes, so at the bound the oldest of ten always moves into the new one

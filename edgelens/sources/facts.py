@@ -27,7 +27,7 @@ select seq, ts as end_ts, user_id, k, cast(floor(value * 10000 + 0.5) as bigint)
   case when k % 9 = 0 then '2001:DB8:0:0::0001' else null end as cdn_ip,
   concat(event_type, '/', cast(k as string)) as ua,
   case when k % 12 = 5 then 'navigate' else null end as fetch_mode, case when k % 12 = 7 then 'document' when k % 12 = 8 then 'image' else null end as fetch_dest, case when k % 4 = 1 then 'text/html,*/*' else 'application/json' end as accept,
-  case when k % 4 = 0 then cast(k * 10 as bigint) else -1 end as content_length,
+  case when k % 4 = 0 then cast(k * 10 as bigint) when k % 4 = 1 then 0 else -1 end as content_length,
   k % 11 <> 0 as wrote, case when k % 7 = 0 then 500 + k % 5 when k % 7 = 1 then 404 when k % 7 = 2 then 301 else 200 end as written_status,
   k = 42 as hijacked, cast(floor(value * 100 + 0.5) as bigint) as body_bytes_out,
   case when k % 7 = 2 then null when k % 3 = 0 then 'application/json' else 'text/html; charset=utf-8' end as content_type,
@@ -66,9 +66,15 @@ from ev
 
 NODE_SAMPLES = """
 select machine_id, cast(1 as bigint) as cluster_id, n as t, ts, user_j, steal_j, idle_j, inflight, hard_cap_hit,
-  sum(shed) over (partition by machine_id order by n) as shed_total, sum(done) over (partition by machine_id order by n) as completions, level, reasons, burst_est
+  sum(shed) over (partition by machine_id order by n) as shed_total, sum(done) over (partition by machine_id order by n) as completions, level, reasons, burst_est,
+  sum(cast(k % 2 as bigint)) over (partition by machine_id order by n) as waf_skipped_detect, sum(cast(k % 3 as bigint)) over (partition by machine_id order by n) as waf_skipped_static,
+  sum(cast(k % 5 as bigint)) over (partition by machine_id order by n) as waf_would_skip, sum(cast(case when k > 97 then 1 else 0 end as bigint)) over (partition by machine_id order by n) as shed_p0,
+  sum(cast(case when k > 90 then 1 else 0 end as bigint)) over (partition by machine_id order by n) as shed_p1, sum(shed) over (partition by machine_id order by n) as shed_p2,
+  sum(cast(k % 7 as bigint)) over (partition by machine_id order by n) as shed_p3, sum(cast(k % 6 as bigint)) over (partition by machine_id order by n) as would_shed,
+  cast(k * 37 as bigint) as sched_us, case when k % 2 = 0 then 'calibrated' else 'uncalibrated' end as burst_model,
+  case when k > 95 then cast(k as bigint) else 0 end as admission_limit, 4 + k % 3 as gomaxprocs
 from (
-  select concat('m', cast(user_id % 4 as string)) as machine_id, ts, row_number() over (partition by user_id % 4 order by seq) as n,
+  select concat('m', cast(user_id % 4 as string)) as machine_id, ts, k, row_number() over (partition by user_id % 4 order by seq) as n,
     cast(seq * 100 + k as bigint) as user_j, cast(seq * 3 + (case when k % 3 = 0 then 2 else 0 end) as bigint) as steal_j, cast(seq * 50 as bigint) as idle_j,
     cast(k as bigint) as inflight, k % 41 = 0 as hard_cap_hit, cast(k % 4 as bigint) as shed, cast(k as bigint) as done,
     case when k > 95 then 2 when k > 85 then 1 else 0 end as level, case when k > 95 then 3 when k > 85 then 1 else 0 end as reasons,

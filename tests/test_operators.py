@@ -7,7 +7,7 @@ from pyspark.sql import Row, functions as F
 
 from edgelens.functions import columns as C
 from edgelens.operators import addresses, caps, rollups, series, waf
-from edgelens.sources import batches
+from edgelens.sources import batches, readers
 
 
 def value(spark, column):
@@ -206,6 +206,38 @@ def test_batch_round_trip_and_empty_batch(spark, tmp_path):
     assert not batches.write_batch({"x": df.limit(0)}, str(tmp_path / "none"))
 
 
+def test_tables_of_tracks_by_day(spark, tmp_path):
+    df = spark.sql("select timestamp_ntz'2024-01-01 10:00:00' as minute, 1 as n union all select timestamp_ntz'2024-01-02 00:00:00', 2")
+    batches.write_tables({"x": df, "y": df.drop("minute")}, str(tmp_path / "t"))
+    assert sorted(p.name for p in (tmp_path / "t/x").glob("day=*")) == ["day=2024-01-01", "day=2024-01-02"]
+    assert {(str(r.day), r.n) for r in spark.read.parquet(str(tmp_path / "t/x")).collect()} == {("2024-01-01", 1), ("2024-01-02", 2)}
+    assert spark.read.parquet(str(tmp_path / "t/y")).count() == 2
+
+
+@pytest.mark.parametrize("fact", sorted(readers.SCHEMAS))
+def test_readers_take_only_their_schema(spark, tmp_path, fact):
+    spark.createDataFrame([("m", 7, "extra")], "machine_id string, seq long, unknown string").write.json(str(tmp_path / fact))
+    df = readers.read_fact(spark, fact, str(tmp_path / fact), fmt="json")
+    assert "unknown" not in df.columns and df.count() == 1 and df.schema == readers.read_fact(spark, fact, str(tmp_path / fact), fmt="json", stream=True).schema
+    assert df.first()[0] == ("m" if "machine_id" == df.columns[0] else 7 if df.columns[0] == "seq" else None)
+
+
+def test_stream_stamps_flush_minutes_and_keeps_late_rows_own(spark, tmp_path):
+    from datetime import datetime, timezone
+
+    from edgelens.streaming import tracks
+
+    src = spark.createDataFrame([("a", "2024-01-01 00:00:10"), ("a", "2023-06-01 00:00:00")], "ip string, ts string").withColumn("ts", F.to_timestamp("ts"))
+    src.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(src.schema).parquet(str(tmp_path / "in"))
+    both = lambda b: {"flushed": b.groupBy("ip").count(), "own": b.groupBy(C.minute(F.col("ts")).alias("minute"), "ip").count()}
+    at = datetime(2025, 5, 5, 5, 5, 55, tzinfo=timezone.utc)
+    q = tracks.run_stream(stream, both, str(tmp_path / "out"), str(tmp_path / "cp"), trigger=None, stamped={"flushed"}, clock=lambda: at)
+    q.awaitTermination()
+    read = lambda n: {(str(r.minute), r["count"]) for r in spark.read.parquet(str(tmp_path / f"out/{n}")).collect()}
+    assert read("flushed") == {("2025-05-05 05:05:00", 2)} and read("own") == {("2024-01-01 00:00:00", 1), ("2023-06-01 00:00:00", 1)}
+
+
 def test_stream_equals_batch(spark, tmp_path):
     from conftest import SF
 
