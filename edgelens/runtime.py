@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where its files are too few for them, as those of a small table are, so that a wide
+    projection is not one task's; tables of many files stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from the driver's checkout (clusters: --py-files), and bound the
     bytes of the batches that they are sent: rows of a batch may hold texts of any length."""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgelens.runtime import table
+from edgelens.runtime import spread, table
 
 EV_SPARK = "select event_id as seq, ts, user_id, event_type, value, cast(get_json_object(props, '$.k') as int) as k from events"
 EV_DUCKDB = "select event_id as seq, ts, user_id, event_type, value, cast(json_extract_string(props, '$.k') as int) as k from events"
@@ -96,6 +96,6 @@ from lineitem
 def views(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     """The named views as DataFrames; nothing stays registered."""
     texts = {"requests": REQUESTS, "connections": CONNECTIONS, "node_samples": NODE_SAMPLES}
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"))
     ev = spark.sql(EV_SPARK.replace("from events", "from {events}"), events=events)
     return [spark.sql(texts[n].replace("from ev", "from {ev}"), ev=ev) for n in names]
