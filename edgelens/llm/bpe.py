@@ -371,20 +371,6 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def groups(texts: pa.Array, chars: int = GROUP_CHARS) -> Iterator[list[str]]:
-    """The texts of a batch, null as empty, in lists of about so many characters."""
-    group, size = [], 0
-    for t in texts:
-        t = t.as_py() or ""
-        if group and size + len(t) > chars:
-            yield group
-            group, size = [], 0
-        group.append(t)
-        size += len(t)
-    if group:
-        yield group
-
-
 def slice_groups(texts: pa.Array, chars: int = GROUP_CHARS) -> Iterator[list[tuple[int, str]]]:
     """(row, slice) of the texts of a batch, null as empty, in lists of about so many characters."""
     group, size = [], 0

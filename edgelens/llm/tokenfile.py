@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from edgelens.llm.bpe import groups, ragged_take, spread
+from edgelens.llm.bpe import ragged_take, spread
 from edgelens.runtime import importable, shared_dir
 
 BLOCK = 1024
@@ -193,6 +193,22 @@ class LibraryEncoder:
         return offsets, ids
 
 
+def text_groups(batches: Iterator[pa.RecordBatch], chars: int) -> Iterator[tuple[list[int], list[str]]]:
+    """(ids, texts) of the rows (id, text) of all batches, in lists of about so many characters."""
+    keys, texts, size = [], [], 0
+    for b in batches:
+        for key, t in zip(b.column(0).to_pylist(), b.column(1)):
+            t = t.as_py()
+            keys.append(key)
+            texts.append(t)
+            size += len(t)
+            if size >= chars:
+                yield keys, texts
+                keys, texts, size = [], [], 0
+    if keys:
+        yield keys, texts
+
+
 @lru_cache(maxsize=2)
 def library_encoder(path: str) -> LibraryEncoder:
     return LibraryEncoder(path)
@@ -224,20 +240,16 @@ def write(
 
         pending = 0
         end = np.array([end_id], dtype=np.int32)
-        for b in batches:
-            keys, at = b.column(0).to_pylist(), 0
-            for group in groups(b.column(1), GROUP_CHARS):
-                offsets, ids = enc.encode_many(group)
-                for i in range(len(group)):
-                    own = ids[offsets[i] : offsets[i + 1]]
-                    doc_ids.append(keys[at])
-                    sizes.append(len(own) + 1)
-                    held += [own, end]
-                    pending += len(own) + 1
-                    at += 1
-                    if pending >= SEGMENT:
-                        yield flush()
-                        pending = 0
+        for keys, group in text_groups(batches, GROUP_CHARS):
+            offsets, ids = enc.encode_many(group)
+            for key, a, z in zip(keys, offsets.tolist(), offsets[1:].tolist()):
+                doc_ids.append(key)
+                sizes.append(z - a + 1)
+                held += [ids[a:z], end]
+                pending += z - a + 1
+                if pending >= SEGMENT:
+                    yield flush()
+                    pending = 0
         if doc_ids:
             yield flush()
 
