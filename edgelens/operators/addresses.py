@@ -100,17 +100,23 @@ def sampled_ips(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys, "ip").distinct().where(C.fnv64(F.col("ip")) % 16 == 0)
 
 
-def rank_upstreams(points: DataFrame, scores: DataFrame, half_life_s: float = 30.0) -> DataFrame:
+def rank_upstreams(points: DataFrame, scores: DataFrame, half_life_s: float = 30.0, slice_s: int = 3600) -> DataFrame:
     """Of the available candidates at each point the one with the lowest decayed score times (in-flight + 1).
 
-    points: (point, ts, pos, dial, available, inflight); scores: (dial, ts, score). As-of join: both
-    sides in one frame, the last score carried forward within the dial.
+    points: (point, ts, pos, dial, available, inflight); scores: (dial, ts, score). As-of join: both sides in one
+    frame, the last score carried forward within a dial's slice of time; from slice to slice goes only the last
+    score of each, so that no task takes the whole history of one dial.
     """
-    left = points.select("point", "ts", "pos", "dial", "available", "inflight", F.lit(None).cast("double").alias("score"), F.lit(None).cast(scores.schema["ts"].dataType).alias("at"), F.lit(1).alias("side"))
-    right = scores.select(F.lit(None).cast(points.schema["point"].dataType).alias("point"), "ts", F.lit(None).cast("int").alias("pos"), "dial", F.lit(None).cast("boolean").alias("available"), F.lit(None).cast("long").alias("inflight"), "score", F.col("ts").alias("at"), F.lit(0).alias("side"))
-    order = Window.partitionBy("dial").orderBy("ts", "side").rowsBetween(Window.unboundedPreceding, 0)
-    both = left.unionByName(right).withColumn("known", F.last("score", True).over(order)).withColumn("since", F.last("at", True).over(order)).where("side = 1 and available")
-    seconds = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("since").cast("timestamp"))
-    score = F.coalesce(F.col("known") * F.pow(F.lit(0.5), seconds / (half_life_s * 1e6)), F.lit(0.0)) * (F.col("inflight") + 1)
+    cut = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / slice_s).alias("slice")
+    left = points.select("point", "ts", cut, "pos", "dial", "available", "inflight", F.lit(1).alias("side"))
+    right = scores.where("score is not null").select("dial", "ts", cut, F.struct("ts", "score").alias("own"), F.lit(0).alias("side"))
+    both = left.unionByName(right, allowMissingColumns=True)
+    order = Window.partitionBy("dial", "slice").orderBy("ts", "side").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("dial").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    ends = both.groupBy("dial", "slice").agg(F.max("own").alias("end")).select("dial", "slice", F.last("end", True).over(earlier).alias("carried"))
+    asked = both.withColumn("last", F.last("own", True).over(order)).where("side = 1 and available").join(ends, ["dial", "slice"], "left")
+    asked = asked.withColumn("last", F.coalesce("last", "carried"))
+    us = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("last.ts").cast("timestamp"))
+    score = F.coalesce(F.col("last.score") * F.pow(F.lit(0.5), us / (half_life_s * 1e6)), F.lit(0.0)) * (F.col("inflight") + 1)
     rank = F.row_number().over(Window.partitionBy("point").orderBy("score", "pos"))
-    return both.withColumn("score", score).withColumn("rank", rank).where("rank = 1").select("point", "dial", "pos", "score")
+    return asked.withColumn("score", score).withColumn("rank", rank).where("rank = 1").select("point", "dial", "pos", "score")
