@@ -14,10 +14,11 @@ BROADCAST_HOSTS = 500_000  # 253-byte names at most: 150 MB, checked before the
 
 
 def canonical(text: str | None) -> tuple[str | None, str | None, int | None]:
-    """(ip, prefix, length) of an address with or without port, or nothing."""
-    t = (text or "").strip()
-    if t.startswith("["):
-        t = t[1:].split("]")[0]
+    """(ip, prefix, length) of an address with or without port, or nothing. Brackets go with a port only; blanks
+    around an address make it none."""
+    t = text or ""
+    if "]:" in t:
+        t = t[1 : t.rindex("]:")]
     elif t.count(":") == 1:
         t = t.split(":")[0]
     try:
@@ -54,6 +55,12 @@ def with_client_ip(rows: DataFrame, col: str = "remote_addr", out: str = "client
     return joined.withColumn(out, F.coalesce("__ip", F.trim(col))).drop("__addr", "__ip")
 
 
+def with_address(rows: DataFrame, col: str = "remote_addr") -> DataFrame:
+    """rows with ip, prefix and prefix_len, null where col is no address."""
+    known = ip_dimension(rows, col).withColumnRenamed(col, "__addr")
+    return rows.join(known, F.col(col) == F.col("__addr"), "left").drop("__addr")
+
+
 def with_ip(rows: DataFrame, col: str = "remote_addr") -> DataFrame:
     """Rows with a valid address, and its canonical form."""
     return rows.join(ip_dimension(rows, col).where("ip is not null"), col)
@@ -86,12 +93,22 @@ def top_by_count(counts: DataFrame, group: list[str], key: list[str], k: int) ->
     return counts.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def fair_top_paths(facts: DataFrame, k: int, tracked: int, window: str = "w") -> DataFrame:
-    """Top k (path, status class) of the vhosts admitted first, a share of tracked for each of 16 shards."""
+def fair_vhosts(facts: DataFrame, tracked: int, window: str = "w") -> DataFrame:
+    """(window, vhost_id) of the vhosts admitted first, a share of tracked for each of 16 shards."""
     seen = facts.groupBy(window, "vhost_id").agg(F.min("seq").alias("first")).withColumn("shard", F.col("vhost_id") % 16)
     arrival = F.row_number().over(Window.partitionBy(window, "shard").orderBy("first", "vhost_id"))
-    admitted = seen.withColumn("arrival", arrival).where(F.col("arrival") <= -(-tracked // 16)).select(window, "vhost_id")
-    c = facts.join(admitted, [window, "vhost_id"], "left_semi").groupBy(window, "vhost_id", "path_bucket", "status_bucket").agg(F.count("*").alias("cnt"))
+    return seen.withColumn("arrival", arrival).where(F.col("arrival") <= -(-tracked // 16)).select(window, "vhost_id")
+
+
+def fair_rejects(facts: DataFrame, tracked: int, window: str = "w") -> DataFrame:
+    """(window, rejected): requests of the vhosts that fair_vhosts() does not admit."""
+    rest = facts.groupBy(window, "vhost_id").agg(F.count("*").alias("cnt")).join(fair_vhosts(facts, tracked, window), [window, "vhost_id"], "left_anti")
+    return rest.groupBy(window).agg(F.sum("cnt").alias("rejected"))
+
+
+def fair_top_paths(facts: DataFrame, k: int, tracked: int, window: str = "w") -> DataFrame:
+    """Top k (path, status class) of the vhosts admitted first."""
+    c = facts.join(fair_vhosts(facts, tracked, window), [window, "vhost_id"], "left_semi").groupBy(window, "vhost_id", "path_bucket", "status_bucket").agg(F.count("*").alias("cnt"))
     return top_by_count(c, [window, "vhost_id"], ["path_bucket", "status_bucket"], k)
 
 

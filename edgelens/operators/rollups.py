@@ -46,7 +46,7 @@ def domain_health(facts: DataFrame) -> DataFrame:
     failed = F.col("origin") == "cluster_proxy_error"
     routed = (~F.col("err_is_handler") & ~failed & (F.col("wrote") | ((F.col("origin") != "upstream") & ~F.col("cancelled")))) | seen
     total = lambda cond: F.sum(F.when(cond, 1).otherwise(0))
-    return facts.where(F.col("health_key").rlike("^[0-9a-f]{64}$") & (F.col("vhost_id") != 0)).groupBy("minute", "vhost_id", "health_key").agg(
+    return validated(facts, health_rules())[0].groupBy("minute", "vhost_id", "health_key").agg(
         F.count("*").alias("request_count"), total(routed).alias("routing_responses"), total(seen).alias("upstream_responses"),
         total(seen & status.between(200, 399)).alias("upstream_successes"), total(seen & status.between(500, 599)).alias("upstream_5xx"),
         total(failed).alias("proxy_errors"),
@@ -83,6 +83,42 @@ def merge_rollups(key: list[str], measures: list[str], *parts: DataFrame, sets:
     return whole.groupBy(*key).agg(*merged, *[F.array_distinct(F.flatten(F.collect_list(s))).alias(s) for s in sets])
 
 
+def validated(rows: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) rows; rejected ones have reject, the first rule that they break. Null breaks a rule."""
+    broken = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in rules.items()])
+    tagged = rows.withColumn("reject", broken)
+    return tagged.where("reject is null").drop("reject"), tagged.where("reject is not null")
+
+
+def intake(rows: DataFrame, tracks: dict[str, dict[str, Column]]) -> DataFrame:
+    """(track, rows_in, rejects, first rule broken -> count as a map) of rows offered to tracks, in one pass."""
+    one = []
+    for name, rules in tracks.items():
+        broken = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), rule) for rule, ok in rules.items()])
+        one.append(F.struct(F.lit(name).alias("track"), broken.alias("reject")))
+    each = rows.select(F.explode(F.array(*one)).alias("t")).groupBy("t.track", "t.reject").agg(F.count("*").alias("cnt"))
+    by_rule = F.map_from_entries(F.collect_list(F.when(F.col("reject").isNotNull(), F.struct("reject", "cnt"))))
+    lost = F.coalesce(F.sum(F.when(F.col("reject").isNotNull(), F.col("cnt"))), F.lit(0))
+    return each.groupBy("track").agg(F.sum("cnt").alias("rows_in"), lost.alias("rejects"), by_rule.alias("by_rule"))
+
+
+def health_rules() -> dict[str, Column]:
+    """What a row of domain health must be: its key 64 lower-case hex digits, its vhost not 0."""
+    return {"health_key": F.col("health_key").rlike("^[0-9a-f]{64}$"), "vhost": F.col("vhost_id") != 0}
+
+
+#: Reasons of a close that are counted, fixed values.
+CLOSE_REASONS = ["ip", "sni", "ja3", "ja4", "abuseipdb"]
+
+
+def close_rules() -> dict[str, Column]:
+    return {"reason": F.col("reason").isin(CLOSE_REASONS), "ip": F.col("ip").isNotNull()}
+
+
+def fingerprint_rules() -> dict[str, Column]:
+    return {"ja3": F.col("ja3") != "", "ja4": F.col("ja4") != ""}
+
+
 def track_health(tracks: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     """Per track: keys kept, and increments and keys dropped; tracks: name -> (kept, overflow)."""
     out = None

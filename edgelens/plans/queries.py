@@ -288,6 +288,23 @@ def a19_track_health(spark, sf_dir):
     return rollups.track_health({"counter": caps.cap_keys(rows, C1_KEY, 20), "http_version": caps.cap_keys(rows, ["http_version", "status_bucket"], 5)})
 
 
+@query(S.FACTS + S.F6_HEALTH)
+def f6_health_intake(spark, sf_dir):
+    """Requests offered to domain health and those refused, by the rule that they break first."""
+    return _flat(rollups.intake(normalize.observed(facts(spark, sf_dir)), {"domain_health": rollups.health_rules()}), "health_key", "vhost")
+
+
+@query(S.CONN + S.F6_CONN)
+def f6_connection_intake(spark, sf_dir):
+    """Connections offered to the close and fingerprint tracks and those refused."""
+    rows = addresses.with_address(views(spark, sf_dir, "connections")[0])
+    return _flat(rollups.intake(rows, {"l4_close": rollups.close_rules(), "fingerprint": rollups.fingerprint_rules()}), "reason", "ip", "ja3", "ja4")
+
+
+def _flat(counts: DataFrame, *rules: str) -> DataFrame:
+    return counts.select("track", "rows_in", "rejects", *[F.coalesce(F.try_element_at("by_rule", F.lit(r)), F.lit(0)).alias(f"bad_{r}") for r in rules])
+
+
 # Addresses, heavy hitters, as-of ----------------------------------------------------------------
 
 
@@ -324,6 +341,12 @@ def k2_top_paths(spark, sf_dir):
     return addresses.fair_top_paths(normalize.attributed(facts(spark, sf_dir)), 3, 14)
 
 
+@query(S.FACTS + S.K2_REJECTS)
+def k2_rejected_requests(spark, sf_dir):
+    """Requests of the vhosts that the fair top does not track."""
+    return addresses.fair_rejects(normalize.attributed(facts(spark, sf_dir)), 14)
+
+
 @query(S.CONN + S.K3)
 def k3_sampled_ips(spark, sf_dir):
     """A deterministic sixteenth of the addresses and the number they stand for."""
@@ -442,6 +465,13 @@ def t2_cpu_rates(spark, sf_dir):
     return out.select("machine_id", "t", "steal_permille", F.round("busy", 6).alias("busy"))
 
 
+@query(S.T2_THROTTLED)
+def t2_throttled_rates(spark, sf_dir):
+    """The same with the share of time throttled as a lower bound."""
+    out = series.cpu_rates(views(spark, sf_dir, "node_samples")[0], gap_s=3600.0, throttled="throttled_us")
+    return out.select("machine_id", "t", "steal_permille")
+
+
 @query(S.T3)
 def t3_throttle_ewma(spark, sf_dir):
     rates = series.cpu_rates(views(spark, sf_dir, "node_samples")[0], gap_s=3600.0)

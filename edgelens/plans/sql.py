@@ -212,6 +212,14 @@ K2 = """, o as (select * from facts where not monitor and vhost_id is not null),
 a as (select w, vhost_id from v qualify row_number() over (partition by w, vhost_id % 16 order by f) <= 1),
 c as (select w, vhost_id, path_bucket, status_bucket, count(*) as cnt from o join a using (w, vhost_id) group by all)
 select w, vhost_id, path_bucket, status_bucket, cnt, row_number() over (partition by w, vhost_id order by cnt desc, path_bucket, status_bucket)::int as rank from c qualify rank <= 3"""
+K2_REJECTS = """, o as (select * from facts where not monitor and vhost_id is not null), v as (select w, vhost_id, min(seq) as f, count(*) as cnt from o group by all),
+r as (select *, row_number() over (partition by w, vhost_id % 16 order by f) as a from v) select w, cast(sum(cnt) as bigint) as rejected from r where a > 1 group by w"""
+F6_HEALTH = """, x as (select coalesce(regexp_full_match(health_key, '[0-9a-f]{64}'), false) as good, coalesce(vhost_id <> 0, false) as own from facts where not monitor)
+select 'domain_health' as track, count(*) as rows_in, count(*) filter (not good or not own) as rejects, count(*) filter (not good) as bad_health_key, count(*) filter (good and not own) as bad_vhost from x"""
+F6_CONN = """, x as (select reason <> 'other' as counted, remote_addr <> 'not-an-ip' as address, ja3 <> '' as a, ja4 <> '' as b from raw)
+select 'l4_close' as track, count(*) as rows_in, count(*) filter (not counted or not address) as rejects, count(*) filter (not counted) as bad_reason,
+  count(*) filter (counted and not address) as bad_ip, 0::bigint as bad_ja3, 0::bigint as bad_ja4 from x
+union all select 'fingerprint', count(*), count(*) filter (not a or not b), 0, 0, count(*) filter (not a), count(*) filter (a and not b) from x"""
 K3 = f""", d as (select distinct w, ip from conn), h as (select ip, ({FNV.format(t="ip")}) % 16 = 0 as hit from (select distinct ip from d))
 select w, count(*) as sampled, count(*) * 16 as estimate, min(ip) as least_ip from d join h using (ip) where hit group by w"""
 J6 = BASE + """s as (select 'u' || (user_id % 5)::varchar as dial, end_ts as ts, duration_us::double as score from requests where method <> 'POST'),
@@ -232,6 +240,11 @@ T2 = NODES + """, d as (select *, (epoch_us(ts) - epoch_us(lag(ts) over w)) / 1e
   from n window w as (partition by machine_id order by t))
 select machine_id, t, case when dt > 0 and dt <= 3600 and s >= 0 and u >= 0 then coalesce(floor(s * 1000 / (u + s + i)), 0)::bigint else 0 end as steal_permille,
   case when dt > 0 and dt <= 3600 and s >= 0 and u >= 0 then round(u / 100.0::double / dt, 6) end as busy from d"""
+T2_THROTTLED = NODES + """, d as (select *, (epoch_us(ts) - epoch_us(lag(ts) over w)) / 1e6::double as dt, user_j - lag(user_j) over w as u, steal_j - lag(steal_j) over w as s, idle_j - lag(idle_j) over w as i,
+  throttled_us - lag(throttled_us) over w as h from n window w as (partition by machine_id order by t)),
+q as (select machine_id, t, dt > 0 and dt <= 3600 as near, u, s, i, h, dt from d)
+select machine_id, t, greatest(case when near and s >= 0 and u >= 0 then coalesce(floor(s * 1000 / (u + s + i)), 0)::bigint else 0 end,
+  case when near and h >= 0 then floor(least(1.0::double, h / (dt * 1e6::double)) * 1000)::bigint else 0 end) as steal_permille from q"""
 T3 = T2.replace("with ev", "with recursive ev", 1).replace("select machine_id, t, case", ", e as (select machine_id, t, dt, case", 1).replace("then round(u / 100.0::double / dt, 6) end as busy from d", "then 1 end as busy from d)") + """,
 f as (select machine_id, t, steal_permille::double as ewma from e where t = 1 union all
   select e.machine_id, e.t, case when e.dt > 3600 then e.steal_permille::double when e.dt > 0 then f.ewma + (1 - exp(-e.dt / 10)) * (e.steal_permille - f.ewma) else f.ewma end

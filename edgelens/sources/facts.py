@@ -65,7 +65,7 @@ from ev
 """
 
 NODE_SAMPLES = """
-select machine_id, cast(1 as bigint) as cluster_id, n as t, ts, user_j, steal_j, idle_j, inflight, hard_cap_hit,
+select machine_id, cast(1 as bigint) as cluster_id, n as t, ts, user_j, steal_j, idle_j, throttled_us, inflight, hard_cap_hit,
   sum(shed) over (partition by machine_id order by n) as shed_total, sum(done) over (partition by machine_id order by n) as completions, level, reasons, burst_est,
   sum(cast(k % 2 as bigint)) over (partition by machine_id order by n) as waf_skipped_detect, sum(cast(k % 3 as bigint)) over (partition by machine_id order by n) as waf_skipped_static,
   sum(cast(k % 5 as bigint)) over (partition by machine_id order by n) as waf_would_skip, sum(cast(case when k > 97 then 1 else 0 end as bigint)) over (partition by machine_id order by n) as shed_p0,
@@ -76,6 +76,7 @@ select machine_id, cast(1 as bigint) as cluster_id, n as t, ts, user_j, steal_j,
 from (
   select concat('m', cast(user_id % 4 as string)) as machine_id, ts, k, row_number() over (partition by user_id % 4 order by seq) as n,
     cast(seq * 100 + k as bigint) as user_j, cast(seq * 3 + (case when k % 3 = 0 then 2 else 0 end) as bigint) as steal_j, cast(seq * 50 as bigint) as idle_j,
+    cast(case when k % 13 = 0 then null when k % 17 = 0 then 0 else seq * 1500000 + k * 4000000 end as bigint) as throttled_us,
     cast(k as bigint) as inflight, k % 41 = 0 as hard_cap_hit, cast(k % 4 as bigint) as shed, cast(k as bigint) as done,
     case when k > 95 then 2 when k > 85 then 1 else 0 end as level, case when k > 95 then 3 when k > 85 then 1 else 0 end as reasons,
     case when k % 2 = 0 then cast(k as bigint) else -1 end as burst_est

@@ -1,5 +1,6 @@
 import itertools
 import math
+import random
 
 import pandas as pd
 import pytest
@@ -43,7 +44,7 @@ def test_fnv(spark, text):
 
 @pytest.mark.parametrize("text,want", [
     ("10.1.2.3:80", ("10.1.2.3", "10.1.2.0", 24)), ("[2001:DB8::1]:443", ("2001:db8::1", "2001:db8::", 56)), ("::ffff:1.2.3.4", ("1.2.3.4", "1.2.3.0", 24)),
-    ("010.1.1.1", (None,) * 3), ("", (None,) * 3), (None, (None,) * 3), ("x", (None,) * 3),
+    ("[::1]", (None,) * 3), (" 10.1.2.3", (None,) * 3), ("::1", ("::1", "::", 56)), ("010.1.1.1", (None,) * 3), ("", (None,) * 3), (None, (None,) * 3), ("x", (None,) * 3),
 ])
 def test_canonical_address(text, want):
     assert addresses.canonical(text) == want
@@ -109,8 +110,6 @@ def test_redaction_of_a_value_with_a_question_mark():
 
 def test_redaction_of_random_targets():
     """No value of eight bytes or more is left in any round of decoding; targets without one stay as they are."""
-    import random
-
     rnd = random.Random(5)
     values = ["secret?value1", "tokenvalue", "a/b=c&d?e%f", "plus+and+more", "pässwörd99"]
     encode = [lambda c: c, lambda c: "".join(f"%{b:02X}" for b in c.encode()), lambda c: "".join(f"%25{b:02x}" for b in c.encode()), lambda c: f"&#{ord(c)};" if c.isalnum() else c]
@@ -197,6 +196,45 @@ def test_long_series_of_one_key_against_a_plain_fold(spark):
         assert math.isclose(r.ewma, last)
 
 
+@pytest.mark.parametrize("back", [1, 3])
+def test_previous_rows_across_slices_and_blocks(spark, monkeypatch, back):
+    monkeypatch.setattr(series, "BLOCK", 4)
+    rnd = random.Random(5)
+    places = {"a": sorted(rnd.sample(range(300), 40)), "b": [7], "c": sorted(rnd.sample(range(90), 13))}
+    rows = [(k, t, t * t) for k, ts in places.items() for t in ts] + [(None, 3, 9), ("a", None, 1)]
+    df = spark.createDataFrame(rnd.sample(rows, len(rows)), "k string, t long, v long")
+    assert {(r.k, r.t, r.n) for r in series.numbered(df, "k", "t", width=16).collect()} == {(k, t, i + 1) for k, ts in places.items() for i, t in enumerate(ts)}
+    out = series.with_previous(df, "k", "t", ["v"], back=back).collect()
+    assert {(r.k, r.t): r.prev and r.prev.v for r in out} == {(k, t): ts[i - back] ** 2 if i >= back else None for k, ts in places.items() for i, t in enumerate(ts)}
+    out = series.with_previous(df, "k", "t", ["v"], back=back, or_first=True).collect()
+    assert {(r.k, r.t): r.prev.v for r in out} == {(k, t): ts[max(0, i - back)] ** 2 for k, ts in places.items() for i, t in enumerate(ts)}
+    assert len(out) == 54 and not series.with_previous(df.limit(0), "k", "t", ["v"]).collect()
+
+
+def test_ranked_upstreams_across_slices_of_time(spark):
+    rnd = random.Random(6)
+    scores = [(f"u{rnd.randrange(3)}", i * 1700, rnd.choice([None, float(rnd.randrange(1, 100))])) for i in range(60)]
+    points = [(i, i * 4000 + 1, pos, rnd.choice([f"u{pos}", f"u{pos}", None]), rnd.random() < 0.8, rnd.randrange(3)) for i in range(40) for pos in range(4)]
+    at = lambda df: df.withColumn("ts", F.timestamp_seconds("ts"))
+    p = at(spark.createDataFrame(points, "point int, ts long, pos int, dial string, available boolean, inflight long"))
+    got = {r.point: (r.pos, r.dial, round(r.score, 6)) for r in addresses.rank_upstreams(p, at(spark.createDataFrame(scores, "dial string, ts long, score double")), 9000.0).collect()}
+    want = {}
+    for i, ts, pos, dial, up, n in points:
+        last = max(((t, x) for d, t, x in scores if d == dial and x is not None and t <= ts), default=None)
+        value = (last[1] * 0.5 ** ((ts - last[0]) / 9000) if last else 0.0) * (n + 1)
+        if up and (i not in want or value < want[i][2]):
+            want[i] = (pos, dial, value)
+    assert got == {i: (pos, dial, round(x, 6)) for i, (pos, dial, x) in want.items()}
+
+
+def test_validation_keeps_the_rejected_rows(spark):
+    df = spark.createDataFrame([("a" * 64, 1), ("a" * 64, 0), ("A" * 64, 1), (None, 0), ("a" * 64, None)], "health_key string, vhost_id long")
+    good, bad = rollups.validated(df, rollups.health_rules())
+    assert good.count() == 1 and sorted(r.reject for r in bad.collect()) == ["health_key", "health_key", "vhost", "vhost"]
+    row = rollups.intake(df, {"domain_health": rollups.health_rules()}).first()
+    assert (row.rows_in, row.rejects, row.by_rule) == (5, 4, {"health_key": 2, "vhost": 2})
+
+
 def test_batch_round_trip_and_empty_batch(spark, tmp_path):
     df = spark.createDataFrame([(1, None, "a"), (2, 0, "b")], "k long, n long, s string")
     assert batches.write_batch({"x": df, "y": df.limit(0)}, str(tmp_path / "b"))
