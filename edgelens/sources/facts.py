@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from edgelens.runtime import spread, table
 
-EV_SPARK = "select event_id as seq, ts, user_id, event_type, value, cast(get_json_object(props, '$.k') as int) as k from events"
+# as a generator the JSON is read once a row: conditions on k are not pushed below it, and a dozen copies of it with them
+EV_SPARK = "select event_id as seq, ts, user_id, event_type, value, cast(number as int) as k from events lateral view json_tuple(props, 'k') x as number"
 EV_DUCKDB = "select event_id as seq, ts, user_id, event_type, value, cast(json_extract_string(props, '$.k') as int) as k from events"
 
 REQUESTS = """
