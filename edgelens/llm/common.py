@@ -58,3 +58,11 @@ def append_columns(
                 yield pa.RecordBatch.from_arrays(cols[: len(cols) - n_in] + list(make(*cols[len(cols) - n_in :])), names)
 
     return src.mapInArrow(run, out_schema)
+
+
+def join_hot(rows: DataFrame, groups: DataFrame, keys: list[str], n_col: str, limit: int) -> DataFrame:
+    """rows joined with groups, which have a row for each key and in n_col its number of rows, or more. The few keys
+    with more than limit (see hot_limit) are joined by broadcast, so that none of them is one task's."""
+    hot = F.broadcast(groups.where(F.col(n_col) > limit))
+    cold = rows.join(hot.select(*keys), keys, "left_anti").join(groups.where(F.col(n_col) <= limit), keys)
+    return rows.join(hot, keys).unionByName(cold)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from edgelens.llm import bpe, chat, fingerprint, language, linededup, mixing, simhash, tokenfile, topk, url_filter
+from edgelens.llm import bpe, chat, fingerprint, language, linededup, mixing, simhash, substrings, tokenfile, topk, url_filter
 from edgelens.runtime import table
 
 
@@ -168,9 +168,15 @@ def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows that a smaller doc_id has."""
+    out = substrings.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_bpe_codec, op2_topk_search, op3_chat_format, op4_token_file, op5_language, op6_multiset_fingerprint, op7_line_dedup, op8_simhash_groups, op9_poisson_mix, op10_url_verdicts,
+        op1_bpe_codec, op2_topk_search, op3_chat_format, op4_token_file, op5_language, op6_multiset_fingerprint, op7_line_dedup, op8_simhash_groups, op9_poisson_mix, op10_url_verdicts, op13_substring_dedup,
     )}
 
 
