@@ -60,6 +60,18 @@ def append_columns(
     return src.mapInArrow(run, out_schema)
 
 
+def integer_vectors(df: DataFrame, vec_col: str, scale: int, largest: float) -> DataFrame:
+    """The rows of df whose vector holds only finite components and is neither null nor empty, with __v array<long>: each
+    component times scale, rounded down. Rows whose squared length could reach largest are left out."""
+    x = F.transform(F.col(f"`{vec_col}`"), lambda c: c.cast("double") * float(scale))
+    kept = [c for c in df.columns if c.lower() not in ("__v", "__x")]
+    rows = df.select(*[F.col(f"`{c}`") for c in kept], x.alias("__x")).where(F.col("__x").isNotNull() & (F.size("__x") > 0))
+    rows = rows.where(F.forall("__x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))))
+    longest = F.aggregate("__x", F.lit(0.0), lambda a, c: a + (F.abs(c) + 1) * (F.abs(c) + 1))  # rounding down adds less than 1
+    rows = rows.where(longest < largest)
+    return rows.select(*[F.col(f"`{c}`") for c in kept], F.transform("__x", lambda c: F.floor(c)).alias("__v"))
+
+
 def join_hot(rows: DataFrame, groups: DataFrame, keys: list[str], n_col: str, limit: int) -> DataFrame:
     """rows joined with groups, which have a row for each key and in n_col its number of rows, or more. The few keys
     with more than limit (see hot_limit) are joined by broadcast, so that none of them is one task's."""

@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from edgelens.llm import bpe, chat, fingerprint, language, linededup, mixing, simhash, substrings, tokenfile, topk, url_filter
-from edgelens.runtime import table
+from edgelens.llm import bpe, chat, codes, fingerprint, language, linededup, mixing, simhash, substrings, tokenfile, topk, url_filter
+from edgelens.llm.common import hot_limit, join_hot
+from edgelens.runtime import stage, table
 
 
 def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,6 +169,56 @@ def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op12_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code and error, and the error of all vectors with its label."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    coded, books = codes.compress(vectors, ["vec_id", "label"])
+    coded = stage(coded.withColumn("key", F.coalesce(F.concat(F.lit("+"), F.col("label").cast("string")), F.lit("-"))), "codes")
+    totals = stage(coded.groupBy("key").agg(F.sum("error").alias("label_error"), F.count("*").alias("n")), "code-errors")
+    out = join_hot(coded, totals, ["key"], "n", hot_limit(coded.count()))
+    code = F.array_join(F.transform("code", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return out.select("vec_id", code.alias("code"), "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+def _op12_sql() -> str:
+    """The four rounds as CTEs: codebooks c0 to c4, parts' entries a0 to a4."""
+    floors = "(x - ((x % n) + n) % n) // n"  # rounds down for either sign
+    out = """
+with recursive v as materialized (
+  select row_number() over (order by vec_id nulls last, embedding) as i, vec_id, label, [floor(1024 * x::double)::bigint for x in embedding] as q from embeddings
+  where embedding is not null and len(embedding) > 0 and len([x for x in embedding if x is not null and isfinite(x)]) = len(embedding)
+), w as materialized (
+  select i, p, q[1 + p * (len(q) // 4) : (p + 1) * (len(q) // 4)] as x from v, range(4) t(p)
+), c0 as materialized (
+  select p, i - 1 as e, x from w where i <= 256
+)"""
+    for r in range(5):
+        out += f""", a{r} as materialized (
+  select i, p, min({{'d': d, 'e': e}}) as best from (
+    select i, w.p, e, list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(w.x, c.x)])::bigint as d from w join c{r} c on w.p = c.p
+  ) group by i, p
+)"""
+        if r < 4:
+            out += f""", m{r} as materialized (
+  select p, e, list({floors} order by k) as x from (
+    select w.p, a.best.e as e, k, sum(w.x[k])::bigint as x, count(*) as n
+    from w join a{r} a on w.i = a.i and w.p = a.p, unnest(range(1, len(w.x) + 1)) t(k) group by w.p, a.best.e, k
+  ) group by p, e
+), c{r + 1} as materialized (
+  select c.p, c.e, coalesce(m.x, c.x) as x from c{r} c left join m{r} m on c.p = m.p and c.e = m.e
+)"""
+    return out + """, coded as (
+  select i, string_agg(lpad(lower(to_hex(best.e)), 2, '0'), '' order by p) as code, sum(best.d)::bigint as error from a4 group by i
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+  (select sha256(string_agg(array_to_string(x, ','), ',' order by p, e)) from c4) as codebooks_sha256
+from v join coded using (i)
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of windows that a smaller doc_id has."""
     out = substrings.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -176,9 +227,9 @@ def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_bpe_codec, op2_topk_search, op3_chat_format, op4_token_file, op5_language, op6_multiset_fingerprint, op7_line_dedup, op8_simhash_groups, op9_poisson_mix, op10_url_verdicts, op13_substring_dedup,
+        op1_bpe_codec, op2_topk_search, op3_chat_format, op4_token_file, op5_language, op6_multiset_fingerprint, op7_line_dedup, op8_simhash_groups, op9_poisson_mix, op10_url_verdicts, op12_ball_kmeans, op13_substring_dedup,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk_search": OP2_SQL, "op3_chat_format": OP3_SQL, "op9_poisson_mix": OP9_SQL, "op10_url_verdicts": OP10_SQL}
+    return {"op2_topk_search": OP2_SQL, "op3_chat_format": OP3_SQL, "op9_poisson_mix": OP9_SQL, "op10_url_verdicts": OP10_SQL, "op12_ball_kmeans": OP12_SQL}
