@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from edgelens.llm import bpe, chat, codes, fingerprint, language, linededup, mixing, simhash, substrings, tokenfile, topk, url_filter
+from edgelens.llm import bpe, chat, codes, fingerprint, language, linededup, mixing, negatives, simhash, substrings, tokenfile, topk, url_filter
 from edgelens.llm.common import hot_limit, join_hot
 from edgelens.runtime import stage, table
 
@@ -169,6 +169,31 @@ def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of five positives of every row whose id is divisible by 50."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return negatives.hard_negatives(vectors, F.col("id") % 50 == 0)
+
+
+OP11_SQL = """
+with v as materialized (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, [floor(256 * x::double)::bigint for x in embedding] as q from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
+    and len([x for x in embedding if x is not null and isfinite(x)]) = len(embedding)
+), s as materialized (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as alike, list_sum([z[1] * z[2] for z in list_zip(a.q, b.q)])::bigint as score
+  from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id
+), p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where alike
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, positive_id, row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id)::int as rank, vec_id as negative_id, positive_score, score as negative_score
+from p join s on p.anchor_id = s.anchor_id and not alike and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify rank <= 3
+"""
+
+
 def op12_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's code and error, and the error of all vectors with its label."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
@@ -227,9 +252,9 @@ def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_bpe_codec, op2_topk_search, op3_chat_format, op4_token_file, op5_language, op6_multiset_fingerprint, op7_line_dedup, op8_simhash_groups, op9_poisson_mix, op10_url_verdicts, op12_ball_kmeans, op13_substring_dedup,
+        op1_bpe_codec, op2_topk_search, op3_chat_format, op4_token_file, op5_language, op6_multiset_fingerprint, op7_line_dedup, op8_simhash_groups, op9_poisson_mix, op10_url_verdicts, op11_hard_negatives, op12_ball_kmeans, op13_substring_dedup,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk_search": OP2_SQL, "op3_chat_format": OP3_SQL, "op9_poisson_mix": OP9_SQL, "op10_url_verdicts": OP10_SQL, "op12_ball_kmeans": OP12_SQL}
+    return {"op2_topk_search": OP2_SQL, "op3_chat_format": OP3_SQL, "op9_poisson_mix": OP9_SQL, "op10_url_verdicts": OP10_SQL, "op11_hard_negatives": OP11_SQL, "op12_ball_kmeans": OP12_SQL}
