@@ -125,29 +125,31 @@ def path_bucket(uri: Column) -> Column:
     return byte_cap(F.concat(F.lit("/"), F.array_join(F.transform(segments, fold), "/")), 128)
 
 
-def front_proxy(cdn_ip: Column, xff: Column) -> Column:
-    return F.when(F.coalesce(cdn_ip, F.lit("")) != "", "cloudflare").when(F.coalesce(xff, F.lit("")) != "", "forwarded").otherwise("")
+def front_proxy(cdn: list[Column], forwarded: list[Column]) -> Column:
+    """By whichever kind of header field is there."""
+
+    def there(fields: list[Column]) -> Column:
+        return F.coalesce(*[F.nullif(f, F.lit("")) for f in fields], F.lit("")) != ""
+
+    return F.when(there(cdn), "cloudflare").when(there(forwarded), "forwarded").otherwise("")
 
 
 def hash_ip(xff: Column, remote: Column) -> Column:
     return F.when(F.coalesce(xff, F.lit("")) != "", F.trim(F.element_at(F.split(xff, ","), -1))).otherwise(remote)
 
 
-def bytes_in(method_: Column, uri: Column, major: Column, minor: Column, headers: Column, length: Column) -> Column:
-    """headers: array<struct<name, value>>."""
+def bytes_in(method_: Column, uri: Column, major: Column, minor: Column, lines: Column, length: Column) -> Column:
+    """Request line, header lines (their bytes), blank line and body."""
     proto = F.length(F.concat(F.lit("HTTP/"), major.cast("string"), F.lit("."), minor.cast("string")))
-    lines = F.aggregate(headers, F.lit(0).cast("long"), lambda n, h: n + F.octet_length(h["name"]) + F.octet_length(h["value"]) + 4)
     return (F.octet_length(method_) + F.octet_length(uri) + proto + 4 + lines + 2 + F.greatest(length, F.lit(0))).cast("long")
 
 
-def bytes_out(wrote: Column, hijacked: Column, status: Column, headers: Column, body: Column) -> Column:
-    """Status line, headers, blank line and body; 0 where nothing was written or the connection was taken over.
-
-    headers: array<struct<name, value>> without nulls."""
+def bytes_out(wrote: Column, hijacked: Column, status: Column, lines: Column, body: Column) -> Column:
+    """Status line, header lines (their bytes), blank line and body; 0 where nothing was written or the connection was
+    taken over."""
     phrase = F.lit(0)
     for code, text in sorted(({s.value: s.phrase for s in HTTPStatus} | OLDER_PHRASES).items()):
         phrase = F.when(status == code, len(text)).otherwise(phrase)
-    lines = F.aggregate(headers, F.lit(0).cast("long"), lambda n, h: n + F.octet_length(h["name"]) + F.octet_length(h["value"]) + 4)
     return F.when(~wrote | hijacked, 0).otherwise(len("HTTP/1.1 ") + 3 + 1 + phrase + 2 + lines + 2 + body).cast("long")
 
 

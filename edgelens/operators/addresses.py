@@ -118,7 +118,8 @@ def sampled_ips(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def rank_upstreams(points: DataFrame, scores: DataFrame, half_life_s: float = 30.0, slice_s: int = 3600) -> DataFrame:
-    """Of the available candidates at each point the one with the lowest decayed score times (in-flight + 1).
+    """Of the available candidates at each point the one with the lowest decayed score times (in-flight + 1); a point
+    with candidates of which none is available, or without any (dial null), has nulls.
 
     points: (point, ts, pos, dial, available, inflight); scores: (dial, ts, score). As-of join: both sides in one
     frame, the last score carried forward within a dial's slice of time; from slice to slice goes only the last
@@ -131,9 +132,11 @@ def rank_upstreams(points: DataFrame, scores: DataFrame, half_life_s: float = 30
     order = Window.partitionBy("dial", "slice").orderBy("ts", "side").rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy("dial").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     ends = both.groupBy("dial", "slice").agg(F.max("own").alias("end")).select("dial", "slice", F.last("end", True).over(earlier).alias("carried"))
-    asked = both.withColumn("last", F.last("own", True).over(order)).where("side = 1 and available").join(ends, ["dial", "slice"], "left")
+    asked = both.withColumn("last", F.last("own", True).over(order)).where("side = 1").join(ends, ["dial", "slice"], "left")
     asked = asked.withColumn("last", F.coalesce("last", "carried"))
     us = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("last.ts").cast("timestamp"))
     score = F.coalesce(F.col("last.score") * F.pow(F.lit(0.5), us / (half_life_s * 1e6)), F.lit(0.0)) * (F.col("inflight") + 1)
-    rank = F.row_number().over(Window.partitionBy("point").orderBy("score", "pos"))
-    return asked.withColumn("score", score).withColumn("rank", rank).where("rank = 1").select("point", "dial", "pos", "score")
+    usable = F.coalesce("available", F.lit(False)) & F.col("dial").isNotNull()
+    rank = F.row_number().over(Window.partitionBy("point").orderBy(F.desc("usable"), "score", "pos"))
+    best = asked.withColumns({"score": score, "usable": usable}).withColumn("rank", rank).where("rank = 1")
+    return best.select("point", *[F.when(F.col("usable"), F.col(c)).alias(c) for c in ("dial", "pos", "score")])

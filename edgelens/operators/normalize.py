@@ -2,33 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from edgelens.functions import columns as C
+from edgelens.functions import columns as C, headers as H
 from edgelens.operators import addresses, exemptions
 
+#: What stands for columns that a request's producer left out.
+ABSENT = {
+    "wrote": False, "hijacked": False, "err_is_handler": False, "retried_response": False, "cancelled": False, "exempt": False, "err_status": 0, "err_message": "", "err_kind": "",
+    "block_reason_var": "", "challenge_outcome": "", "challenge_reason": "", "verify_outcome": "", "content_length": 0, "body_bytes_out": 0,
+}
+MONITOR_HEADER = "x-monitor"
 
-def normalize_requests(requests: DataFrame, salt: str = "salt") -> DataFrame:
-    """requests with the derived columns of the data model (minute, status, origin, disposition, ...)."""
-    c = F.col
 
-    def headers_of(pairs: dict[str, str]) -> Column:
-        entries = [F.struct(F.lit(n).alias("name"), c(v).alias("value")) for n, v in pairs.items()]
-        return F.filter(F.array(*entries), lambda h: h["value"].isNotNull())
+def with_fields(requests: DataFrame, monitor: str = MONITOR_HEADER) -> DataFrame:
+    """requests, as sources.readers declares them, with the first values of the header fields of H.FIELDS, the bytes of
+    all header lines of both directions, whether the monitor field is `true`, and defaults for what is absent."""
+    absent = {n: F.coalesce(n, F.lit(v)) if n in requests.columns else F.lit(v) for n, v in ABSENT.items()}
+    rows = requests.withColumns({**absent, "__in": H.folded(F.col("headers")), "__out": H.folded(F.col("resp_headers"))})
+    fields = {n: H.first_of(F.col("__in"), name) for n, name in H.FIELDS.items()}
+    lines = {"lines_in": H.wire_size(F.col("__in")), "lines_out": H.wire_size(F.col("__out"))}
+    marked = F.coalesce(H.first_of(F.col("__in"), monitor) == "true", F.lit(False))
+    return rows.withColumns({**fields, **lines, "monitor": marked}).drop("__in", "__out")
+
 
-    headers = headers_of({"X-Forwarded-For": "xff", "User-Agent": "ua", "Accept": "accept"})
-    answer = headers_of({"Content-Type": "content_type", "Location": "location"})
-    step = requests.withColumns({
+def normalize_requests(requests: DataFrame, monitor: str = MONITOR_HEADER) -> DataFrame:
+    """Facts of requests, as sources.readers declares them, in batch or stream: the derived columns of the data model
+    (minute, status, origin, disposition, ...) beside theirs. Of a header field the first value counts, in any case of
+    its name; every value of every field counts in the bytes."""
+    c = F.col
+    step = with_fields(requests, monitor).withColumns({
         "minute": C.minute(c("end_ts")), "method_norm": C.method(c("method")),
         "status": C.final_status(c("wrote"), c("written_status"), c("err_is_handler"), c("err_status")),
         "block_reason": C.block_reason(c("block_reason_var"), c("err_is_handler"), c("err_message"), c("err_status")),
         "country_norm": C.country(c("country")), "asn_norm": C.u32(c("asn"), 0), "vhost_id": C.u32(c("vhost_var")),
         "lat_bucket": C.latency_bucket(c("duration_us")), "http_version": C.http_version(c("proto_major"), c("proto_minor")),
         "path": C.byte_cap(C.bare_path(c("uri")), 1024), "path_bucket": C.path_bucket(c("uri")),
-        "front_proxy": C.front_proxy(c("cdn_ip"), c("xff")), "hash_ip": C.hash_ip(c("xff"), c("remote_addr")),
+        "front_proxy": C.front_proxy([c("cdn_ip"), c("cdn_ray")], [c("xff"), c("real_ip")]), "hash_ip": C.hash_ip(c("xff"), c("remote_addr")),
         "challenge": C.challenge_outcome(c("challenge_outcome"), c("challenge_reason")), "source": C.challenge_source(c("challenge_source")),
-        "bytes_in": C.bytes_in(c("method"), c("uri"), c("proto_major"), c("proto_minor"), headers, c("content_length")),
-        "bytes_out": C.bytes_out(c("wrote"), c("hijacked"), c("written_status"), answer, c("body_bytes_out")),
+        "bytes_in": C.bytes_in(c("method"), c("uri"), c("proto_major"), c("proto_minor"), c("lines_in"), c("content_length")),
+        "bytes_out": C.bytes_out(c("wrote"), c("hijacked"), c("written_status"), c("lines_out"), c("body_bytes_out")),
     })
     step = step.withColumns({
         "origin": C.origin(c("block_reason"), c("err_kind"), c("upstream_addr"), c("err_is_handler"), c("retried_response")),

@@ -19,16 +19,28 @@ LONG_VALUE = 8
 SCAN_BYTES = 6 * 1024  # past a kept prefix: the longest managed value, each byte escaped
 
 
-def explode_findings(audit: DataFrame) -> DataFrame:
-    """One row per transaction and fired rule; null messages are skipped; widths are capped in bytes.
-
-    audit: (tx_id, ..., messages array<struct<pos, rule_id, severity, msg, data>>)."""
-    rows = audit.withColumn("m", F.explode(F.filter("messages", lambda m: m.isNotNull()))).drop("messages").select("*", "m.*").drop("m")
-    wide = {c: C.byte_cap(F.col(c), n) for c, n in (("uri", 2048), ("host", 255), ("method", 32)) if c in rows.columns}
-    return rows.withColumns({
-        **wide, "msg": C.byte_cap(F.coalesce("msg", F.lit("")), 256), "match_data": C.byte_cap(F.coalesce("data", F.lit("")), 512),
-        "severity_label": C.severity_label(F.col("severity")),
-    }).drop("data")
+def explode_findings(audit: DataFrame, vhost_header: str = "x-vhost-id") -> DataFrame:
+    """One row per transaction and fired rule, in batch or stream; null messages are skipped, widths are capped in bytes.
+
+    audit: as sources.readers declares it, messages array<struct<id, severity, msg, data, tags>>. Where the transaction's
+    columns are there, its time comes in seconds, its host from server_id, its vhost from its headers."""
+    have = set(audit.columns)
+    rows = audit.withColumn("m", F.explode(F.filter("messages", lambda m: m.isNotNull()))).drop("messages")
+    m = F.col("m")
+    out = {
+        "rule_id": F.greatest(m["id"].cast("long"), F.lit(0)), "severity": m["severity"], "severity_label": C.severity_label(m["severity"]), "tags": m["tags"],
+        "msg": C.byte_cap(F.coalesce(m["msg"], F.lit("")), 256), "match_data": C.byte_cap(F.coalesce(m["data"], F.lit("")), 512),
+    }
+    out |= {c: C.byte_cap(F.col(c), n) for c, n in (("uri", 2048), ("host", 255), ("method", 32)) if c in have}
+    if "server_id" in have:
+        out["host"] = C.byte_cap(F.col("server_id"), 255)
+    if "ts_ns" in have:
+        out["ts_s"] = F.least(F.greatest(F.expr("ts_ns div 1000000000"), F.lit(0)), F.lit(C.U32)).cast("long")
+    if "interrupted" in have:
+        out["was_blocked"] = F.coalesce("interrupted", F.lit(False))
+    if "headers" in have:
+        out["vhost_id"] = header_vhost(F.col("headers"), vhost_header)
+    return rows.withColumns(out).drop("m")
 
 
 def header_vhost(headers: Column, name: str) -> Column:
@@ -46,20 +58,26 @@ def parse_evidence(marker: Column, fields: tuple[str, str, str] = MARKER_FIELDS)
     return F.when(marker.rlike(form) & ascending, value)
 
 
+#: Rules up to which a catalogue is kept in the plan; beyond, markers' rules are joined with it.
+CATALOG_RULES = 4096
+
+
 def mark_exempt(findings: DataFrame, catalog: DataFrame, marker: str = "marker") -> DataFrame:
     """findings with exempt: by the all-flag, or the rule is in the marker's list; a marker that names a
-    rule outside the catalogue is void. Of a marker's rules only those that it names are joined, by id, with
-    the catalogue; findings without a marker of rules, most of them, take no part in that join."""
-    e = parse_evidence(F.col(marker))
-    rows = findings.withColumn("__e", e).withColumn("__named", F.when(F.size("__e.ids") > 0, F.col(marker)))
-    named = rows.where("__named is not null").select("__named", "__e").dropDuplicates(["__named"])
-    known = catalog.select(F.col("rule_id").alias("__rule")).distinct()
-    ids = named.select("__named", F.explode("__e.ids").alias("__rule")).join(known.withColumn("__known", F.lit(True)), "__rule", "left")
-    valid = ids.groupBy("__named").agg(F.bool_and(F.col("__known").isNotNull()).alias("__valid"))
-    own = rows.where("__named is not null").join(valid, "__named").drop("__named")
-    other = rows.where("__named is null").drop("__named").withColumn("__valid", F.lit(True))
-    hit = F.col("__valid") & (F.col("__e.all") | F.array_contains("__e.ids", F.col("rule_id")))
-    return own.unionByName(other).withColumn("exempt", F.coalesce(hit, F.lit(False))).drop("__e", "__valid")
+    rule outside the catalogue is void. findings may be a stream; the catalogue (rule_id) is a table."""
+    rows = findings.withColumn("__e", parse_evidence(F.col(marker)))
+    known = [r.rule_id for r in catalog.where("rule_id is not null").select("rule_id").distinct().limit(CATALOG_RULES + 1).collect()]
+    if len(known) > CATALOG_RULES:
+        # most findings have no marker of rules and take no part in the join
+        named = rows.select(F.when(F.size("__e.ids") > 0, F.col(marker)).alias("__named"), "__e.ids").where("__named is not null").dropDuplicates(["__named"])
+        listed = catalog.select(F.col("rule_id").alias("__rule")).distinct()
+        void = named.select("__named", F.explode("ids").alias("__rule")).join(listed, "__rule", "left_anti").select("__named").distinct().withColumn("__void", F.lit(True))
+        rows = rows.withColumn("__named", F.when(F.size("__e.ids") > 0, F.col(marker))).join(void, "__named", "left")
+        valid = F.col("__void").isNull()
+    else:
+        valid = F.forall("__e.ids", lambda i: F.array_contains(F.lit(sorted(known)).cast("array<bigint>"), i))
+    hit = F.col("__e.all") | (F.array_contains("__e.ids", F.col("rule_id")))
+    return rows.withColumn("exempt", F.coalesce(valid & hit, F.lit(False))).drop("__e", "__named", "__void")
 
 
 def unknown_rules(ids: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from edgelens.functions import screening
-from edgelens.operators import exemptions, waf
+from edgelens.operators import exemptions, normalize, waf
 from edgelens.plans import sql as S
-from edgelens.plans.queries import audit, query
+from edgelens.plans.queries import audit, findings, query
 from edgelens.sources.facts import views
 
 SCREENED = """
@@ -33,10 +33,14 @@ select seq, method in ('GET', 'HEAD') and body_length = 0 and regexp_full_match(
 from p"""
 
 
+def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize.with_fields(views(spark, sf_dir, "requests")[0])
+
+
 @query(P32)
 def p32_skippable_static(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which requests a firewall may skip; lengths and headers are varied so that each test decides some."""
-    s = spark.sql(SCREENED.replace("{", "{{").replace("}", "}}").replace("from requests", "from {requests}"), requests=views(spark, sf_dir, "requests")[0])
+    s = spark.sql(SCREENED.replace("{", "{{").replace("}", "}}").replace("from requests", "from {requests}"), requests=_requests(spark, sf_dir))
     headers = F.array(*[F.struct(F.lit(n).alias("name"), F.col(v).alias("value")) for n, v in (("User-Agent", "agent"), ("Cookie", "cookie"), ("Referer", "referer"))])
     return s.select("seq", screening.skippable_static(F.col("method"), F.col("target"), F.col("body_length"), headers).alias("skippable"))
 
@@ -44,7 +48,7 @@ def p32_skippable_static(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(S.BASE + """f as (select seq, case when cdn_ip is not null then '2001:db8::1' when xff is not null and xff <> 'junk' then trim(string_split(xff, ',')[-1]) else '::' end as forwarded_ip from requests)
 select seq, forwarded_ip from f""")
 def p18_forwarded_ips(spark, sf_dir):
-    return exemptions.with_forwarded_ip(views(spark, sf_dir, "requests")[0]).select("seq", "forwarded_ip")
+    return exemptions.with_forwarded_ip(_requests(spark, sf_dir)).select("seq", "forwarded_ip")
 
 
 E5 = """with f as (select l_orderkey as tx_id, l_linenumber as pos, l_partkey % 90 + 942000 as rule_id, 942000 + l_orderkey % 40 as a, 942041 + l_orderkey % 40 as b,
@@ -66,7 +70,7 @@ def e5_evidence_versions(spark, sf_dir):
     marker = F.when(F.col("marker") == "all", "http=0;coraza_all=1;coraza_rule_ids=").otherwise(F.col("marker"))
     values = F.when(tx % 9 == 0, F.array(marker, marker)).otherwise(F.array(marker))
     headers = F.map_from_arrays(F.array(F.lit("X-Evidence"), F.lit("X-EXEMPT")), F.array(values, F.array(F.when(tx % 4 == 0, "true").otherwise("True"))))
-    found = waf.explode_findings(audit(spark, sf_dir)).withColumns({"rulesets": sets, "headers": headers})
+    found = findings(audit(spark, sf_dir)).withColumns({"rulesets": sets, "headers": headers})
     return exemptions.exempt_findings(found, catalog, p).select("tx_id", "pos", "exempt")
 
 
@@ -91,6 +95,6 @@ select seq, case when ua in ('view/7', 'signup/1') or contains(ua, 'purchase/')
 def r4_redact_identity(spark, sf_dir):
     from edgelens.functions import columns as C
 
-    rows = exemptions.with_forwarded_ip(views(spark, sf_dir, "requests")[0])
+    rows = exemptions.with_forwarded_ip(_requests(spark, sf_dir))
     rows = rows.withColumn("hash_ip", C.hash_ip(F.col("xff"), F.col("remote_addr")))
     return exemptions.redact_identity(rows, MANAGED).select("seq", "ua", "forwarded_ip", "hash_ip")

@@ -388,15 +388,15 @@ def a9_block_counts(spark, sf_dir):
 
 @query(S.J6)
 def j6_rank_upstreams(spark, sf_dir):
-    """At every purchase the best of three candidates by the scores before it."""
+    """At every purchase the best of three candidates by the scores before it; of some none is available."""
     r = views(spark, sf_dir, "requests")[0]
     scores = r.where("method <> 'POST'").select(F.concat(F.lit("u"), (F.col("user_id") % 5).cast("string")).alias("dial"), F.col("end_ts").alias("ts"), F.col("duration_us").cast("double").alias("score"))
     cand = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("pos")
     points = r.where("method = 'POST'").select(F.col("seq").alias("point"), F.col("end_ts").alias("ts"), "k", "user_id", cand).select(
         "point", "ts", "pos", F.concat(F.lit("u"), ((F.col("user_id") + F.col("pos")) % 6).cast("string")).alias("dial"),
-        ((F.col("k") + F.col("pos")) % 5 != 0).alias("available"), ((F.col("k") + F.col("pos")) % 3).cast("long").alias("inflight"),
+        (((F.col("k") + F.col("pos")) % 5 != 0) & (F.col("k") % 7 != 3)).alias("available"), ((F.col("k") + F.col("pos")) % 3).cast("long").alias("inflight"),
     )
-    return addresses.rank_upstreams(points, scores, half_life_s=3600.0).select("point", "dial", "pos", F.round("score", 3).alias("score"))
+    return addresses.rank_upstreams(points, scores, half_life_s=3600.0, slice_s=7 * 86400).select("point", "dial", "pos", F.round("score", 3).alias("score"))
 
 
 # Firewall -------------------------------------------------------------------------------------
@@ -404,13 +404,19 @@ def j6_rank_upstreams(spark, sf_dir):
 
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.sql(WAF_AUDIT.replace("from lineitem", "from {lineitem}"), lineitem=table(spark, sf_dir, "lineitem"))
-    m = F.struct("pos", "rule_id", "severity", "msg", "data")
+    # as the firewall writes them: the id is an int, the line is only in a tag
+    m = F.struct(F.col("rule_id").cast("int").alias("id"), "severity", "msg", "data", F.array(F.concat(F.lit("line/"), F.col("pos").cast("string"))).alias("tags"))
     return rows.groupBy("tx_id").agg(F.first("marker").alias("marker"), F.first("vhost_case").alias("vhost_case"), F.collect_list(m).alias("messages"))
 
 
+def findings(audit: DataFrame) -> DataFrame:
+    line = F.regexp_extract(F.get("tags", F.lit(0)), "^line/([0-9]+)$", 1)
+    return waf.explode_findings(audit).withColumn("pos", line.cast("int"))
+
+
 @query(S.E1)
 def e1_findings(spark, sf_dir):
-    return waf.explode_findings(audit(spark, sf_dir)).select("tx_id", "pos", "rule_id", "severity_label", "msg", "match_data")
+    return findings(audit(spark, sf_dir)).select("tx_id", "pos", "rule_id", "severity_label", "msg", "match_data")
 
 
 @query(S.E3)
@@ -425,14 +431,14 @@ def e3_vhost_headers(spark, sf_dir):
 def e4_rule_exemptions(spark, sf_dir):
     """Findings exempt by their request's marker; rules of the catalogue are the even half and the hot ones."""
     catalog = spark.range(942000, 942100).where("id % 40 <> 7").select(F.col("id").alias("rule_id"))
-    found = waf.explode_findings(audit(spark, sf_dir).withColumn("marker", F.when(F.col("marker") == "all", "http=0;coraza_all=1;coraza_rule_ids=").otherwise(F.col("marker"))))
+    found = findings(audit(spark, sf_dir).withColumn("marker", F.when(F.col("marker") == "all", "http=0;coraza_all=1;coraza_rule_ids=").otherwise(F.col("marker"))))
     return waf.mark_exempt(found, catalog).select("tx_id", "pos", "rule_id", "exempt")
 
 
 @query("select distinct l_partkey % 90 + 942000 as rule_id from lineitem where (l_partkey % 90 + 942000) % 40 = 7")
 def j3_unknown_rules(spark, sf_dir):
     catalog = spark.range(942000, 942100).where("id % 40 <> 7").select(F.col("id").alias("rule_id"))
-    return waf.unknown_rules(waf.explode_findings(audit(spark, sf_dir)), catalog)
+    return waf.unknown_rules(findings(audit(spark, sf_dir)), catalog)
 
 
 MANAGED = [("X-Origin-Key", "part 1234 of"), ("X-Origin-Key", "Line R of supplier"), ("X-Tag", "abc")]
@@ -441,7 +447,7 @@ MANAGED = [("X-Origin-Key", "part 1234 of"), ("X-Origin-Key", "Line R of supplie
 @query()
 def r2_redact_findings(spark, sf_dir):
     """Findings with managed values masked in target and text; held against random targets in the tests."""
-    found = waf.explode_findings(audit(spark, sf_dir)).withColumns({
+    found = findings(audit(spark, sf_dir)).withColumns({
         "uri": F.concat(F.lit("/a/"), F.replace("match_data", F.lit(" "), F.lit("%20")), F.lit("?q="), F.col("tx_id").cast("string")),
         "carried": F.when(F.col("tx_id") % 11 == 0, F.lit(None).cast("boolean")).otherwise(F.col("tx_id") % 7 == 0),
     })
@@ -468,7 +474,7 @@ def t2_cpu_rates(spark, sf_dir):
 @query(S.T2_THROTTLED)
 def t2_throttled_rates(spark, sf_dir):
     """The same with the share of time throttled as a lower bound."""
-    out = series.cpu_rates(views(spark, sf_dir, "node_samples")[0], gap_s=3600.0, throttled="throttled_us")
+    out = series.cpu_rates(views(spark, sf_dir, "node_samples")[0], gap_s=3600.0, throttled=True)
     return out.select("machine_id", "t", "steal_permille")
 
 

@@ -20,7 +20,7 @@ r0 as (select *, case when wrote then written_status when err_is_handler and err
     regexp_extract(uri, '^([^?#]*)', 1) as path from requests),
 r1 as (select *, case when block_reason <> '' then 'cluster_blocked' when err_kind = 'no_upstreams' then 'cluster_proxy_error' when upstream_addr is null then 'cluster'
       when not err_is_handler then 'upstream' when retried_response then 'upstream' else 'cluster_proxy_error' end as origin from r0),
-facts as (select *, date_trunc('minute', end_ts) as minute, date_trunc('day', end_ts) as w,
+facts as (select *, coalesce(monitor_field = 'true', false) as monitor, date_trunc('minute', end_ts) as minute, date_trunc('day', end_ts) as w,
     case when method in ('GET','POST','PUT','PATCH','DELETE','HEAD','OPTIONS','CONNECT','TRACE') then method else 'OTHER' end as method_norm,
     case block_reason when 'waf' then 'waf_blocked' when 'rate_limit' then 'rate_limited' else case challenge_outcome when 'issued' then 'challenge_issued'
       when 'passed' then 'challenge_passed' when 'passed_fallback' then 'challenge_passed' when 'failed' then 'challenge_failed'
@@ -30,7 +30,7 @@ facts as (select *, date_trunc('minute', end_ts) as minute, date_trunc('day', en
     case when try_cast(vhost_var as bigint) between 0 and 4294967295 then try_cast(vhost_var as bigint) end as vhost_id,
     {BUCKET} as lat_bucket, cast(case when status between 100 and 599 then status // 100 else 0 end as int) as status_bucket,
     case when proto_major = 2 then '2' when proto_major = 3 then '3' when proto_major = 1 and proto_minor = 1 then '1.1' else 'other' end as http_version,
-    case when cdn_ip is not null then 'cloudflare' when xff is not null then 'forwarded' else '' end as front_proxy,
+    case when coalesce(cdn_ip, cdn_ray) is not null then 'cloudflare' when coalesce(xff, real_ip) is not null then 'forwarded' else '' end as front_proxy,
     case when xff is not null then trim(string_split(xff, ',')[-1]) else remote_addr end as hash_ip,
     case when challenge_outcome = 'issued' and challenge_reason in ('document', 'other') then 'issued_' || challenge_reason
       when challenge_outcome = 'failed' and challenge_reason in ('api', 'stream') then 'not_shown_' || challenge_reason
@@ -47,8 +47,11 @@ facts as (select *, date_trunc('minute', end_ts) as minute, date_trunc('day', en
       when err_kind = 'reset' then 'connection_reset' when err_kind = 'eof' then 'upstream_eof' when err_kind = 'header_timeout' then 'response_header_timeout'
       when err_message = 'dial failed' then 'connection_refused' when err_message = 'x: failed' then 'connect_timeout' when err_message = '' then 'connect_timeout'
       when err_kind = 'write' then 'request_write_error' else 'unknown' end as failure_reason,
-    cast(strlen(method) + strlen(uri) + 12 + coalesce(15 + strlen(xff) + 4, 0) + 10 + strlen(ua) + 4 + 6 + strlen(accept) + 4 + 2 + greatest(content_length, 0) as bigint) as bytes_in,
+    cast(strlen(method) + strlen(uri) + 12 + coalesce(19 + strlen(xff), 0) + coalesce(20 + strlen(cdn_ip), 0) + coalesce(10 + strlen(cdn_ray), 0) + coalesce(13 + strlen(real_ip), 0)
+      + 14 + strlen(ua) + 10 + strlen(accept) + coalesce(18 + strlen(fetch_mode), 0) + coalesce(18 + strlen(fetch_dest), 0) + coalesce(10 + strlen(cookie) + 13, 0) + coalesce(11 + strlen(referer), 0)
+      + coalesce(13 + strlen(monitor_field), 0) + 2 + greatest(content_length, 0) as bigint) as bytes_in,
     cast(case when not wrote or hijacked then 0 else body_bytes_out + 17 + coalesce(16 + strlen(content_type), 0) + coalesce(12 + strlen(location), 0)
+      + coalesce(20 + strlen(content_encoding), 0) + coalesce(14 + strlen(set_cookie) + 17, 0)
       + strlen(case written_status when 200 then 'OK' when 301 then 'Moved Permanently' when 404 then 'Not Found' when 500 then 'Internal Server Error' when 501 then 'Not Implemented'
         when 502 then 'Bad Gateway' when 503 then 'Service Unavailable' when 504 then 'Gateway Timeout' end) end as bigint) as bytes_out,
     {PATH_BUCKET.format(p="uri")} as path_bucket
@@ -224,9 +227,11 @@ K3 = f""", d as (select distinct w, ip from conn), h as (select ip, ({FNV.format
 select w, count(*) as sampled, count(*) * 16 as estimate, min(ip) as least_ip from d join h using (ip) where hit group by w"""
 J6 = BASE + """s as (select 'u' || (user_id % 5)::varchar as dial, end_ts as ts, duration_us::double as score from requests where method <> 'POST'),
 p as (select seq as point, end_ts as ts, k, user_id, unnest([0, 1, 2]) as pos from requests where method = 'POST'),
-c as (select point, ts, pos, 'u' || ((user_id + pos) % 6)::varchar as dial, (k + pos) % 3 as inflight from p where (k + pos) % 5 <> 0),
-j as (select c.*, coalesce(s.score * pow(0.5, (epoch_us(c.ts) - epoch_us(s.ts)) / 3600000000.0::double), 0) * (inflight + 1) as sc from c asof left join s on c.dial = s.dial and c.ts >= s.ts)
-select point, dial, pos, round(sc, 3) as score from j qualify row_number() over (partition by point order by sc, pos) = 1"""
+o as (select point from p group by point),
+c as (select point, ts, pos, 'u' || ((user_id + pos) % 6)::varchar as dial, (k + pos) % 3 as inflight from p where (k + pos) % 5 <> 0 and k % 7 <> 3),
+j as (select c.*, coalesce(s.score * pow(0.5, (epoch_us(c.ts) - epoch_us(s.ts)) / 3600000000.0::double), 0) * (inflight + 1) as sc from c asof left join s on c.dial = s.dial and c.ts >= s.ts),
+b as (select * from j qualify row_number() over (partition by point order by sc, pos) = 1)
+select o.point, dial, pos, round(sc, 3) as score from o left join b on o.point = b.point"""
 
 AUDIT = f"with a as ({WAF_AUDIT})"
 _SEVERITY = "case severity " + " ".join(f"when {i} then '{n}'" for i, n in enumerate(["EMERGENCY", "ALERT", "CRITICAL", "ERROR", "WARNING", "NOTICE", "INFO", "DEBUG"])) + " else 'UNKNOWN' end"
@@ -236,19 +241,17 @@ E4 = AUDIT + """ select tx_id, pos, rule_id, case when tx_id % 5 = 1 then true
   when tx_id % 5 = 0 and (942000 + tx_id % 40) % 40 <> 7 and (942041 + tx_id % 40) % 40 <> 7 then rule_id in (942000 + tx_id % 40, 942041 + tx_id % 40) else false end as exempt from a"""
 R1 = "select o_orderkey as id, lower(o_orderpriority) = '1-urgent' or o_orderstatus in ('P', 'F') as carried from orders"
 
-T2 = NODES + """, d as (select *, (epoch_us(ts) - epoch_us(lag(ts) over w)) / 1e6::double as dt, user_j - lag(user_j) over w as u, steal_j - lag(steal_j) over w as s, idle_j - lag(idle_j) over w as i
-  from n window w as (partition by machine_id order by t))
-select machine_id, t, case when dt > 0 and dt <= 3600 and s >= 0 and u >= 0 then coalesce(floor(s * 1000 / (u + s + i)), 0)::bigint else 0 end as steal_permille,
-  case when dt > 0 and dt <= 3600 and s >= 0 and u >= 0 then round(u / 100.0::double / dt, 6) end as busy from d"""
-T2_THROTTLED = NODES + """, d as (select *, (epoch_us(ts) - epoch_us(lag(ts) over w)) / 1e6::double as dt, user_j - lag(user_j) over w as u, steal_j - lag(steal_j) over w as s, idle_j - lag(idle_j) over w as i,
-  throttled_us - lag(throttled_us) over w as h from n window w as (partition by machine_id order by t)),
-q as (select machine_id, t, dt > 0 and dt <= 3600 as near, u, s, i, h, dt from d)
-select machine_id, t, greatest(case when near and s >= 0 and u >= 0 then coalesce(floor(s * 1000 / (u + s + i)), 0)::bigint else 0 end,
-  case when near and h >= 0 then floor(least(1.0::double, h / (dt * 1e6::double)) * 1000)::bigint else 0 end) as steal_permille from q"""
-T3 = T2.replace("with ev", "with recursive ev", 1).replace("select machine_id, t, case", ", e as (select machine_id, t, dt, case", 1).replace("then round(u / 100.0::double / dt, 6) end as busy from d", "then 1 end as busy from d)") + """,
-f as (select machine_id, t, steal_permille::double as ewma from e where t = 1 union all
-  select e.machine_id, e.t, case when e.dt > 3600 then e.steal_permille::double when e.dt > 0 then f.ewma + (1 - exp(-e.dt / 10)) * (e.steal_permille - f.ewma) else f.ewma end
-  from f join e on e.machine_id = f.machine_id and e.t = f.t + 1)
+_J = """, j as (select machine_id, t, ts, row_number() over w as n, (epoch_us(ts) - epoch_us(lag(ts) over w)) / 1e6::double as dt, x.steal - lag(x.steal) over w as s,
+    x.busy - lag(x.busy) over w as b, x.busy + x.steal + x.rest - lag(x.busy + x.steal + x.rest) over w as total, throttled_usec - lag(throttled_usec) over w as h
+  from (select machine_id, t, ts, throttled_usec, {'busy': n."user" + nice + system + irq + softirq, 'steal': steal, 'rest': idle + iowait} as x from n) window w as (partition by machine_id order by t)),
+d as (select *, dt > 0 and dt <= 3600 as near, dt > 0 and dt <= 3600 and total > 0 as ok from j),
+r as (select *, case when ok then greatest(s, 0) * 1000 // total else 0 end as steal_permille from d)"""
+T2 = NODES + _J + " select machine_id, t, steal_permille, case when ok then round(greatest(b, 0) / 100.0::double / dt, 6) end as busy from r"
+T2_THROTTLED = NODES + _J + " select machine_id, t, greatest(steal_permille, case when near and h >= 0 then floor(least(1.0::double, h / (dt * 1e6::double)) * 1000)::bigint else 0 end) as steal_permille from r"
+T3 = NODES.replace("with ev", "with recursive ev", 1) + _J + """,
+f as (select machine_id, n, t, steal_permille::double as ewma from r where n = 1 union all
+  select r.machine_id, r.n, r.t, case when r.dt > 3600 then r.steal_permille::double when r.dt > 0 then f.ewma + (1 - exp(-r.dt / 10)) * (r.steal_permille - f.ewma) else f.ewma end
+  from f join r on r.machine_id = f.machine_id and r.n = f.n + 1)
 select machine_id, t, round(ewma, 6) as ewma from f"""
 T4 = NODES + """, c as (select machine_id, t, [completions::bigint, shed_total::bigint, t::bigint] as x from n),
 d as (select machine_id, t, x, coalesce(lag(x, 10) over w, first_value(x) over w) as o from c window w as (partition by machine_id order by t)),

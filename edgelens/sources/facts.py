@@ -1,12 +1,13 @@
 """The fact views of the telemetry queries over the driver's tables.
 
 Each view is one SELECT in SQL that Spark and DuckDB read alike, over `ev`: event_id as seq, ts, user_id,
-event_type, value and k (the number in props). Real deployments read the same columns from tables or streams.
+event_type, value and k (the number in props). For Spark the header fields of requests are then put into maps, so that
+facts are derived from the columns that sources.readers declares; the queries' SQL reads them as they are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from edgelens.runtime import spread, table
 
@@ -16,7 +17,7 @@ EV_DUCKDB = "select event_id as seq, ts, user_id, event_type, value, cast(json_e
 
 REQUESTS = """
 select seq, ts as end_ts, user_id, k, cast(floor(value * 10000 + 0.5) as bigint) as duration_us,
-  case when k % 10 = 9 then null when k % 10 = 8 then 'none' else cast(user_id % 16 as string) end as vhost_var,
+  case when k % 10 = 9 then null when k % 10 = 8 then 'none' else cast(user_id % 24 * 4 as string) end as vhost_var,
   concat('H', cast(user_id % 20 as string), '.Example.COM', case k % 5 when 0 then ':8443' when 1 then '.' when 2 then ':x' else '' end) as host,
   case event_type when 'view' then 'GET' when 'purchase' then 'POST' when 'signup' then 'put' when 'click' then 'HEAD' else 'DELETE' end as method,
   case k % 8 when 0 then concat('/', cast(user_id as string)) when 1 then '/assets/App.JS' when 2 then '/.well-known/acme-challenge/t'
@@ -31,6 +32,10 @@ select seq, ts as end_ts, user_id, k, cast(floor(value * 10000 + 0.5) as bigint)
   case when k % 4 = 0 then cast(k * 10 as bigint) when k % 4 = 1 then 0 else -1 end as content_length,
   k % 11 <> 0 as wrote, case when k % 7 = 0 then 500 + k % 5 when k % 7 = 1 then 404 when k % 7 = 2 then 301 else 200 end as written_status,
   k = 42 as hijacked, cast(floor(value * 100 + 0.5) as bigint) as body_bytes_out,
+  case when k % 29 = 6 then concat('ray', cast(k as string)) else null end as cdn_ray, case when k % 17 = 2 then '192.0.2.8' else null end as real_ip,
+  case when k % 5 = 3 then concat('sid=', cast(user_id as string)) else null end as cookie, case when k % 4 = 2 then 'https://é.example/' else null end as referer,
+  case when k = 50 then 'true' when k % 9 = 4 then 'True' else null end as monitor_field,
+  case when k % 6 = 5 then 'gzip' else null end as content_encoding, case when k % 10 = 1 then concat('a=', cast(k as string)) else null end as set_cookie,
   case when k % 7 = 2 then null when k % 3 = 0 then 'application/json' else 'text/html; charset=utf-8' end as content_type,
   case when k % 7 = 2 then concat('https://shop.example.com/', cast(user_id as string)) else null end as location,
   k % 13 = 0 or k % 11 = 0 as err_is_handler, case when k % 26 = 0 then 429 when k % 13 = 0 or k % 11 = 0 then 502 else 0 end as err_status,
@@ -49,7 +54,7 @@ select seq, ts as end_ts, user_id, k, cast(floor(value * 10000 + 0.5) as bigint)
   case k % 5 when 0 then 'automatic' when 1 then 'staff' when 2 then '' when 3 then 'strange' else null end as challenge_source,
   case when k % 25 = 4 then 'passed' when k % 25 = 5 then 'failed' else '' end as verify_outcome,
   case when k % 3 = 0 then concat(md5(cast(user_id % 6 as string)), md5('x')) when k % 3 = 1 then 'short' else '' end as health_key,
-  k % 17 = 0 as exempt, k = 50 as monitor, concat('m', cast(user_id % 3 as string)) as machine_id, cast(1 as bigint) as cluster_id,
+  k % 17 = 0 as exempt, concat('m', cast(user_id % 3 as string)) as machine_id, cast(1 as bigint) as cluster_id,
   k = 99 and user_id % 5 = 0 as cancelled, k % 11 = 0 and k % 2 = 1 and user_id % 7 = 0 as retried_response, md5(cast(seq as string)) as request_uuid
 from ev
 """
@@ -66,23 +71,19 @@ from ev
 """
 
 NODE_SAMPLES = """
-select machine_id, cast(1 as bigint) as cluster_id, n as t, ts, user_j, steal_j, idle_j, throttled_us, inflight, hard_cap_hit,
-  sum(shed) over (partition by machine_id order by n) as shed_total, sum(done) over (partition by machine_id order by n) as completions, level, reasons, burst_est,
-  sum(cast(k % 2 as bigint)) over (partition by machine_id order by n) as waf_skipped_detect, sum(cast(k % 3 as bigint)) over (partition by machine_id order by n) as waf_skipped_static,
-  sum(cast(k % 5 as bigint)) over (partition by machine_id order by n) as waf_would_skip, sum(cast(case when k > 97 then 1 else 0 end as bigint)) over (partition by machine_id order by n) as shed_p0,
-  sum(cast(case when k > 90 then 1 else 0 end as bigint)) over (partition by machine_id order by n) as shed_p1, sum(shed) over (partition by machine_id order by n) as shed_p2,
-  sum(cast(k % 7 as bigint)) over (partition by machine_id order by n) as shed_p3, sum(cast(k % 6 as bigint)) over (partition by machine_id order by n) as would_shed,
-  cast(k * 37 as bigint) as sched_us, case when k % 2 = 0 then 'calibrated' else 'uncalibrated' end as burst_model,
-  case when k > 95 then cast(k as bigint) else 0 end as admission_limit, 4 + k % 3 as gomaxprocs
-from (
-  select concat('m', cast(user_id % 4 as string)) as machine_id, ts, k, row_number() over (partition by user_id % 4 order by seq) as n,
-    cast(seq * 100 + k as bigint) as user_j, cast(seq * 3 + (case when k % 3 = 0 then 2 else 0 end) as bigint) as steal_j, cast(seq * 50 as bigint) as idle_j,
-    cast(case when k % 13 = 0 then null when k % 17 = 0 then 0 else seq * 1500000 + k * 4000000 end as bigint) as throttled_us,
-    cast(k as bigint) as inflight, k % 41 = 0 as hard_cap_hit, cast(k % 4 as bigint) as shed, cast(k as bigint) as done,
-    case when k > 95 then 2 when k > 85 then 1 else 0 end as level, case when k > 95 then 3 when k > 85 then 1 else 0 end as reasons,
-    case when k % 2 = 0 then cast(k as bigint) else -1 end as burst_est
-  from ev
-) x
+select concat('m', cast(user_id % 4 as string)) as machine_id, cast(1 as bigint) as cluster_id, seq as t, ts, k,
+  cast(case when k = 77 then 0 else seq * 60 + k end as bigint) as user, cast(seq * 4 as bigint) as nice, cast(seq * 20 + k % 10 as bigint) as system,
+  cast(case when k % 50 = 7 then 0 else seq * 50 end as bigint) as idle, cast(seq * 2 as bigint) as iowait, cast(seq as bigint) as irq, cast(seq + k % 2 as bigint) as softirq,
+  cast(case when k % 31 = 5 then 0 else seq * 3 + (case when k % 3 = 0 then 2 else 0 end) end as bigint) as steal,
+  cast(case when k % 13 = 0 then null when k % 17 = 0 then 0 else seq * 1500000 + k * 4000000 end as bigint) as throttled_usec,
+  cast(k as bigint) as inflight, k % 41 = 0 as hard_cap_hit, cast(seq * 4 + k % 4 as bigint) as shed_total, cast(seq * 100 + k as bigint) as completions,
+  case when k > 95 then 2 when k > 85 then 1 else 0 end as level, case when k > 95 then 3 when k > 85 then 1 else 0 end as reasons,
+  case when k % 2 = 0 then cast(k as bigint) else -1 end as burst_est,
+  cast(seq * 2 + k % 2 as bigint) as waf_skipped_detect, cast(floor(seq / 4) as bigint) as waf_skipped_static, cast(seq * 5 + k % 5 as bigint) as waf_would_skip,
+  cast(floor(seq / 900) as bigint) as shed_p0, cast(floor(seq / 300) as bigint) as shed_p1, cast(seq * 4 + k % 4 as bigint) as shed_p2, cast(seq * 7 + k % 7 as bigint) as shed_p3,
+  cast(seq * 6 + k % 6 as bigint) as would_shed, cast(k * 37 as bigint) as sched_us, case when k % 2 = 0 then 'calibrated' else 'uncalibrated' end as burst_model,
+  case when k > 95 then cast(k as bigint) else 0 end as admission_limit, cast(4 + k % 3 as int) as gomaxprocs
+from ev
 """
 
 WAF_AUDIT = """
@@ -95,9 +96,32 @@ from lineitem
 """
 
 
+#: Header fields of the requests view by their column, in the case that some clients write them; a doubled field has two values.
+IN_FIELDS = {
+    "x-forwarded-FOR": "xff", "CF-Connecting-IP": "cdn_ip", "cf-ray": "cdn_ray", "X-Real-Ip": "real_ip", "USER-AGENT": "ua", "Accept": "accept", "Sec-Fetch-Mode": "fetch_mode",
+    "sec-fetch-dest": "fetch_dest", "Cookie": "cookie", "Referer": "referer", "X-Monitor": "monitor_field",
+}
+OUT_FIELDS = {"Content-Type": "content_type", "location": "location", "Content-Encoding": "content_encoding", "Set-Cookie": "set_cookie"}
+DOUBLED = {"cookie", "set_cookie"}
+
+
+def header_map(fields: dict[str, str]) -> Column:
+    """map<string, array<string>> of the fields that are there."""
+    entries = [F.struct(F.lit(n).alias("key"), F.array(F.col(c), *[F.lit("b=2")] * (c in DOUBLED)).alias("value"), F.col(c).isNotNull().alias("there")) for n, c in fields.items()]
+    there = F.filter(F.array(*entries), lambda e: e["there"])
+    return F.map_from_entries(F.transform(there, lambda e: F.struct(e["key"], e["value"])))
+
+
+def declared(requests: DataFrame) -> DataFrame:
+    """The requests view as its producers write it: header fields in maps, and in no other column."""
+    maps = requests.withColumns({"headers": header_map(IN_FIELDS), "resp_headers": header_map(OUT_FIELDS)})
+    return maps.drop(*IN_FIELDS.values(), *OUT_FIELDS.values())
+
+
 def views(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     """The named views as DataFrames; nothing stays registered."""
     texts = {"requests": REQUESTS, "connections": CONNECTIONS, "node_samples": NODE_SAMPLES}
     events = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"))
     ev = spark.sql(EV_SPARK.replace("from events", "from {events}"), events=events)
-    return [spark.sql(texts[n].replace("from ev", "from {ev}"), ev=ev) for n in names]
+    found = {n: spark.sql(texts[n].replace("from ev", "from {ev}"), ev=ev) for n in names}
+    return [declared(found[n]) if n == "requests" else found[n] for n in names]

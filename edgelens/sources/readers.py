@@ -16,6 +16,7 @@ SCHEMAS = {
         failure_evidence array<struct<message:string,reason:string,connections:bigint>>, connections long, block_reason_var string, upstream_addr string,
         upstream_hostport string, upstream_latency_us long, latency_before_us long, upstream_status int, country string, asn string, request_uuid string,
         challenge_outcome string, challenge_reason string, challenge_source string, verify_outcome string, health_key string, exempt boolean,
+        retried_response boolean, cancelled boolean,
         machine_id string, cluster_id long""",
     "connections": "seq long, ts timestamp, cluster_id long, remote_addr string, sni string, ja3 string, ja4 string",
     "l4_closes": "seq long, ts timestamp, cluster_id long, remote_addr string, reason string",

@@ -217,14 +217,15 @@ def test_ranked_upstreams_across_slices_of_time(spark):
     points = [(i, i * 4000 + 1, pos, rnd.choice([f"u{pos}", f"u{pos}", None]), rnd.random() < 0.8, rnd.randrange(3)) for i in range(40) for pos in range(4)]
     at = lambda df: df.withColumn("ts", F.timestamp_seconds("ts"))
     p = at(spark.createDataFrame(points, "point int, ts long, pos int, dial string, available boolean, inflight long"))
-    got = {r.point: (r.pos, r.dial, round(r.score, 6)) for r in addresses.rank_upstreams(p, at(spark.createDataFrame(scores, "dial string, ts long, score double")), 9000.0).collect()}
+    got = {r.point: (r.pos, r.dial, r.score and round(r.score, 6)) for r in addresses.rank_upstreams(p, at(spark.createDataFrame(scores, "dial string, ts long, score double")), 9000.0).collect()}
     want = {}
     for i, ts, pos, dial, up, n in points:
         last = max(((t, x) for d, t, x in scores if d == dial and x is not None and t <= ts), default=None)
         value = (last[1] * 0.5 ** ((ts - last[0]) / 9000) if last else 0.0) * (n + 1)
-        if up and (i not in want or value < want[i][2]):
+        want.setdefault(i, (None, None, None))
+        if up and dial and (want[i][2] is None or value < want[i][2]):
             want[i] = (pos, dial, value)
-    assert got == {i: (pos, dial, round(x, 6)) for i, (pos, dial, x) in want.items()}
+    assert got == {i: (pos, dial, x and round(x, 6)) for i, (pos, dial, x) in want.items()}
 
 
 def test_validation_keeps_the_rejected_rows(spark):
