@@ -2,7 +2,8 @@
 
 A text is a vector of hashed byte bigrams and trigrams of its lower-cased letters, weighted log(1 + tf) * idf
 and normalised. idf counts all labelled training rows. Each language has up to CENTROIDS centroids, from
-spherical k-means over at most SAMPLE_PER_LANGUAGE training rows, those with the smallest hash of their id.
+spherical k-means over at most SAMPLE_PER_LANGUAGE training rows, those with the smallest hash of their id; repeated rows
+are one there.
 A text takes the language of the centroid with the highest cosine, which is its score. It is rejected
 if that cosine is under REJECT times the first percentile of the sampled texts of that language.
 
@@ -10,7 +11,7 @@ The model is at most MAX_LANGUAGES * CENTROIDS vectors of DIMENSIONS floats and
 
 Defined results: null text and text without a letter is `und`, score 0, rejected; rows with a null label
 teach nothing; without training rows everything is `und`; equal cosines go to the smaller label; repeated
-rows are judged alike.
+rows are judged alike and null ids are ids; a column that is called as a new one is replaced; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from edgelens.llm.common import append_columns
+from edgelens.llm.common import append_columns, row_key
 from edgelens.runtime import importable, stage
 
 BIGRAM_BITS, TRIGRAM_BITS = 11, 12
@@ -98,13 +99,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if not n:
         return None
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = rows.select("id", "lang").withColumn("k", F.row_number().over(first)).where(F.col("k") <= SAMPLE_PER_LANGUAGE)
-    ids = stage(ids.select("id", "lang"), "language-sample")
-    if ids.select("lang").distinct().count() > MAX_LANGUAGES:
+    rows = rows.withColumn("key", row_key("id", "text"))
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "key")
+    keys = rows.select("key", "id", "lang").distinct().withColumn("k", F.row_number().over(first)).where(F.col("k") <= SAMPLE_PER_LANGUAGE)
+    keys = stage(keys.select("key", "lang"), "language-sample")
+    if keys.select("lang").distinct().count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    # at most MAX_LANGUAGES * SAMPLE_PER_LANGUAGE ids
-    sample = rows.join(F.broadcast(ids), ["id", "lang"], "left_semi")
+    # at most MAX_LANGUAGES * SAMPLE_PER_LANGUAGE keys, and one row of each however often it is repeated
+    sample = rows.join(F.broadcast(keys), ["key", "lang"], "left_semi").dropDuplicates(["key", "lang"])
 
     def counter():
         def run(texts: pa.Array):

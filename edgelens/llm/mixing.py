@@ -15,9 +15,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from edgelens.llm.common import row_key
 from edgelens.runtime import stage
 
 BROADCAST_SOURCES = 10_000
+BROADCAST_TWINS = 1 << 20  # keys of 16 bytes
 MAX_RATE = 500.0  # mean of one draw
 EXPLODED = 1024  # copies made at a time
 
@@ -28,13 +30,36 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def rates(docs: DataFrame, weights: dict[str, float], default_weight: float, target: float | None, source_col: str) -> DataFrame:
+def source_key(source_col: str) -> Column:
+    return F.coalesce(F.concat(F.lit("+"), F.col(f"`{source_col}`").cast("string")), F.lit("-"))
+
+
+def with_twins(docs: DataFrame, id_col: str, source_col: str) -> DataFrame:
+    """docs with __twin: null where a row's id and source are its own, else a hash of the row and the number that it has among its repeats."""
+    key = row_key(id_col, source_col)
+    often = stage(docs.groupBy(key.alias("__key")).agg(F.count("*").alias("n")).where("n > 1").select("__key"), "mix-twins")
+    n = often.count()
+    if not n:
+        return docs.withColumn("__twin", F.lit(None).cast("string"))
+    often = F.broadcast(often) if n <= BROADCAST_TWINS else often
+    keyed = docs.withColumn("__key", key)
+    alone = keyed.join(often, "__key", "left_anti").drop("__key").withColumn("__twin", F.lit(None).cast("string"))
+    twins = keyed.join(often, "__key", "left_semi").drop("__key")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    # equal rows are interchangeable: one of them stands for all, and is told apart by numbers again
+    one = twins.groupBy(F.md5(F.to_json(whole, {"ignoreNullFields": "false"})).alias("__row")).agg(*[F.first(f"`{c}`").alias(c) for c in docs.columns], F.count("*").alias("__n"))
+    some = one.withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1, F.lit(EXPLODED).cast("long"))))
+    each = some.withColumn("__i", F.explode(F.sequence(F.col("__from"), F.least(F.col("__from") + EXPLODED, F.col("__n")) - 1)))
+    return alone.unionByName(each.select(*[F.col(f"`{c}`") for c in docs.columns], F.concat_ws("|", "__row", "__i").alias("__twin")))
+
+
+def rates(docs: DataFrame, weights: dict[str | None, float], default_weight: float, target: float | None, source_col: str) -> DataFrame:
     """(source, rate): the mean repetitions of each source's documents."""
-    source = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
+    source = source_key(source_col)
     sizes = docs.groupBy(source.alias("__source")).agg(F.count("*").alias("__n"))
     weight = F.lit(float(default_weight))
-    for name, w in sorted(weights.items()):
-        weight = F.when(F.col("__source") == name, F.lit(float(w))).otherwise(weight)
+    for name, w in sorted(weights.items(), key=lambda x: str(x[0])):
+        weight = F.when(F.col("__source") == ("-" if name is None else f"+{name}"), F.lit(float(w))).otherwise(weight)
     sizes = stage(sizes.withColumn("__w", weight), "source-sizes")
     total = sizes.agg(F.sum("__w").alias("w"), F.sum("__n").alias("n")).first()
     wanted = float(target if target is not None else total["n"] or 0)
@@ -60,18 +85,20 @@ def poisson_steps(table: DataFrame) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame, weights: dict[str, float] | None = None, default_weight: float = 1.0, target: float | None = None,
+    docs: DataFrame, weights: dict[str | None, float] | None = None, default_weight: float = 1.0, target: float | None = None,
     seed: int = 17, id_col: str = "doc_id", source_col: str = "source", copy_col: str = "copy",
 ) -> DataFrame:
-    """docs, each repeated by its Poisson count and dealt out at random, with copy_col from 0."""
+    """docs, each repeated by its Poisson count and dealt out at random, with copy_col from 0. weights: by source, None for the null one."""
     table = stage(poisson_steps(rates(docs, weights or {}, default_weight, target, source_col)), "source-rates")
     n_sources = table.count()
     copies = "__copy"
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != copy_col.lower()]
-    keyed = docs.select(
-        *kept, F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("__source"),
-        uniform(F.lit(seed), F.col(id_col), F.col(source_col)).alias("__u"),
-    )
+    drawn_by = [F.lit(seed), F.col(f"`{id_col}`"), F.col(f"`{source_col}`")]
+
+    def own(*more: Column) -> Column:
+        return F.when(F.col("__twin").isNull(), uniform(*drawn_by, *more)).otherwise(uniform(*drawn_by, F.col("__twin"), *more))
+
+    keyed = with_twins(docs.select(*kept), id_col, source_col).select("*", source_key(source_col).alias("__source"), own().alias("__u"))
     if n_sources <= BROADCAST_SOURCES:
         joined = keyed.join(F.broadcast(table), "__source")
     else:  # a hot source is spread over salts
@@ -84,7 +111,7 @@ def mix(
 
     more = F.aggregate(  # the draws after the first
         F.sequence(F.lit(1), F.col("__draws") - 1), F.lit(0),
-        lambda n, i: n + drawn(uniform(F.lit(seed), F.col(id_col), F.col(source_col), i)),
+        lambda n, i: n + drawn(own(i)),
     )
     count = drawn(F.col("__u")) + F.when(F.col("__draws") > 1, more).otherwise(0)
     run = F.sequence(F.col("__from"), F.least(F.col("__from") + EXPLODED, F.col("__count")) - 1)
@@ -93,8 +120,8 @@ def mix(
         .withColumn("__count", count)
         .where(F.col("__count") > 0)
         .withColumn("__from", F.explode(F.sequence(F.lit(0), F.col("__count") - 1, F.lit(EXPLODED))))
-        .select(*kept, F.explode(run).alias(copies))
-        .withColumn("__deal", F.xxhash64(F.lit(seed), F.col(id_col), F.col(copies)))
+        .select(*kept, "__twin", F.explode(run).alias(copies))
+        .withColumn("__deal", F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), "__twin", F.col(copies)))
         .repartition("__deal")
         .sortWithinPartitions("__deal")
         .select(*kept, F.col(copies).alias(copy_col))

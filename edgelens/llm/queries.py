@@ -74,7 +74,7 @@ def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP9_SQL = f"""
 with recursive s as (
-  select coalesce(source, '') as src, count(*) as n,
+  select coalesce('+' || source, '-') as src, count(*) as n,
     case coalesce(source, '') when 'src1' then 2.0::double when 'src0' then 0.5::double else 1.0::double end as w
   from documents group by 1, 3
 ), r as (
@@ -85,7 +85,7 @@ with recursive s as (
   select c.src, c.k + 1, c.p * r.rate / (c.k + 1), c.cdf + c.p * r.rate / (c.k + 1)
   from c join r using (src) where c.k < ceil(r.rate + 10 * sqrt(r.rate) + 20)
 ), d as (
-  select doc_id, source, n_chars, text, coalesce(source, '') as src,
+  select doc_id, source, n_chars, text, coalesce('+' || source, '-') as src,
     ('0x' || md5('{MIX_SEED}|' || coalesce(doc_id::varchar, '') || '|' || coalesce(source, ''))[1:13])::bigint::double / 4503599627370496.0 as u
   from documents
 ), counted as (

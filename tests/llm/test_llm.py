@@ -283,10 +283,10 @@ def test_similar_documents(spark):
 
 def test_mixing_edges(spark):
     d = docs(spark, ["a"] * 300).withColumn("source", F.when(F.col("doc_id") < 200, F.lit("big")).when(F.col("doc_id") < 260, F.lit("small")))
-    out = mixing.mix(d, {"big": 1.0, "small": 1.0, "": 0.0}, target=4000)
+    out = mixing.mix(d, {"big": 1.0, "small": 1.0, None: 0.0}, target=4000)
     n = {r.source: r["count"] for r in out.groupBy("source").count().collect()}
     assert set(n) == {"big", "small"} and all(1700 < x < 2300 for x in n.values()) and "Text_2" in out.columns
-    assert sorted(map(tuple, out.select("doc_id", "copy").collect())) == sorted(map(tuple, mixing.mix(d.repartition(7), {"big": 1.0, "small": 1.0, "": 0.0}, target=4000).select("doc_id", "copy").collect()))
+    assert sorted(map(tuple, out.select("doc_id", "copy").collect())) == sorted(map(tuple, mixing.mix(d.repartition(7), {"big": 1.0, "small": 1.0, None: 0.0}, target=4000).select("doc_id", "copy").collect()))
     assert mixing.mix(d.limit(0)).count() == 0
 
 

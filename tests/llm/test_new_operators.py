@@ -9,7 +9,7 @@ import numpy as np
 from conftest import SF
 from pyspark.sql import functions as F
 
-from edgelens.llm import codes, negatives, queries, substrings
+from edgelens.llm import codes, language, mixing, negatives, queries, substrings
 
 QUERIES = queries.queries()
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -189,3 +189,43 @@ def test_balls_spare_work_and_change_nothing():
     assert (again == want).all() and (d2 == want_d).all()
     ties = codes.Book(np.array([[0, 0], [2, 0], [0, 0], [2, 0]]))
     assert ties.again(np.array([[1, 0], [0, 0], [2, 0]]), np.array([3, 2, 3]))[0].tolist() == [0, 0, 1]
+
+
+# earlier operators: rows that share their ids ---------------------------------------------------------
+
+
+def test_mixing_of_null_and_repeated_ids(spark):
+    rows = [(None, "s", "same")] * 6000 + [(7, "s", f"t{i}") for i in range(2000)] + [(i, "s", "x") for i in range(100, 2100)] + [(1, None, "n")] * 300 + [(1, "", "n")] * 300
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    out = mixing.mix(df, {"s": 10.0, None: 1.0, "": 0.0}, target=20_000)
+    got = out.groupBy("doc_id", "source").count().collect()
+    n = {(r.doc_id, r.source): r["count"] for r in got}
+    # 10 / 11 of 20,000 over 10,000 rows of s, 1 / 11 over 300 of null, none of the empty source
+    assert abs(n[(None, "s")] - 10909) < 500 and abs(n[(7, "s")] - 3636) < 300 and abs(n[(1, None)] - 1818) < 200 and (1, "") not in n
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spread = out.where("doc_id is null").groupBy(F.spark_partition_id()).count().collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(spread) > 1 and max(r["count"] for r in spread) < 0.6 * n[(None, "s")]
+    key = lambda d: sorted(map(tuple, d.select("doc_id", "source", "text", "copy").collect()), key=repr)
+    assert key(out) == key(mixing.mix(df.repartition(3), {"s": 10.0, None: 1.0, "": 0.0}, target=20_000))
+    apart = {r["copy"] for r in out.where("doc_id = 7").collect()}
+    assert {0, 1, 2} <= apart
+
+
+def test_language_sample_of_null_and_repeated_ids(spark, monkeypatch):
+    words = {"aa": "brumal corvid dulcet", "bb": "xyzzy quokka zax", "cc": "ñandú año niño"}
+    rows = [(None, lang, f"{t} {t} {i}") for lang, t in words.items() for i in range(40)] + [(1, "aa", words["aa"])] * 3000
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4)
+    seen = []
+    stacked = language.vectors
+    monkeypatch.setattr(language, "SAMPLE_PER_LANGUAGE", 20)
+    model = language.train(df)
+    assert stacked is language.vectors and model["langs"] == ["aa", "bb", "cc"] and not seen
+    out = language.predict(df.select("doc_id", "lang", "text").withColumn("Lang_pred", F.lit("x")), model)
+    assert out.where("lang_pred <> lang").count() == 0 and out.count() == len(rows)
+    keyed = df.select("*", language.row_key("doc_id", "text").alias("key"))
+    assert keyed.where("lang = 'aa'").select("key").distinct().count() == 41
+    assert language.train(df.limit(0)) is None
+    assert {r.lang_pred for r in language.predict(df, None).collect()} == {"und"}
+    long = spark.createDataFrame([(5, None, (words["bb"] + " ") * 20000), (6, "aa", ""), (7, "bb", None)], "doc_id long, lang string, text string")
+    assert [r.lang_pred for r in language.predict(long, model).orderBy("doc_id").collect()] == ["bb", "und", "und"]
