@@ -32,6 +32,15 @@ def canonical(text: str | None) -> tuple[str | None, str | None, int | None]:
     return str(ip) if not zone else f"{ip}", str(net.network_address), bits
 
 
+def plain_address(text: str | None) -> str | None:
+    """The canonical form of an address without port; IPv4 within IPv6 as IPv4."""
+    try:
+        ip = ipaddress.ip_address((text or "").strip())
+    except ValueError:
+        return None
+    return str(getattr(ip, "ipv4_mapped", None) or ip)
+
+
 def ip_dimension(rows: DataFrame, col: str = "remote_addr") -> DataFrame:
     """(col, ip, prefix, prefix_len) of the different addresses; each is parsed once."""
     importable(rows.sparkSession)

@@ -6,13 +6,13 @@ headers and proofs are parameters.
 
 from __future__ import annotations
 
-import ipaddress
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from edgelens.operators import waf
+from edgelens.operators import managed as M, waf
+from edgelens.operators.addresses import plain_address as parse_ip
 from edgelens.runtime import importable
 
 NO_ADDRESS = "::"
@@ -66,15 +66,6 @@ def exempt_requests(requests: DataFrame, snapshots: DataFrame, v2: bool, telemet
     return requests.join(one, key, "left").withColumn("defense_exempt", F.coalesce("__http", old)).drop("__http")
 
 
-def parse_ip(text: str | None) -> str | None:
-    """The canonical form of an address without port; IPv4 within IPv6 as IPv4."""
-    try:
-        ip = ipaddress.ip_address((text or "").strip())
-    except ValueError:
-        return None
-    return str(getattr(ip, "ipv4_mapped", None) or ip)
-
-
 def _each(s: pd.Series, f) -> pd.Series:
     """f of a series, once for each different value."""
     return s.map({x: f(x) for x in s.dropna().unique()})
@@ -95,7 +86,7 @@ def with_forwarded_ip(rows: DataFrame, cdn: str = "cdn_ip", xff: str = "xff", ou
 
 def field_carries(text: str | None, values: set[str], ips: set[str]) -> bool:
     """Whether a header field or an element of its list is a managed value, as it is or decoded."""
-    for t in waf.rounds(text or ""):
+    for t in M.decoded(text or ""):
         for part in (t, *t.split(",")):
             if part.strip().lower() in values or (ips and parse_ip(part) in ips):
                 return True
@@ -113,14 +104,13 @@ def redact_identity(
 ) -> DataFrame:
     """rows whose agent, forwarded address and hashed address show no managed value.
 
-    An agent is masked if it is a managed value, or holds a long one that is managed under another name than
-    the agent's own header (a rule on a common prefix must not blank every browser). A managed forwarded
-    address becomes 100::, a managed last entry of the forwarded list gives way to the connection's address."""
+    An agent is masked if it is a managed value, or holds a long one of another header: what is managed under the
+    agent's own name is often just how agents begin. A managed forwarded address becomes 100::, a managed last entry of the forwarded list gives way to the connection's address."""
     importable(rows.sparkSession)
     values = {v.strip().lower() for _, v in managed if v.strip()}
     ips = {i for _, v in managed for i in map(parse_ip, v.split(",")) if i}
-    inside = sorted({v.strip().lower() for n, v in managed if n.lower() != "user-agent" and len(v.strip().encode()) >= waf.LONG_VALUE})
-    mark = waf.choose_marker(sorted(values))
+    inside = sorted({v.strip().lower() for n, v in managed if n.lower() != "user-agent" and len(v.strip().encode()) >= M.LONG_VALUE})
+    mark = M.choose_marker(sorted(values))
 
     @F.pandas_udf("boolean")
     def carried(s: pd.Series) -> pd.Series:

@@ -1,22 +1,19 @@
-"""Firewall findings: explosion of audit transactions, exemption markers, rule catalogue, redaction."""
+"""Firewall findings: explosion of audit transactions, exemption markers, rule catalogue, requests that carry managed values."""
 
 from __future__ import annotations
 
-import html
 import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from edgelens.functions import columns as C
+from edgelens.operators.addresses import plain_address
+from edgelens.operators.managed import decoded
 from edgelens.runtime import importable
 
 #: Field names of a marker, fixed values of its format: the request's flag, the flag for all rules, the rule ids.
 MARKER_FIELDS = ("http", "coraza_all", "coraza_rule_ids")
-MARKS, URL_MARKS = ["[masked]", "[*]", ""], ["[masked]", "[*]", "-", ""]
-DECODE_ROUNDS = 3
-LONG_VALUE = 8
-SCAN_BYTES = 6 * 1024  # past a kept prefix: the longest managed value, each byte escaped
 
 
 def explode_findings(audit: DataFrame, vhost_header: str = "x-vhost-id") -> DataFrame:
@@ -84,127 +81,11 @@ def unknown_rules(ids: DataFrame, catalog: DataFrame) -> DataFrame:
     return ids.select("rule_id").distinct().join(catalog, "rule_id", "left_anti")
 
 
-def choose_marker(values: list[str], marks: list[str] = MARKS) -> str:
-    """The first marker that no managed value occurs in or contains."""
-    return next((m for m in marks if not any(v and (v in m) for v in values)), "")
-
-
-def decode_round(text: str) -> str:
-    """One lenient round over bytes: %XX, %uXXXX (its low byte, full-width letters as plain ones), +, HTML entities, NUL."""
-
-    def escape(m: re.Match) -> bytes:
-        if m[0] == b"+":
-            return b" "
-        n = int(m[1] or m[2], 16)
-        return bytes([n % 256 + (0x20 if n >> 8 == 0xFF and 0 < n % 256 < 0x5F else 0)])
-
-    raw = re.sub(rb"%[uU]([0-9a-fA-F]{4})|%([0-9a-fA-F]{2})|\+", escape, text.encode("utf-8", "surrogateescape"))
-    return html.unescape(raw.decode("utf-8", "surrogateescape")).replace("\0", "")
-
-
-def rounds(text: str) -> list[str]:
-    out = [text]
-    for _ in range(DECODE_ROUNDS):
-        text = decode_round(text)
-        if text == out[-1]:
-            break
-        out.append(text)
-    return out
-
-
-def carries(text: str, values: list[str]) -> bool:
-    folded = [t.lower() for t in rounds(text or "")]
-    return any(v in t for v in values for t in folded)
-
-
-def redact_url(path_and_query: str, carried: bool, values: list[str], mark: str) -> str:
-    """Masks path segments and parameters that hold a value; short values count as whole tokens, and
-    only on requests that carry one; a value across boundaries masks its whole part."""
-    path, sep, query = path_and_query.partition("?")
-    long = [v for v in values if len(v) >= LONG_VALUE]
-
-    def hit(token: str) -> bool:
-        return carries(token, long) or (carried and any(t.strip().lower() in values for t in rounds(token)))
-
-    parts = [mark if s and hit(s) else s for s in path.split("/")]
-    out = "/".join(parts)
-    if carries(out, long):
-        out = "/" + mark
-    if not sep:
-        return out
-    if carried:
-        return f"/{mark}?{mark}" if carries(path_and_query, [v for v in long if "?" in v]) else f"{out}?{mark}"
-    params = [mark if p and hit(p) else p for p in query.split("&")]
-    redacted = "&".join(params)
-    if carries(redacted, long):
-        redacted = mark
-    if not carries(f"{out}?{redacted}", long):
-        return f"{out}?{redacted}"
-    # a value with a question mark of its own lies across the path's last segment and the first parameter, or further
-    if not carries(path.rpartition("/")[2] + "?" + query.split("&")[0], long):
-        return f"/{mark}?{mark}"
-    out, redacted = f"{out.rpartition('/')[0]}/{mark}", "&".join([mark, *redacted.split("&")[1:]])
-    return f"/{mark}?{mark}" if carries(f"{out}?{redacted}", long) else f"{out}?{redacted}"
-
-
-def scan_window(text: str, limit: int, mark: str, target: bool = False) -> str:
-    """The part of a path (target: of a path with its query) to redact before it is cut to limit bytes.
-
-    A value of several escape rounds may start in the kept bytes and end past the window; the segment or
-    parameter that the window cuts is therefore masked if it starts within limit and holds an escape."""
-    raw = text.encode()
-    if len(raw) <= limit + SCAN_BYTES:
-        return text
-    window = raw[: limit + SCAN_BYTES].decode(errors="ignore")
-    start = window.rfind("/") + 1
-    if target and "?" in window:
-        start = max(window.index("?"), window.rfind("&")) + 1
-    if len(window[:start].encode()) < limit and re.search("[%&]", window[start:]):
-        return window[:start] + mark
-    return window
-
-
-def redact(
-    rows: DataFrame, managed: list[tuple[str, str]], uri: str = "uri", text: str = "msg", carried: str = "carried", limit: int | None = None
-) -> DataFrame:
-    """Masks uri and text. managed: (header name, value) pairs, a bounded dictionary kept in the plan.
-
-    A native test of the decoded characters lets most rows skip Python; an unknown carried state masks all.
-    With limit, uri is cut to so many bytes after its scan window was redacted."""
-    importable(rows.sparkSession)
-    values = {v.strip().lower() for _, v in managed if v.strip()}
-    values = sorted(values | {v.replace("+", " ") for v in values})
-    mark, url_mark = choose_marker(values), choose_marker(values, URL_MARKS)
-
-    @F.pandas_udf("string")
-    def url(u: pd.Series, c: pd.Series) -> pd.Series:
-        return pd.Series([redact_url(scan_window(a or "", limit, url_mark, target=True) if limit else a or "", bool(b), values, url_mark) for a, b in zip(u, c)])
-
-    @F.pandas_udf("boolean")
-    def found(t: pd.Series) -> pd.Series:
-        return pd.Series([carries(x, values) for x in t])
-
-    def suspect(c: Column) -> Column:
-        test = c.rlike(r"[%&+\x00]")
-        for v in values:
-            test = test | F.lower(c).contains(v)
-        return F.coalesce(test, F.lit(False))
-
-    known = F.col(carried).isNotNull()
-    new_uri = F.when(~known, url_mark).when(F.col(carried) | suspect(F.col(uri)), url(F.col(uri), F.col(carried))).otherwise(F.col(uri))
-    if limit:
-        new_uri = C.byte_cap(new_uri, limit)
-    new_text = F.when(~known | F.col(carried), mark).when(suspect(F.col(text)) & found(F.when(suspect(F.col(text)), F.col(text))), mark).otherwise(F.col(text))
-    return rows.withColumns({uri: new_uri, text: new_text})
-
-
 def forms(text: str | None) -> list[str]:
     """What a field may stand for: itself and its list elements, trimmed and folded, as they are or decoded, and the
     addresses among them in canonical form."""
-    from edgelens.operators.exemptions import parse_ip
-
-    parts = [p for t in rounds(text or "") for p in (t, *t.split(","))]
-    return sorted({p.strip().lower() for p in parts} | {ip for ip in map(parse_ip, parts) if ip})
+    parts = [p for t in decoded(text or "") for p in (t, *t.split(","))]
+    return sorted({p.strip().lower() for p in parts} | {ip for ip in map(plain_address, parts) if ip})
 
 
 def carries_managed(headers: DataFrame, managed: DataFrame) -> DataFrame:
@@ -212,8 +93,6 @@ def carries_managed(headers: DataFrame, managed: DataFrame) -> DataFrame:
     trimming and folding, as it is or after up to three rounds of decoding; an address counts in any form.
     headers: (id, name, value); managed: (name, value). Fields of other names are never read; different fields
     are read once, and only those that may hold escapes or addresses leave the JVM."""
-    from edgelens.operators.exemptions import parse_ip
-
     importable(headers.sparkSession)
 
     @F.pandas_udf("array<string>")
@@ -222,7 +101,7 @@ def carries_managed(headers: DataFrame, managed: DataFrame) -> DataFrame:
 
     @F.pandas_udf("array<string>")
     def addresses(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: [ip for ip in map(parse_ip, v.split(",")) if ip])
+        return s.map(lambda v: [ip for ip in map(plain_address, v.split(",")) if ip])
 
     own = managed.select(F.lower("name").alias("name"), "value").where("trim(value) <> ''")
     fields = headers.select(F.lower("name").alias("name"), "value").distinct().join(own.select("name").distinct(), "name", "left_semi")

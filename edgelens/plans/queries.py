@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from edgelens.functions import columns as C, screening
-from edgelens.operators import addresses, caps, normalize, rollups, series, waf
+from edgelens.operators import addresses, caps, managed, normalize, rollups, series, waf
 from edgelens.plans import sql as S
 from edgelens.runtime import shared_dir, table
 from edgelens.sources import batches
@@ -444,22 +444,33 @@ def j3_unknown_rules(spark, sf_dir):
 MANAGED = [("X-Origin-Key", "part 1234 of"), ("X-Origin-Key", "Line R of supplier"), ("X-Tag", "abc")]
 
 
-@query()
+@query(S.R2)
 def r2_redact_findings(spark, sf_dir):
-    """Findings with managed values masked in target and text; held against random targets in the tests."""
+    """Findings with managed values masked in target and texts; of some transactions it is unknown whether they carried one."""
     found = findings(audit(spark, sf_dir)).withColumns({
         "uri": F.concat(F.lit("/a/"), F.replace("match_data", F.lit(" "), F.lit("%20")), F.lit("?q="), F.col("tx_id").cast("string")),
         "carried": F.when(F.col("tx_id") % 11 == 0, F.lit(None).cast("boolean")).otherwise(F.col("tx_id") % 7 == 0),
     })
-    return waf.redact(found, MANAGED).select("tx_id", "pos", "uri", "msg")
+    values = spark.createDataFrame(MANAGED, "name string, value string")
+    return managed.redact(found, values).select("tx_id", "pos", "uri", "msg", "match_data")
+
+
+@query(S.J4)
+def j4_managed_values(spark, sf_dir):
+    """Which of the parts' names, a dictionary that grows with the table, the targets of orders' lines hold, escaped in several ways."""
+    words = table(spark, sf_dir, "part").select(F.lit("X-Part").alias("name"), F.concat("p_name", F.lit(" "), F.lower("p_brand")).alias("value"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand")
+    text = F.concat(F.lit("GET /item/"), F.replace(F.upper("p_name"), F.lit(" "), F.when(F.col("l_partkey") % 3 == 0, "%20").otherwise("+")), F.lit("%2520"), "p_brand", F.lit("#x"))
+    return managed.match_values(lines.join(part, "l_partkey").select("l_orderkey", "l_linenumber", text.alias("text")), words, "text").select("l_orderkey", "l_linenumber", F.array_join("managed", "|").alias("managed"))
 
 
 @query(S.R1)
 def r1_carries_managed(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     headers = o.select(F.col("o_orderkey").alias("id"), F.lit("X-Prio").alias("name"), F.concat_ws(" , ", F.when(F.col("o_orderkey") % 3 == 0, F.replace("o_orderpriority", F.lit("-"), F.lit("%252D"))).otherwise(F.col("o_orderpriority")), F.col("o_orderstatus")).alias("value"))
-    managed = spark.createDataFrame([("x-prio", "1-urgent"), ("X-Prio", " P "), ("x-other", "f")], "name string, value string")
-    return waf.carries_managed(headers, managed)
+    values = spark.createDataFrame([("x-prio", "1-urgent"), ("X-Prio", " P "), ("x-other", "f")], "name string, value string")
+    return waf.carries_managed(headers, values)
 
 
 # Series ---------------------------------------------------------------------------------------

@@ -239,6 +239,15 @@ E1 = AUDIT + f" select tx_id, pos, rule_id, {_SEVERITY} as severity_label, left(
 E3 = AUDIT + " select distinct tx_id, case when vhost_case < 3 then vhost_case else 0 end::bigint as vhost_id from a"
 E4 = AUDIT + """ select tx_id, pos, rule_id, case when tx_id % 5 = 1 then true
   when tx_id % 5 = 0 and (942000 + tx_id % 40) % 40 <> 7 and (942041 + tx_id % 40) % 40 <> 7 then rule_id in (942000 + tx_id % 40, 942041 + tx_id % 40) else false end as exempt from a"""
+_HIT = "(contains(lower({0}), 'part 1234 of') or contains(lower({0}), 'line r of supplier'))"
+_SHOWN = "case when carried is null or carried or " + _HIT + " then '[masked]' else {0} end"
+R2 = AUDIT + f""", c as (select *, case when tx_id % 11 <> 0 then tx_id % 7 = 0 end as carried from a)
+select tx_id, pos, {_SHOWN.format("msg")} as msg, {_SHOWN.format("data")} as match_data,
+  case when carried is null then '/[masked]' else '/a/' || case when {_HIT.format("data")} then '[masked]' else replace(data, ' ', '%20') end || '?' || case when carried then '[masked]' else 'q=' || tx_id end end as uri
+from c"""
+J4 = """with t as (select distinct p_name || ' ' || lower(p_brand) as value from part),
+m as (select t.value, string_agg(v.value, '|' order by v.value) as managed from t join t v on contains(t.value || '#x', v.value) group by t.value)
+select l_orderkey, l_linenumber, managed from lineitem join part on l_partkey = p_partkey join m on m.value = p_name || ' ' || lower(p_brand)"""
 R1 = "select o_orderkey as id, lower(o_orderpriority) = '1-urgent' or o_orderstatus in ('P', 'F') as carried from orders"
 
 _J = """, j as (select machine_id, t, ts, row_number() over w as n, (epoch_us(ts) - epoch_us(lag(ts) over w)) / 1e6::double as dt, x.steal - lag(x.steal) over w as s,
