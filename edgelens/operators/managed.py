@@ -114,13 +114,16 @@ class Matcher:
 
     def __init__(self, values: list[str]) -> None:
         self.long, self.short, self.ips = ahocorasick.Automaton(), ahocorasick.Automaton(), set()
+        own: dict[str, list[str]] = {}
         for v in sorted(set(values)):
             word = v.strip().encode()
             if not word:
                 continue
             self.ips |= {ip for ip in map(plain_address, v.split(",")) if ip}
             for form in {folded(word), folded(word.replace(b"+", b" "))}:
-                (self.long if len(word) >= LONG_VALUE else self.short).add_word(form, (len(form), v))
+                own.setdefault(form, []).append(v)
+        for form, held in own.items():  # several values may have one form
+            (self.long if len(form) >= LONG_VALUE else self.short).add_word(form, (len(form), held))
         for a in (self.long, self.short):
             if len(a):
                 a.make_automaton()
@@ -130,11 +133,12 @@ class Matcher:
         for t in rounds(raw):
             text = folded(t.raw)
             for which in (self.long, self.short) if tokens else (self.long,):
-                for last, (n, value) in which.iter(text) if len(which) else ():
+                for last, (n, held) in which.iter(text) if len(which) else ():
                     a, z = last + 1 - n, last + 1
                     if which is self.short and not self.whole(text, a, z):
                         continue
-                    yield t.start[a], t.end[z - 1], value
+                    for value in held:
+                        yield t.start[a], t.end[z - 1], value
             if tokens and self.ips:
                 for pattern in (_ADDRESS, _DIGITS):
                     for m in pattern.finditer(t.raw):
@@ -149,15 +153,11 @@ class Matcher:
         return not (a > 0 and word(a - 1) and word(a)) and not (z < len(text) and word(z) and word(z - 1))
 
 
-_BUILT: dict[int, Matcher] = {}
-
-
 def matcher(values: Broadcast) -> Matcher:
-    """The worker's own, built once for each broadcast."""
-    key = values.id if hasattr(values, "id") else id(values)
-    if key not in _BUILT:
-        _BUILT[key] = Matcher(values.value)
-    return _BUILT[key]
+    """The worker's own; a broadcast's object lives as long as the worker knows the broadcast, and keeps it."""
+    if not hasattr(values, "matcher"):
+        values.matcher = Matcher(values.value)
+    return values.matcher
 
 
 def dictionary(managed: DataFrame) -> Broadcast:
