@@ -38,8 +38,8 @@ from edgelens.llm.common import append_columns, hot_limit, row_key
 from edgelens.runtime import importable, stage
 
 SEED = 42
-SAMPLE = 1 << 16  # fingerprints on the driver at most, 512 KiB
-LEAF_ROWS = 4096  # expected members of an upper leaf, while the sample allows
+SAMPLE = 1 << 20  # fingerprints on the driver at most, 8 MiB
+LEAF_ROWS = 4096  # expected members of an upper leaf, while the sample allows: up to 2**27 fingerprints; beyond, one in 2**15 of all, 8 bytes each
 LEAST_SAMPLE = 32  # sampled members under which a node is not split
 SCAN_ROWS = 256  # members that a node in memory compares with one another
 PART = 1 << 15  # shingles hashed at a time
