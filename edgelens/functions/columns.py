@@ -207,18 +207,17 @@ def staged_reason(evidence: Column, message: Column, connections: Column) -> Col
 
 def fnv64(text: Column) -> Column:
     """FNV-1a of the UTF-8 bytes, as decimal(20,0); in two 32-bit limbs, since bigint overflow raises."""
-    hexed = F.hex(F.encode(text, "UTF-8"))
-    codes = F.transform(F.sequence(F.lit(0), F.octet_length(text) - 1), lambda i: F.conv(F.substring(hexed, i * 2 + 1, F.lit(2)), 16, 10).cast("long"))
-    codes = F.when(text == "", F.array().cast("array<bigint>")).otherwise(codes)
+    each = F.split(F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"), "")  # a character for each byte, and one empty for no bytes
 
-    def step(s: Column, b: Column) -> Column:
-        x = s["lo"].bitwiseXOR(b)
+    def step(s: Column, c: Column) -> Column:
+        x = s["lo"].bitwiseXOR(F.ascii(c).cast("long"))
         low = x * FNV_PRIME_LOW
         high = s["hi"] * FNV_PRIME_LOW + x * 256 + F.shiftrightunsigned(low, 32)
-        return F.struct(high.bitwiseAND(U32).alias("hi"), low.bitwiseAND(U32).alias("lo"))
+        new = F.struct(high.bitwiseAND(U32).alias("hi"), low.bitwiseAND(U32).alias("lo"))
+        return F.when(c == "", s).otherwise(new)
 
     start = F.struct(F.lit(FNV_HIGH).cast("long").alias("hi"), F.lit(FNV_LOW).cast("long").alias("lo"))
-    h = F.aggregate(codes, start, step)
+    h = F.aggregate(each, start, step)
     return (h["hi"].cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + h["lo"].cast("decimal(20,0)")).cast("decimal(20,0)")
 
 

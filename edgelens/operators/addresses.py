@@ -41,15 +41,36 @@ def plain_address(text: str | None) -> str | None:
     return str(getattr(ip, "ipv4_mapped", None) or ip)
 
 
-def ip_dimension(rows: DataFrame, col: str = "remote_addr") -> DataFrame:
-    """(col, ip, prefix, prefix_len) of the different addresses; each is parsed once."""
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+#: An IPv4 address, plain or in IPv6's ::ffff: form, with or without a port; groups: the address and its first three numbers with their dot.
+_V4_FORMS = [r"^((OOO)O)(?::[^:]*)?\z", r"^(?i:::ffff:)((OOO)O)\z", r"^\[(?i:::ffff:)?((OOO)O)\]:(?!.*\]:)(?s:.*)\z"]
+V4_FORMS = [f.replace("(OOO)O", rf"((?:{_OCTET}\.){{3}}){_OCTET}") for f in _V4_FORMS]
+
+
+def ipv4(text: Column) -> Column:
+    """struct<ip, prefix, prefix_len> of an IPv4 address in one of V4_FORMS, as canonical() has it; else null. In Catalyst."""
+    out = None
+    for form in V4_FORMS:
+        value = F.struct(F.regexp_extract(text, form, 1).alias("ip"), F.concat(F.regexp_extract(text, form, 2), F.lit("0")).alias("prefix"), F.lit(24).alias("prefix_len"))
+        out = F.when(text.rlike(form), value) if out is None else out.when(text.rlike(form), value)
+    return out
+
+
+def ip_dimension(rows: DataFrame, col: str = "remote_addr", v6: bool = True) -> DataFrame:
+    """(col, ip, prefix, prefix_len) of the different addresses; each is parsed once, IPv4 in Catalyst and only other
+    forms in Python. Without v6, other forms are no addresses, and nothing leaves the JVM."""
     importable(rows.sparkSession)
+    different = rows.select(col).distinct().withColumn("a", ipv4(F.col(col)))
+    if not v6:
+        return different.select(col, "a.ip", "a.prefix", "a.prefix_len")
 
     @F.pandas_udf("ip string, prefix string, prefix_len int")
     def parse(s: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([canonical(x) for x in s], columns=["ip", "prefix", "prefix_len"]).astype({"prefix_len": "Int32"})
 
-    return rows.select(col).distinct().withColumn("a", parse(col)).select(col, "a.ip", "a.prefix", "a.prefix_len")
+    four = different.where("a is not null").select(col, "a.ip", "a.prefix", "a.prefix_len")
+    other = different.where("a is null").select(col).withColumn("a", parse(col)).select(col, "a.ip", "a.prefix", "a.prefix_len")
+    return four.unionByName(other)
 
 
 def without_zone(ip: Column) -> Column:
@@ -102,6 +123,26 @@ def top_by_count(counts: DataFrame, group: list[str], key: list[str], k: int) ->
     return counts.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+#: Addresses that a heavy-hitter sketch tracks: counts are over by at most about 1 / (0.75 * TRACKED) of a window's rows, never under.
+TRACKED = 8192
+
+
+def ip_sketches(connections: DataFrame, group: list[str], ip: str = "ip", tracked: int = TRACKED) -> DataFrame:
+    """(group, sketch): partial rows of heavy hitters, of a size that does not grow with the addresses."""
+    return connections.groupBy(*group).agg(F.expr(f"approx_top_k_accumulate(`{ip}`, {tracked})").alias("sketch"))
+
+
+def top_by_sketch(group: list[str], k: int, *parts: DataFrame, tracked: int = TRACKED) -> DataFrame:
+    """(group, ip, cnt) of the k heaviest by partial rows of any number of batches; of an address that they track cnt is its
+    count or more."""
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p)
+    merged = whole.groupBy(*group).agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
+    items = merged.select(*group, F.explode(F.expr(f"approx_top_k_estimate(sketch, {k})")).alias("t"))
+    return items.select(*group, F.col("t.item").alias("ip"), F.col("t.count").alias("cnt"))
+
+
 def fair_vhosts(facts: DataFrame, tracked: int, window: str = "w") -> DataFrame:
     """(window, vhost_id) of the vhosts admitted first, a share of tracked for each of 16 shards."""
     seen = facts.groupBy(window, "vhost_id").agg(F.min("seq").alias("first")).withColumn("shard", F.col("vhost_id") % 16)

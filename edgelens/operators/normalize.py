@@ -21,6 +21,7 @@ def with_fields(requests: DataFrame, monitor: str = MONITOR_HEADER) -> DataFrame
     absent = {n: F.coalesce(n, F.lit(v)) if n in requests.columns else F.lit(v) for n, v in ABSENT.items()}
     rows = requests.withColumns({**absent, "__in": H.folded(F.col("headers")), "__out": H.folded(F.col("resp_headers"))})
     fields = {n: H.first_of(F.col("__in"), name) for n, name in H.FIELDS.items()}
+    fields["ua"] = F.coalesce(fields["ua"], F.lit(""))
     lines = {"lines_in": H.wire_size(F.col("__in")), "lines_out": H.wire_size(F.col("__out"))}
     marked = F.coalesce(H.first_of(F.col("__in"), monitor) == "true", F.lit(False))
     return rows.withColumns({**fields, **lines, "monitor": marked}).drop("__in", "__out")

@@ -189,6 +189,18 @@ def a20_merge_sets_and_maxima(spark, sf_dir):
     return merged.select(*key, F.size("clients").cast("long").alias("clients"), "longest_us")
 
 
+@query(S.FACTS + S.A20_SKETCHES)
+def a20_merge_sketches(spark, sf_dir):
+    """Clients by window and vhost from two batches' sketches, merged: within five standard errors of the exact number."""
+    rows = normalize.attributed(facts(spark, sf_dir)).withColumn("minute", F.col("w"))
+    key = ["minute", "vhost_id"]
+    batches_ = [rollups.client_sketches(rows.where(f"seq % 3 {test}"), SALT) for test in ("= 0", "> 0")]
+    merged = rollups.merge_rollups(key, [], *batches_, sketches=["clients"]).withColumn("estimate", F.hll_sketch_estimate("clients"))
+    exact = rows.groupBy(*key).agg(F.count_distinct("hash_ip", "ua").alias("clients"))
+    near = F.abs(F.col("estimate") - exact["clients"]) <= F.greatest(5 * 1.04 / 64 * exact["clients"], F.lit(1))
+    return merged.drop("clients").join(exact, key).select(*key, "clients", near.alias("near"))
+
+
 # Caps and sampling ----------------------------------------------------------------------------
 
 C1_KEY = ["vhost_id", "origin", "method_norm"]
@@ -285,7 +297,8 @@ def c10_pressure_floor(spark, sf_dir):
 @query(S.FACTS + S.A19)
 def a19_track_health(spark, sf_dir):
     rows = normalize.attributed(facts(spark, sf_dir))
-    return rollups.track_health({"counter": caps.cap_keys(rows, C1_KEY, 20), "http_version": caps.cap_keys(rows, ["http_version", "status_bucket"], 5)})
+    tracks = {"counter": (C1_KEY, 20, {}), "http_version": (["http_version", "status_bucket"], 5, {}), "domain_health": (["vhost_id", "health_key"], 8, rollups.health_rules())}
+    return rollups.track_health(rows, tracks)
 
 
 @query(S.FACTS + S.F6_HEALTH)
@@ -336,6 +349,14 @@ def k1_top_ips(spark, sf_dir):
     return addresses.top_by_count(counts, ["w"], ["ip"], 10)
 
 
+@query(S.CONN + S.K1_SKETCH)
+def k1_top_ips_sketch(spark, sf_dir):
+    """The weight of each window's ten heaviest addresses, from the sketches of three batches."""
+    rows = connections(spark, sf_dir)
+    parts = [addresses.ip_sketches(rows.where(F.col("seq") % 3 == i), ["w"]) for i in range(3)]
+    return addresses.top_by_sketch(["w"], 10, *parts).groupBy("w").agg(F.sum("cnt").alias("weight"), F.max("cnt").alias("heaviest"), F.count("*").alias("n"))
+
+
 @query(S.FACTS + S.K2)
 def k2_top_paths(spark, sf_dir):
     return addresses.fair_top_paths(normalize.attributed(facts(spark, sf_dir)), 3, 14)

@@ -198,11 +198,13 @@ x as (select *, row_number() over (partition by machine_id, w order by seq) as n
 C10 = _POS + """, s as (select *, greatest(case when pos >= 20 then pos // 20 + 1 else 1 end,
   case when k / 100.0 <= 0.7 then 1 else cast(1 + round(15 * least(1.0, (k / 100.0::double - 0.7) / 0.3)) as bigint) end) as sample_rate from p)
 select seq, cast(sample_rate as bigint) as sample_rate from s where pos % sample_rate = 0"""
-A19 = f""", o as {_OWN}, c1 as (select w, vhost_id, origin, method_norm, count(*) as cnt, min(seq) as f from o group by all),
-r1_ as (select *, row_number() over (partition by w order by f) as a from c1), c2 as (select w, http_version, status_bucket, count(*) as cnt, min(seq) as f from o group by all),
-r2_ as (select *, row_number() over (partition by w order by f) as a from c2)
-select 'counter' as track, count(*) filter (a <= 20) as keys_kept, coalesce(sum(cnt) filter (a <= 20), 0)::bigint as counted, coalesce(sum(cnt) filter (a > 20), 0)::bigint as overflow, count(*) filter (a > 20) as keys_dropped from r1_
-union all select 'http_version', count(*) filter (a <= 5), coalesce(sum(cnt) filter (a <= 5), 0)::bigint, coalesce(sum(cnt) filter (a > 5), 0)::bigint, count(*) filter (a > 5) from r2_"""
+_TRACK = """select '{name}' as track, coalesce(sum(cnt), 0)::bigint + (select count(*) from o where not {rule}) as rows_in, (select count(*) from o where not {rule}) as rejects, count(*) filter (a <= {n}) as keys_kept,
+  coalesce(sum(cnt) filter (a <= {n}), 0)::bigint as counted, coalesce(sum(cnt) filter (a > {n}), 0)::bigint as overflow, count(*) filter (a > {n}) as keys_dropped
+from (select *, row_number() over (partition by w order by f) as a from (select w, {keys}, count(*) as cnt, min(seq) as f from o where {rule} group by all))"""
+A19 = f", o as {_OWN} " + " union all ".join(_TRACK.format(name=name, keys=keys, n=n, rule=rule) for name, keys, n, rule in (
+    ("counter", "vhost_id, origin, method_norm", 20, "true"), ("http_version", "http_version, status_bucket", 5, "true"),
+    ("domain_health", "vhost_id, health_key", 8, "(regexp_full_match(health_key, '[0-9a-f]{64}') and vhost_id <> 0)")))
+A20_SKETCHES = " select w as minute, vhost_id, count(distinct hash_ip || chr(31) || ua) as clients, true as near from facts where not monitor and vhost_id is not null group by all"
 
 J1 = """, d as (select 'h' || s_suppkey::varchar || '.example.com' as host, s_suppkey + 100 as v from supplier),
 x as (select seq, vhost_id, case when regexp_full_match(hn, '[a-z0-9._-]{1,253}') then hn end as hn
@@ -211,6 +213,8 @@ select seq, coalesce(d.v, x.vhost_id)::bigint as vhost_id, coalesce(d.v <> x.vho
 
 K1 = """, c as (select w, ip, count(*) as cnt from conn group by all)
 select w, ip, cnt, row_number() over (partition by w order by cnt desc, ip)::int as rank from c qualify rank <= 10"""
+K1_SKETCH = """, c as (select w, ip, count(*) as cnt from conn group by all), t as (select * from c qualify row_number() over (partition by w order by cnt desc, ip) <= 10)
+select w, cast(sum(cnt) as bigint) as weight, max(cnt) as heaviest, count(*) as n from t group by w"""
 K2 = """, o as (select * from facts where not monitor and vhost_id is not null), v as (select w, vhost_id, min(seq) as f from o group by all),
 a as (select w, vhost_id from v qualify row_number() over (partition by w, vhost_id % 16 order by f) <= 1),
 c as (select w, vhost_id, path_bucket, status_bucket, count(*) as cnt from o join a using (w, vhost_id) group by all)
