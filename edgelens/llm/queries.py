@@ -27,7 +27,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and conversation -1, formatted and read back from the formatted string."""
     probe = "</s>[INST] ok [/INST]"
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(
-        spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+        spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
     )
     out = chat.format_chats(chat.linear_messages(turns))
     out = out.withColumn("turns", chat.parse_turns(F.col("formatted")))

@@ -24,26 +24,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from edgelens.llm.common import integer_vectors
 from edgelens.runtime import importable, stage
 
 QUERY_ROWS, CANDIDATE_ROWS = 512, 8192
+BLOCK_BYTES = 4 << 20
 DIGIT_BITS = 8
+LARGEST = float(1 << 60)  # squared lengths, and so scores, stay below
 EXACT_FLOAT = 1 << 53
 
 
 def quantised(vectors: DataFrame, scale: int, id_col: str, vec_col: str) -> DataFrame:
     """(id, v array<long>) of the usable vectors, one row per id."""
-    x = F.transform(F.col(vec_col), lambda c: c.cast("double"))
-    fine = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), x.alias("x")).where(
-        F.col("id").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0) & fine
-    )
-    ints = F.transform("x", lambda c: F.floor(c * float(scale)))
-    return rows.select("id", ints.alias("v")).groupBy("id").agg(F.min("v").alias("v"))
+    rows = integer_vectors(vectors, vec_col, scale, LARGEST).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col("__v").alias("v")).where("id is not null")
+    return rows.groupBy("id").agg(F.min("v").alias("v"))
 
 
 def packed(rows: DataFrame, size: int, more: list[str]) -> DataFrame:
-    """Blocks (dim, n, ids, v, more...) of up to size rows that have vectors of one length."""
+    """Blocks (dim, n, ids, v, more...) of up to size rows, and BLOCK_BYTES of vectors, that have vectors of one length."""
     names = ["dim", "n", "ids", "v", *more]
 
     def flush(part: dict) -> pa.RecordBatch:
@@ -63,7 +61,7 @@ def packed(rows: DataFrame, size: int, more: list[str]) -> DataFrame:
                 p["v"].append(v)
                 for m, values in zip(more, extra):
                     p[m].append(values[i])
-                if len(p["ids"]) >= size:
+                if len(p["ids"]) >= min(size, max(1, BLOCK_BYTES // (8 * len(v)))):
                     yield flush(parts.pop(len(v)))
         for p in parts.values():
             yield flush(p)
@@ -95,8 +93,6 @@ def top_k(
     candidates = blocks.select(F.pmod(F.xxhash64("ids"), F.lit(strata)).alias("stratum"), "dim", F.col("n").alias("cn"), F.col("ids").alias("cids"), F.col("v").alias("cv"))
     # no score is larger in size than the largest squared norm
     bits = max(1, int(facts["norm"] or 0).bit_length() + 2)
-    if bits > 62:
-        raise ValueError("the scaled vectors are too long for 64-bit scores")
     levels = -(-bits // DIGIT_BITS)
     queries = rows.where(is_query)
     # the lower end of the digit that holds the k-th highest score

@@ -9,7 +9,7 @@ import numpy as np
 from conftest import SF
 from pyspark.sql import functions as F
 
-from edgelens.llm import codes, language, mixing, negatives, queries, substrings
+from edgelens.llm import codes, language, mixing, negatives, queries, substrings, topk
 
 QUERIES = queries.queries()
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -229,3 +229,21 @@ def test_language_sample_of_null_and_repeated_ids(spark, monkeypatch):
     assert {r.lang_pred for r in language.predict(df, None).collect()} == {"und"}
     long = spark.createDataFrame([(5, None, (words["bb"] + " ") * 20000), (6, "aa", ""), (7, "bb", None)], "doc_id long, lang string, text string")
     assert [r.lang_pred for r in language.predict(long, model).orderBy("doc_id").collect()] == ["bb", "und", "und"]
+
+
+def test_top_k_of_repeated_ids_lengths_and_huge_components(spark, monkeypatch):
+    rnd = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rnd.integers(-9, 9, size=6)]) for i in range(200)] + [(3, [-20.0] * 6), (300, [1.0, 2.0]), (320, [3.0, 1.0]), (340, [1e30] * 6), (360, [3e8] * 6), (380, [1.0] * 5 + [float("nan")])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    own = {}
+    for i, v in rows:
+        if i not in (340, 360, 380):
+            q = tuple(math.floor(64 * x) for x in v)
+            own[i] = min(q, own.get(i, q))
+    want = set()
+    for a in (i for i in own if i % 20 == 0):
+        score = {i: sum(x * y for x, y in zip(own[a], v)) for i, v in own.items() if i != a and len(v) == len(own[a])}
+        want |= {(a, r, i, score[i]) for r, i in enumerate(sorted(score, key=lambda i: (-score[i], i))[:7], 1)}
+    for size in (1 << 22, 480):  # 480 bytes: blocks of ten vectors
+        monkeypatch.setattr(topk, "BLOCK_BYTES", size)
+        assert {tuple(r) for r in topk.top_k(df, F.col("id") % 20 == 0, k=7).collect()} == want
