@@ -48,7 +48,7 @@ def header_vhost(headers: Column, name: str) -> Column:
 
 def parse_evidence(marker: Column, fields: tuple[str, str, str] = MARKER_FIELDS) -> Column:
     """struct<http, all, ids> of a canonical marker with strictly ascending ids; null otherwise."""
-    form = "^{}=([01]);{}=([01]);{}=((?:[1-9][0-9]*(?:,[1-9][0-9]*)*)?)$".format(*map(re.escape, fields))
+    form = "^{}=([01]);{}=([01]);{}=((?:[1-9][0-9]*(?:,[1-9][0-9]*)*)?)\\z".format(*map(re.escape, fields))
     ids = F.transform(F.filter(F.split(F.regexp_extract(marker, form, 3), ","), lambda x: x != ""), lambda x: x.try_cast("long"))
     ascending = F.forall(F.zip_with(F.slice(ids, 1, F.greatest(F.size(ids) - 1, F.lit(0))), F.slice(ids, 2, F.greatest(F.size(ids) - 1, F.lit(0))), lambda a, b: a < b), lambda x: x)
     value = F.struct((F.regexp_extract(marker, form, 1) == "1").alias("http"), (F.regexp_extract(marker, form, 2) == "1").alias("all"), ids.alias("ids"))

@@ -20,6 +20,7 @@ select seq, method, case when k % 8 = 1 and k % 3 = 0 then concat(uri, '?v=1.2')
 from (select *, split_part(ua, '/', 1) as event_type from requests) r
 """
 
+# Fixed values of the data model, written out again for the SQL.
 _EXT = "(css|js|mjs|map|png|jpg|jpeg|gif|webp|avif|svg|ico|bmp|woff|woff2|ttf|otf|eot|mp4|webm|mp3|ogg|wav|m4a|wasm)"
 _WORDS = "(?i)(^|[^A-Za-z_])(select|union|insert|update|delete|drop|truncate|alter|sleep|pg_sleep|benchmark|waitfor|exec|execute|declare|having|information_schema|load_file|outfile|dumpfile|xp_cmdshell)($|[^A-Za-z_])"
 P32 = S.BASE + f"""s as ({SCREENED}), p as (select *, split_part(target, '?', 1) as path, case when contains(target, '?') then target[instr(target, '?') + 1:] else '' end as query,

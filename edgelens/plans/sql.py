@@ -11,6 +11,7 @@ PATH_BUCKET = """'/' || array_to_string(list_transform([s for s in string_split(
     or (strlen(s) >= 8 and regexp_matches(s, '[A-Za-z]') and length(regexp_replace(s, '[^0-9]', '', 'g')) >= 3)
     or regexp_matches(s, '[0-9][.-]|[.-][0-9]') then '*' else s end), '/')"""
 
+# Bounds, methods, sources, reasons and extensions below are fixed values of the data model, written out again for the SQL.
 BUCKET = "case " + " ".join(f"when duration_us < {b} then {i}" for i, b in enumerate([1000, 2000, 5000, 10000, 25000, 50000, 100000, 250000, 500000, 1000000, 2500000, 5000000, 10000000, 30000000, 60000000])) + " else 15 end"
 
 FACTS = BASE + f"""
@@ -238,6 +239,7 @@ b as (select * from j qualify row_number() over (partition by point order by sc,
 select o.point, dial, pos, round(sc, 3) as score from o left join b on o.point = b.point"""
 
 AUDIT = f"with a as ({WAF_AUDIT})"
+# Fixed values of the data model.
 _SEVERITY = "case severity " + " ".join(f"when {i} then '{n}'" for i, n in enumerate(["EMERGENCY", "ALERT", "CRITICAL", "ERROR", "WARNING", "NOTICE", "INFO", "DEBUG"])) + " else 'UNKNOWN' end"
 E1 = AUDIT + f" select tx_id, pos, rule_id, {_SEVERITY} as severity_label, left(msg, 256) as msg, left(data, 512) as match_data from a"
 E3 = AUDIT + " select distinct tx_id, case when vhost_case < 3 then vhost_case else 0 end::bigint as vhost_id from a"

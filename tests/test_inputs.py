@@ -1,6 +1,7 @@
 """What the readers return goes through the operators, from tables and from streams, with the same result."""
 
 import json
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -99,3 +100,33 @@ def test_node_samples_from_files(spark, tmp_path):
     assert got == [(0, None), (0, 1.0), (200, 0.0), (0, None), (0, None), (500, 0.5)]
     held = series.cpu_rates(samples, throttled=True, width=series.WIDTH * 1000).orderBy("t").collect()
     assert [r.steal_permille for r in held] == [0, 0, 200, 0, 0, 900]
+
+
+def plain_marker(text):
+    """Read by splitting, apart from the operator's pattern."""
+    fields = (text or "").split(";")
+    if len(fields) != 3 or [f.partition("=")[0] for f in fields] != list(waf.MARKER_FIELDS) or any("=" not in f for f in fields):
+        return None
+    http, all_, ids = (f.partition("=")[2] for f in fields)
+    if http not in ("0", "1") or all_ not in ("0", "1"):
+        return None
+    ids = ids.split(",") if ids else []
+    if any(not (i.isascii() and i.isdigit()) or i[0] == "0" for i in ids) or any(int(a) >= int(b) for a, b in zip(ids, ids[1:])):
+        return None
+    return http == "1", all_ == "1", [int(i) for i in ids]
+
+
+def test_random_markers(spark):
+    rnd = random.Random(12)
+    texts = [None, "", ";;", "http=1;coraza_all=0;coraza_rule_ids=1\n"]
+    for _ in range(2000):
+        ids = ",".join(rnd.choice([str(rnd.randrange(1, 60)), str(rnd.randrange(1, 60)), "0", "07", "x", ""]) if rnd.random() < 0.2 else str(i * 7 + rnd.randrange(1, 8)) for i in range(rnd.randrange(4)))
+        t = f"http={rnd.choice('01')};coraza_all={rnd.choice('01')};coraza_rule_ids={ids}"
+        if rnd.random() < 0.2:
+            at = rnd.randrange(len(t))
+            t = t[:at] + rnd.choice(["", ";", "=", " ", "2", ","]) + t[at + 1 :]
+        texts.append(t)
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, m string")
+    got = {r.i: r.e and (r.e.http, r.e.all, r.e.ids) for r in df.select("i", waf.parse_evidence(F.col("m")).alias("e")).collect()}
+    want = {i: plain_marker(t) for i, t in enumerate(texts)}
+    assert got == want and 800 < sum(w is not None for w in want.values()) < 1900

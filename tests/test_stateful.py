@@ -1,6 +1,7 @@
 """Streams in two micro-batches give what one batch over all rows gives."""
 
 import math
+import os
 import random
 from datetime import datetime, timedelta
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from edgelens.operators import series
-from edgelens.streaming import stateful, windows
+from edgelens.streaming import stateful, tracks, windows
 
 
 def drain(spark, df, name, path):
@@ -35,6 +36,15 @@ def test_latency_stream_equals_batch(spark, tmp_path):
     assert set(got) == set(want) and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
 
 
+def uncommit(checkpoint):
+    """As after a failure between the delivery of the last micro-batch and its commit."""
+    folder = f"{checkpoint}/commits"
+    last = max((f for f in os.listdir(folder) if f.isdigit()), key=int)
+    for f in (last, f".{last}.crc"):
+        if os.path.exists(f"{folder}/{f}"):
+            os.remove(f"{folder}/{f}")
+
+
 def pieces(spark, df, order, folder, cuts):
     """A stream of one file for each piece of df between the cuts of its order, each a micro-batch."""
     at = [None, *cuts, None]
@@ -152,14 +162,20 @@ def test_late_rows_are_counted_whatever_their_age(spark, tmp_path):
     assert late.agg(F.sum("cnt")).first()[0] >= 9
     final = spark.read.schema(layout).parquet(f"{out}/final")
     assert final.groupBy("minute", "k").count().where("count > 1").count() == 0 and final.count() > 50
-    # the last micro-batch again, as after a failure before its commit: it replaces itself
-    import os
-
-    commits = f"{tmp_path}/cp/commits"
-    last = max((f for f in os.listdir(commits) if f.isdigit()), key=int)
-    os.remove(f"{commits}/{last}")
-    crc = f"{commits}/.{last}.crc"
-    if os.path.exists(crc):
-        os.remove(crc)
+    uncommit(f"{tmp_path}/cp")  # the last micro-batch comes again and replaces itself
     windows.run_windows(stream, ["k"], out, f"{tmp_path}/cp", trigger=None).awaitTermination()
     assert key(windows.counts(spark, out, ["k"], layout)) == want
+
+
+def test_a_repeated_micro_batch_replaces_its_delivery(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"k{i % 3}") for i in range(30)], "seq long, k string")
+    stream = pieces(spark, df, "seq", tmp_path, [10, 20])
+    made = lambda batch: {"counts": batch.groupBy("w", "k").agg(F.count("*").alias("cnt"))}
+    run = lambda at: tracks.run_stream(stream, made, f"{tmp_path}/out", f"{tmp_path}/cp", None, ("counts",), lambda: datetime(2024, 1, 1, 0, at)).awaitTermination()
+    read = lambda: sorted((r.w, r.k, r.cnt, r.minute.minute) for r in spark.read.parquet(f"{tmp_path}/out/counts").collect())
+    run(5)
+    first = read()
+    assert sum(r[2] for r in first) == 30 and len({r[0] for r in first}) == 3
+    uncommit(f"{tmp_path}/cp")
+    run(9)
+    assert [r[:3] for r in read()] == [r[:3] for r in first] and [r[3] for r in read()] == [9 if r[0] == 2 else 5 for r in first]
