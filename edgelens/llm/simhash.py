@@ -45,6 +45,9 @@ SCAN_ROWS = 256  # members that a node in memory compares with one another
 PART = 1 << 15  # shingles hashed at a time
 PICKS, GROUP = 96, 6  # shingles selected by min-hash, and of them in a group
 GROUP_PART = 1 << 12  # shingles ordered at a time
+#: A bucket in which more members than this stand apart from its largest part, as texts with one boilerplate do, is split by a
+#: further group, up to so many times. Similar texts share about 8 of 32 groups, and few of these lie in their boilerplate.
+SPLIT_MINORS, SPLIT_LEVELS = 1024, 4
 BROADCAST_KEYS = 1 << 18  # keys of 16 bytes, 6 MiB
 
 
@@ -362,6 +365,29 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, words: int, s
     return stage(with_sides(pairs, sets, "s").where(close).select(F.col("x").alias("a"), F.col("y").alias("b")), "similar-edges")
 
 
+def parted(rows: DataFrame) -> DataFrame:
+    """rows (bucket, seed, size, node, root) of the buckets that hold several parts, with minor: whether outside the largest."""
+    heads = rows.groupBy("bucket", "root").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.max(F.struct("k", "root"))["root"].alias("main"), F.count("*").alias("roots"))
+    return rows.join(heads.where("roots > 1"), "bucket").select("bucket", "seed", "size", "node", "root", (F.col("root") != F.col("main")).alias("minor"))
+
+
+def split(parts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """parted() rows in which wide buckets are replaced by those of their members that share a further group as well, of a later
+    seed, until buckets are small or SPLIT_LEVELS deep; what is wide then stays. nodes: (node, fps)."""
+    for _ in range(SPLIT_LEVELS):
+        wide = parts.groupBy("bucket").agg(F.sum(F.col("minor").cast("int")).alias("minors")).where(F.col("minors") > SPLIT_MINORS)
+        wide = stage(wide.select("bucket"), "similar-wide")
+        if wide.isEmpty():
+            break
+        further = nodes.select("node", F.posexplode("fps").alias("j", "fp"))
+        deep = parts.join(wide, "bucket", "left_semi").select("bucket", "seed", "node", "root").join(further, "node").where("j > seed")
+        deep = deep.select(F.xxhash64("bucket", "j", "fp").alias("bucket"), F.col("j").alias("seed"), "node", "root")
+        shared = deep.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+        deep = stage(deep.join(shared, "bucket"), "similar-deep")
+        parts = stage(parts.join(wide, "bucket", "left_anti").unionByName(parted(deep)), "similar-split")
+    return parts
+
+
 def similar_groups(
     docs: DataFrame, words: int = 5, similarity: float = 0.8, groups: int = 32, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -386,9 +412,9 @@ def similar_groups(
     nodes = ids.groupBy("same").agg(F.min(F.struct("key", "n", "fps", "odd")).alias("r")).select("same", "r.*")
     nodes = stage(nodes.withColumnRenamed("key", "node"), "similar-nodes")
     # buckets: a shared fingerprint of a group, or a component of the trees
-    each = nodes.select("node", "n", F.posexplode("fps").alias("seed", "fp")).select(F.xxhash64("seed", "fp").alias("bucket"), "node", "n")
+    each = nodes.select("node", "n", F.posexplode("fps").alias("seed", "fp")).select(F.xxhash64("seed", "fp").alias("bucket"), "seed", "node", "n")
     trees = near_duplicates(rows, id_col="key").select(F.col("key").alias("node"), F.xxhash64(F.lit(-1), "component").alias("bucket")).distinct()
-    each = each.unionByName(nodes.join(trees, "node").select("bucket", "node", "n"))
+    each = each.unionByName(nodes.join(trees, "node").select("bucket", F.lit(-1).alias("seed"), "node", "n"))
     shared = each.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = stage(each.join(shared, "bucket"), "similar-buckets")
     # of a bucket the text that shares most with others, as the least edited copy does, is checked exactly with the
@@ -403,12 +429,10 @@ def similar_groups(
     edges = confirmed(pairs, sketches, rows, words, similarity)
     # then, in buckets that confirmed links do not join yet, whatever is outside the largest part with all other
     # parts, unless size or parities forbid it
-    parts = members.select("bucket", "size", "node").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    parts = stage(parts, "similar-parts")
-    heads = parts.groupBy("bucket", "root").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.max(F.struct("k", "root"))["root"].alias("main"), F.count("*").alias("roots"))
-    blocks = F.ceil(F.col("size") / SCAN_ROWS).cast("int")
-    parts = parts.join(heads.where("roots > 1"), "bucket").withColumns({"blocks": blocks, "minor": F.col("root") != F.col("main")})
-    parts = stage(parts.join(nodes.select("node", "n", "odd"), "node"), "similar-split")
+    parts = members.select("bucket", "seed", "size", "node").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    parts = split(stage(parted(stage(parts, "similar-parts")), "similar-split"), nodes)
+    parts = parts.withColumn("blocks", F.ceil(F.col("size") / SCAN_ROWS).cast("int"))
+    parts = stage(parts.join(nodes.select("node", "n", "odd"), "node"), "similar-sides")
     side = lambda a: [F.col("node").alias(a), *[F.col(c).alias(c + a) for c in ("n", "odd", "root", "minor")]]
     one = parts.where("minor").select("bucket", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), *side("x"))
     other = parts.select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *side("y"))

@@ -9,7 +9,7 @@ import numpy as np
 from conftest import SF
 from pyspark.sql import functions as F
 
-from edgelens.llm import codes, language, mixing, negatives, queries, substrings, topk
+from edgelens.llm import codes, language, mixing, negatives, queries, simhash, substrings, topk
 
 QUERIES = queries.queries()
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -247,3 +247,40 @@ def test_top_k_of_repeated_ids_lengths_and_huge_components(spark, monkeypatch):
     for size in (1 << 22, 480):  # 480 bytes: blocks of ten vectors
         monkeypatch.setattr(topk, "BLOCK_BYTES", size)
         assert {tuple(r) for r in topk.top_k(df, F.col("id") % 20 == 0, k=7).collect()} == want
+
+
+def boilerplate(n, rnd, copies=4):
+    """Texts that share 120 of 200 words, and similar copies of a few of them."""
+    shared = [f"b{rnd.randrange(10**6)}" for _ in range(120)]
+    texts = [" ".join(shared + [f"o{rnd.randrange(10**6)}" for _ in range(80)]) for _ in range(n)]
+    for i in range(0, 40 * copies, 40):
+        words = texts[i].split()
+        texts.append(" ".join(words[:-6]))
+        texts.append(" ".join(words[:150] + ["x", "y", "z"] + words[150:]))
+    return texts
+
+
+def test_wide_buckets_are_split_and_lose_no_similar_pair(spark, monkeypatch):
+    work = {}
+    taken = simhash.split
+
+    def watched(parts, nodes):
+        out = taken(parts, nodes)
+        for name, rows in (("before", parts), ("after", out)):
+            each = rows.groupBy("bucket").agg(F.sum(F.col("minor").cast("int")).alias("m"), F.count("*").alias("n"))
+            work[name] = each.agg(F.sum(F.col("m") * F.col("n"))).first()[0]
+        return out
+
+    monkeypatch.setattr(simhash, "split", watched)
+    monkeypatch.setattr(simhash, "SPLIT_MINORS", 16)
+    cost = {}
+    for n in (400, 800):
+        texts = boilerplate(n, random.Random(1))
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {r.doc_id: r.component for r in simhash.similar_documents(df).collect()}
+        assert all(got[n + 2 * j] == got[n + 2 * j + 1] == got[40 * j] == 40 * j for j in range(4))
+        assert len(set(got.values())) == n  # texts that share their boilerplate alone are not similar
+        cost[n] = dict(work)
+    assert cost[800]["after"] < 0.2 * cost[800]["before"]
+    assert cost[800]["after"] <= 2.6 * cost[400]["after"] + 5000
+    print(cost)
