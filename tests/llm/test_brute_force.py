@@ -24,21 +24,26 @@ def documents(spark, folder=SF):
     return spark.read.parquet(f"{folder}/documents.parquet").orderBy("doc_id").collect()
 
 
-def test_op1_of_all_documents(spark):
+BOTH = pytest.mark.parametrize("folder", [SF, "/root/testdata/sf0.01"])
+
+
+@BOTH
+def test_op1_of_all_documents(spark, folder):
     t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    got = {r.doc_id: r for r in QUERIES["op1_bpe_codec"](spark, SF).collect()}
-    for d in documents(spark):
+    got = {r.doc_id: r for r in QUERIES["op1_bpe_codec"](spark, folder).collect()}
+    for d in documents(spark, folder):
         ids = t.encode(d.text or "", add_special_tokens=False).ids
         want = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest()
         assert (got[d.doc_id].ids_sha256, got[d.doc_id].decoded_sha256, got[d.doc_id].n_tokens) == (*want, len(ids))
 
 
-def test_op4_of_all_documents(spark):
+@BOTH
+def test_op4_of_all_documents(spark, folder):
     import zlib
 
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    got, start = {r.doc_id: r for r in QUERIES["op4_token_file"](spark, SF).collect()}, 0
-    for d in documents(spark):
+    got, start = {r.doc_id: r for r in QUERIES["op4_token_file"](spark, folder).collect()}, 0
+    for d in documents(spark, folder):
         ids = np.array(t.encode(d.text or "", add_special_tokens=False).ids + [0], dtype="<u4")
         assert (got[d.doc_id].start, got[d.doc_id].n_tokens, got[d.doc_id].ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
@@ -109,9 +114,10 @@ def test_op5_against_a_plain_classifier(spark):
         assert got[d.doc_id].lang_pred == lang and got[d.doc_id].score == pytest.approx(score, abs=2e-4) and got[d.doc_id].rejected == rejected
 
 
-def test_op6_against_sums_and_true_likeness(spark):
-    rows = documents(spark)
-    got = {r.doc_id: r for r in QUERIES["op6_multiset_fingerprint"](spark, SF).collect()}
+@BOTH
+def test_op6_against_sums_and_true_likeness(spark, folder):
+    rows = documents(spark, folder)
+    got = {r.doc_id: r for r in QUERIES["op6_multiset_fingerprint"](spark, folder).collect()}
 
     def lanes(text):
         total = [0] * 32

@@ -9,7 +9,8 @@ import numpy as np
 from conftest import SF
 from pyspark.sql import functions as F
 
-from edgelens.llm import codes, language, mixing, negatives, queries, simhash, substrings, topk
+import corpus_pipeline
+from edgelens.llm import codes, language, mixing, negatives, queries, simhash, substrings, tokenfile, topk, url_filter
 
 QUERIES = queries.queries()
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -284,3 +285,51 @@ def test_wide_buckets_are_split_and_lose_no_similar_pair(spark, monkeypatch):
     assert cost[800]["after"] < 0.2 * cost[800]["before"]
     assert cost[800]["after"] <= 2.6 * cost[400]["after"] + 5000
     print(cost)
+
+
+def test_joins_by_shuffle_give_what_broadcasts_give(spark, monkeypatch):
+    rows = lambda name: sorted(map(str, QUERIES[name](spark, SF).collect()))
+    want = {n: rows(n) for n in ("op9_poisson_mix", "op10_url_verdicts")}
+    df = spark.createDataFrame([(i // 3, ["a", None, ""][i % 3], "t") for i in range(900)] * 2, "doc_id long, source string, text string")
+    mixed = lambda: sorted(map(str, mixing.mix(df, {"a": 3.0}).collect()))
+    twins = mixed()
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    monkeypatch.setattr(mixing, "BROADCAST_TWINS", 0)
+    monkeypatch.setattr(url_filter, "MAX_FILTER_BLOCKS", 0)
+    assert {n: rows(n) for n in want} == want and mixed() == twins
+
+
+def test_token_files_of_null_and_repeated_ids(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    rows = [(3, "b b"), (None, "n"), (3, "a a a"), (3, "b b"), (None, None), (1, "é" * 3000)]
+    out = tokenfile.new_path(spark)
+    tokenfile.write(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), path, out)
+    got = sorted(((r.doc_id, r.start, r.n_tokens) for r in tokenfile.digests(spark, out).collect()), key=lambda r: r[1])
+    start, want = 0, []
+    for i, text in sorted(((i, x or "") for i, x in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        n = len(t.encode(text, add_special_tokens=False).ids) + 1
+        want.append((i, start, n))
+        start += n
+    assert got == want
+
+
+def test_stages_of_empty_long_and_repeated_rows(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    empty = spark.createDataFrame([], schema)
+    for name, f in corpus_pipeline.STAGES:
+        assert f(spark, empty, SF).count() == 0, name
+    rnd = random.Random(3)
+    word = lambda: rnd.choice("brumal corvid dulcet eidolon frangible gossamer halcyon ineffable".split()) + str(rnd.randrange(500))
+    long = "\n".join(" ".join(word() for _ in range(30)) for _ in range(900))
+    rows = [(1, long, "en", "s")] + [(2, "few words of a short text " + word(), "en", "s")] * 6 + [(None, " ".join(word() for _ in range(40)), "en", None) for _ in range(5)]
+    docs = spark.createDataFrame([(*r, len(r[1])) for r in rows], schema)
+    counts = []
+    for name, f in corpus_pipeline.STAGES:
+        docs = f(spark, docs, SF).persist()
+        counts.append(docs.count())
+        assert docs.where("doc_id = 1").count() >= (0 if name in ("mix", "tokenize") else 1)
+    assert counts[:3] == [12, 12, 7]  # the six repeats are one document
