@@ -36,6 +36,7 @@ def run_stream(
 
 
 def windowed_counts(rows: DataFrame, keys: list[str], ts: str = "ts", window: str = "1 minute", late: str = "10 minutes") -> DataFrame:
-    """Counts per tumbling window and key that runs on streams, with a watermark; ts may be without zone."""
+    """Counts per tumbling window and key that runs on streams, with a watermark behind which Spark drops rows; windows.run_windows
+    keeps them. ts may be without zone."""
     timed = rows.withColumn("__ts", F.col(ts).cast("timestamp")).withWatermark("__ts", late)
     return timed.groupBy(F.window("__ts", window), *keys).agg(F.count("*").alias("cnt")).select(F.col("window.start").alias("minute"), *keys, "cnt")
