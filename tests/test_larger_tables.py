@@ -22,6 +22,6 @@ def many_users(spark, tmp_path_factory):
 
 
 
-@pytest.mark.parametrize("name", ["a5_ip_prefixes", "a6_ip_sni", "a7_fingerprints", "a8_fingerprint_ips", "a9_block_counts", "c2_sni_sentinel", "c3_sni_per_ip", "c5_block_counts", "k3_sampled_ips", "f6_connection_intake"])
+@pytest.mark.parametrize("name", ["a5_ip_prefixes", "a6_ip_sni", "a7_fingerprints", "a8_fingerprint_ips", "a9_block_counts", "c2_sni_sentinel", "c3_sni_per_ip", "c5_block_counts", "k3_sampled_ips", "f6_connection_intake", "j5_ip_dimension"])
 def test_connections_of_users_above_255(spark, many_users, name):
     same(QUERIES[name](spark, many_users[0]), many_users[1], ORACLES[name])
