@@ -25,3 +25,26 @@ def many_users(spark, tmp_path_factory):
 @pytest.mark.parametrize("name", ["a5_ip_prefixes", "a6_ip_sni", "a7_fingerprints", "a8_fingerprint_ips", "a9_block_counts", "c2_sni_sentinel", "c3_sni_per_ip", "c5_block_counts", "k3_sampled_ips", "f6_connection_intake", "j5_ip_dimension"])
 def test_connections_of_users_above_255(spark, many_users, name):
     same(QUERIES[name](spark, many_users[0]), many_users[1], ORACLES[name])
+
+
+def test_tasks_do_not_grow_with_the_table(spark, monkeypatch):
+    from edgelens import runtime
+
+    monkeypatch.setattr(runtime, "SPREAD_ROWS", 20)
+    rows = QUERIES["p_request_facts"](spark, SF)
+    sizes = [n for n in rows.rdd.mapPartitions(lambda r: [sum(1 for _ in r)]).collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 25
+
+
+def test_the_address_dimension_of_events_derives_no_facts(spark, monkeypatch):
+    from edgelens.operators import addresses
+
+    plans, taken = [], addresses.ip_dimension
+
+    def watched(rows, col="remote_addr", v6=True):
+        plans.append(rows.select(col)._jdf.queryExecution().optimizedPlan().toString())
+        return taken(rows, col, v6)
+
+    monkeypatch.setattr(addresses, "ip_dimension", watched)
+    QUERIES["p33_request_events"](spark, SF)
+    assert len(plans) == 1 and "map" not in plans[0] and "Filter" not in plans[0]
