@@ -16,7 +16,9 @@ near_duplicates() links by one fingerprint of shingles. similar_documents() serv
 (Jaccard of five-word shingles of 0.8 or more), which differ in far more bits than a tree of 64-bit
 fingerprints can prune. To the groups that the tree joins it adds SimHashes of small groups of shingles
 selected by min-hash, of which similar texts share one whatever kind of edit parts them, and keeps the
-links that the exact similarity confirms.
+links that the exact similarity confirms. That finds nearly all of them cheaply; what chance or the splitting of
+wide buckets loses is found by prefixes: with shingles in one order, rare ones first, two similar texts share one
+among the first few of both, so texts of different groups that share one are compared too.
 
 Defined results: null and empty texts and texts without words have fingerprint 0 and are linked as any
 other; equal texts share a fingerprint; repeated rows are rows of the same component; an empty table
@@ -49,6 +51,7 @@ GROUP_PART = 1 << 12  # shingles ordered at a time
 #: further group, up to so many times. Similar texts share about 8 of 32 groups, and few of these lie in their boilerplate.
 SPLIT_MINORS, SPLIT_LEVELS = 1024, 4
 BROADCAST_KEYS = 1 << 18  # keys of 16 bytes, 6 MiB
+ORDER_TEXTS, ORDER_CELLS = 1 << 13, 1 << 20  # texts by which the order of shingles is fitted, and its cells: any order is exact, a fitted one is fast
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -388,6 +391,72 @@ def split(parts: DataFrame, nodes: DataFrame) -> DataFrame:
     return parts
 
 
+def shingle_order(texts: DataFrame, words: int) -> np.ndarray:
+    """How often the shingles of each cell, by their lowest bits, occur in ORDER_TEXTS of the texts (key, text)."""
+
+    def count(batches):
+        seen = np.zeros(ORDER_CELLS, dtype=np.int64)
+        for b in batches:
+            for t in b.column(0):
+                np.add.at(seen, shingle_set(t.as_py(), words)[0] & (ORDER_CELLS - 1), 1)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["cell", "n"])
+
+    some = texts.orderBy(F.xxhash64("key"), "key").limit(ORDER_TEXTS).repartition(texts.sparkSession.sparkContext.defaultParallelism)
+    cells = some.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # ORDER_CELLS rows at most
+    order = np.zeros(ORDER_CELLS, dtype=np.int32)
+    order[cells["cell"].to_numpy(dtype=np.int64)] = np.minimum(cells["n"].to_numpy(dtype=np.int64), 1 << 30)
+    return order
+
+
+def prefixes(hashes: np.ndarray, order: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(heads, rest): the first shingles of a text in the order. Of two similar texts a head of the smaller one is among the
+    heads or the rest of the other: they share 2 s / (1 + s) of the smaller and s of the larger one or more."""
+    n = len(hashes)
+    first = lambda least: n - int(np.ceil(least * n - 1e-9)) + 1 if n else 0
+    ranked = hashes[np.lexsort((hashes, order[hashes & (len(order) - 1)]))]
+    heads, both = first(2 * similarity / (1 + similarity)), first(similarity)
+    return ranked[:heads], ranked[heads:both]
+
+
+def prefix_buckets(texts: DataFrame, roots: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(bucket, seed, size, node, root): the texts that share a shingle of their prefixes, where they are of several groups.
+    texts: (key, text), different shingles each; roots: (node, root). Buckets of the same texts are one."""
+    spark = texts.sparkSession
+    importable(spark)
+    order = spark.sparkContext.broadcast(shingle_order(texts, words))
+
+    def maker():
+        def run(column: pa.Array):
+            both = [prefixes(shingle_set(t.as_py(), words)[0], order.value, similarity) for t in column]
+            return [pa.array([b[i] for b in both], type=pa.list_(pa.int64())) for i in (0, 1)]
+
+        return run
+
+    own = append_columns(texts, ["text"], [("heads", "array<long>"), ("rest", "array<long>")], maker).select(F.col("key").alias("node"), "heads", "rest")
+    own = stage(own.join(roots, "node").select("node", F.xxhash64("root").alias("group"), "heads", "rest"), "similar-prefixes")
+    side = lambda c, head: own.select(F.explode(c).alias("bucket"), "node", "group", F.lit(head).alias("head"))
+    each = side("heads", 1).unionByName(side("rest", 0))
+    apart = each.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.max("head").alias("head")).where("low <> high and head = 1")
+    met = stage(each.join(apart.select("bucket"), "bucket").select("bucket", "node"), "similar-met")
+    same = met.groupBy("bucket").agg(F.count("*").alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"))
+    named = met.join(same, "bucket").select(F.xxhash64("size", "sum").alias("bucket"), F.lit(0).alias("seed"), "size", "node").distinct()
+    return named.join(roots, "node")
+
+
+def across(parts: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """(x, y): of parted() rows whatever is outside a bucket's largest part with all other parts, unless size or parities
+    forbid it."""
+    parts = parts.withColumn("blocks", F.ceil(F.col("size") / SCAN_ROWS).cast("int"))
+    parts = stage(parts.join(nodes.select("node", "n", "odd"), "node"), "similar-sides")
+    side = lambda a: [F.col("node").alias(a), *[F.col(c).alias(c + a) for c in ("n", "odd", "root", "minor")]]
+    one = parts.where("minor").select("bucket", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), *side("x"))
+    other = parts.select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *side("y"))
+    apart = (F.col("rootx") != F.col("rooty")) & ((F.col("x") < F.col("y")) | ~F.col("minory"))
+    rest = one.join(other, ["bucket", "block"]).where(apart & may_be_similar(similarity)).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    return rest.distinct()
+
+
 def similar_groups(
     docs: DataFrame, words: int = 5, similarity: float = 0.8, groups: int = 32, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -427,19 +496,17 @@ def similar_groups(
     pairs = stage(pairs, "similar-pairs")
     sketches = nodes.select(F.col("node").alias("key"), "n", "odd")
     edges = confirmed(pairs, sketches, rows, words, similarity)
-    # then, in buckets that confirmed links do not join yet, whatever is outside the largest part with all other
-    # parts, unless size or parities forbid it
+    # then across the parts of buckets that confirmed links do not join yet
     parts = members.select("bucket", "seed", "size", "node").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
     parts = split(stage(parted(stage(parts, "similar-parts")), "similar-split"), nodes)
-    parts = parts.withColumn("blocks", F.ceil(F.col("size") / SCAN_ROWS).cast("int"))
-    parts = stage(parts.join(nodes.select("node", "n", "odd"), "node"), "similar-sides")
-    side = lambda a: [F.col("node").alias(a), *[F.col(c).alias(c + a) for c in ("n", "odd", "root", "minor")]]
-    one = parts.where("minor").select("bucket", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), *side("x"))
-    other = parts.select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *side("y"))
-    apart = (F.col("rootx") != F.col("rooty")) & ((F.col("x") < F.col("y")) | ~F.col("minory"))
-    rest = one.join(other, ["bucket", "block"]).where(apart & may_be_similar(similarity)).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    rest = rest.distinct().join(pairs, ["x", "y"], "left_anti")
-    edges = edges.unionByName(confirmed(stage(rest, "similar-rest"), sketches, rows, words, similarity))
+    rest = stage(across(parts, nodes, similarity).join(pairs, ["x", "y"], "left_anti"), "similar-rest")
+    edges = stage(edges.unionByName(confirmed(rest, sketches, rows, words, similarity)), "similar-found")
+    # texts that these groups still part, by the shingles of their prefixes: exact for all that buckets lost
+    roots = stage(nodes.select("node").join(components(edges), "node", "left").select("node", F.coalesce("root", "node").alias("root")), "similar-roots")
+    texts = rows.select("key", "text").join(nodes.select(F.col("node").alias("key")), "key", "left_semi").dropDuplicates(["key"])
+    met = across(parted(stage(prefix_buckets(texts, roots, words, similarity), "similar-shared")), nodes, similarity)
+    met = stage(met.join(pairs, ["x", "y"], "left_anti").join(rest, ["x", "y"], "left_anti"), "similar-last")
+    edges = edges.unionByName(confirmed(met, sketches, rows, words, similarity))
     root = components(edges)
     named = nodes.select("same", "node").join(root, "node", "left").select("same", F.coalesce("root", "node").alias("root"))
     return ids.select("key", "id", "same").join(named, "same").select("key", "id", "root")
