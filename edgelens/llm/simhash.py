@@ -40,7 +40,8 @@ from edgelens.llm.common import append_columns, hot_limit, row_key
 from edgelens.runtime import importable, stage
 
 SEED = 42
-SAMPLE = 1 << 20  # fingerprints on the driver at most, 8 MiB
+SAMPLE = 1 << 20  # fingerprints on the driver, about so many at most, 8 MiB
+MIX = np.uint64(0x9E3779B97F4A7C15)  # vantages are taken in the order of products with it, whatever order the sample comes in
 LEAF_ROWS = 4096  # expected members of an upper leaf, while the sample allows: up to 2**27 fingerprints; beyond, one in 2**15 of all, 8 bytes each
 LEAST_SAMPLE = 32  # sampled members under which a node is not split
 SCAN_ROWS = 256  # members that a node in memory compares with one another
@@ -201,11 +202,13 @@ def links(fingerprints: DataFrame, radius: int = 2) -> DataFrame:
     through others. fingerprints: (seed int, fp long), distinct; each seed has a tree of its own."""
     importable(fingerprints.sparkSession)
     totals = {r["seed"]: r["n"] for r in fingerprints.groupBy("seed").agg(F.count("*").alias("n")).collect()}  # a row per seed
-    sample = fingerprints.orderBy(F.xxhash64("fp"), "fp", "seed").limit(SAMPLE).toPandas()
+    share = max(1, -(-sum(totals.values()) // SAMPLE))
+    sample = fingerprints.select("seed", "fp").where(F.pmod(F.xxhash64("fp"), F.lit(share)) == 0).toArrow()  # as rows of Python objects it would be hundreds of MB
+    seed_of, sampled = sample["seed"].to_numpy(), sample["fp"].to_numpy()
     trees = {}
     for seed, n in totals.items():
-        own = sample.loc[sample["seed"] == seed, "fp"].to_numpy(dtype=np.int64).copy()
-        trees[seed] = build_tree(own.view(np.uint64), radius, -(-n // LEAF_ROWS))
+        own = sampled[seed_of == seed].view(np.uint64)
+        trees[seed] = build_tree(own[np.argsort(own * MIX)], radius, -(-n // LEAF_ROWS))
 
     def spread(batches):
         for b in batches:
@@ -391,8 +394,10 @@ def split(parts: DataFrame, nodes: DataFrame) -> DataFrame:
     return parts
 
 
-def shingle_order(texts: DataFrame, words: int) -> np.ndarray:
-    """How often the shingles of each cell, by their lowest bits, occur in ORDER_TEXTS of the texts (key, text)."""
+def shingle_order(texts: DataFrame, n_texts: int, words: int) -> np.ndarray:
+    """How often the shingles of each cell, by their lowest bits, occur in about ORDER_TEXTS of the n_texts texts (key, text).
+
+    The driver takes the counts as Arrow columns of 8 bytes a cell: rows of Python objects would be hundreds of MB."""
 
     def count(batches):
         seen = np.zeros(ORDER_CELLS, dtype=np.int64)
@@ -402,10 +407,12 @@ def shingle_order(texts: DataFrame, words: int) -> np.ndarray:
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["cell", "n"])
 
-    some = texts.orderBy(F.xxhash64("key"), "key").limit(ORDER_TEXTS).repartition(texts.sparkSession.sparkContext.defaultParallelism)
-    cells = some.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # ORDER_CELLS rows at most
+    share = -(-n_texts // ORDER_TEXTS)
+    some = texts.where(F.pmod(F.xxhash64("key"), F.lit(max(1, share))) == 0).repartition(texts.sparkSession.sparkContext.defaultParallelism)
+    cells = some.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    cells = cells.select(F.col("cell").cast("int").alias("cell"), F.least("n", F.lit(1 << 30)).cast("int").alias("n")).toArrow()  # ORDER_CELLS rows at most
     order = np.zeros(ORDER_CELLS, dtype=np.int32)
-    order[cells["cell"].to_numpy(dtype=np.int64)] = np.minimum(cells["n"].to_numpy(dtype=np.int64), 1 << 30)
+    order[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     return order
 
 
@@ -424,7 +431,7 @@ def prefix_buckets(texts: DataFrame, roots: DataFrame, words: int, similarity: f
     texts: (key, text), different shingles each; roots: (node, root). Buckets of the same texts are one."""
     spark = texts.sparkSession
     importable(spark)
-    order = spark.sparkContext.broadcast(shingle_order(texts, words))
+    order = spark.sparkContext.broadcast(shingle_order(texts, roots.count(), words))
 
     def maker():
         def run(column: pa.Array):
