@@ -48,3 +48,26 @@ def test_the_address_dimension_of_events_derives_no_facts(spark, monkeypatch):
     monkeypatch.setattr(addresses, "ip_dimension", watched)
     QUERIES["p33_request_events"](spark, SF)
     assert len(plans) == 1 and "map" not in plans[0] and "Filter" not in plans[0]
+
+
+def test_scores_of_one_time_rank_by_arrival(spark, tmp_path):
+    """Events of equal times, as a larger table has them; DuckDB takes the last row of the file there, on one thread always."""
+    con = duckdb.connect(config={"threads": 1})
+    for cut in ("hour", "day"):
+        path = str(tmp_path / f"{cut}.parquet")
+        con.execute(f"copy (select * replace (date_trunc('{cut}', ts) as ts) from '{SF}/events.parquet' order by event_id) to '{path}'")
+        con.execute(f"create or replace view events as select * from '{path}'")
+        events = tmp_path / cut
+        spark.read.parquet(path).repartition(5, "user_id").write.parquet(f"{events}/events.parquet")
+        same(QUERIES["j6_rank_upstreams"](spark, str(events)), con, ORACLES["j6_rank_upstreams"])
+
+
+def test_scores_of_one_time_without_arrival(spark):
+    from edgelens.operators import addresses
+
+    rows = [("u", 10, float(x)) for x in (3, 9, 5)]
+    at = lambda df: df.withColumn("ts", F.timestamp_seconds("ts"))
+    points = at(spark.createDataFrame([(1, 10, 0, "u", True, 0), (2, 4000, 0, "u", True, 0)], "point int, ts long, pos int, dial string, available boolean, inflight long"))
+    for turn in range(3):
+        scores = at(spark.createDataFrame(rows[turn:] + rows[:turn], "dial string, ts long, score double").coalesce(1))
+        assert [r.score for r in addresses.rank_upstreams(points, scores, 1e12).sort("point").collect()] == pytest.approx([9.0, 9.0])
