@@ -85,3 +85,15 @@ def small_batches(spark):
 
 def test_forwarded_addresses_of_batches_without_any(spark, duck, small_batches):
     same(QUERIES["p18_forwarded_ips"](spark, SF), duck, ORACLES["p18_forwarded_ips"])
+
+
+def test_identity_of_batches_without_any_address(spark, duck, small_batches):
+    same(QUERIES["r4_redact_identity"](spark, SF), duck, ORACLES["r4_redact_identity"])
+
+
+def test_identity_of_one_row_without_headers(spark):
+    from edgelens.operators import exemptions
+
+    rows = spark.createDataFrame([(None, "10.0.0.1", None, None, None)], "ua string, remote_addr string, xff string, cdn_ip string, hash_ip string")
+    out = exemptions.redact_identity(exemptions.with_forwarded_ip(rows), [("X-Tag", "10.0.0.1"), ("X-Key", "long enough")]).first()
+    assert (out.ua, out.forwarded_ip, out.hash_ip) == (None, "::", None)
