@@ -11,7 +11,8 @@ Two searches follow each other: the positives, the best rows of the anchor's lab
 of each positive, the best rows of other labels with scores in the positive's window, over buckets of all labels.
 Each begins with one bucket per anchor, whose k-th best score bounds the search through the rest from below.
 Anchors meet buckets in blocks, by an equi-join on a stratum of the buckets; a bucket and an anchor return at most k rows.
-Nothing is broadcast.
+Nothing is broadcast: Spark judges a table by its files, and blocks that go to each stratum are many times theirs, so joins are by
+shuffle whatever the files' size.
 
 Defined results: rows whose id or label is null, or whose vector is null, empty or holds null or non-finite components, take no part,
 nor do those whose scaled squared length reaches 2**60; of repeated ids the row with the smallest label, then vector, counts; vectors
@@ -240,6 +241,11 @@ def packed(anchors: DataFrame) -> DataFrame:
     return anchors.select("g", "dim", "id", "label", "v", "windows").mapInArrow(run, "g long, dim int, ids binary, labels binary, v binary, tag binary, low binary, high binary")
 
 
+def shuffled(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """left joined with right by sorting both, never by a broadcast."""
+    return left.join(right.hint("merge"), keys)
+
+
 def search(anchors: DataFrame, buckets: DataFrame, k: int, other: bool, focus: int) -> DataFrame:
     """(id, tag, partner, score): the k best partners in each window of each anchor."""
     own = ["g", "dim", "ids", "labels", "v", "tag", "low", "high"]
@@ -248,9 +254,9 @@ def search(anchors: DataFrame, buckets: DataFrame, k: int, other: bool, focus: i
     strata = strata.groupBy("g", "dim").agg(F.array_sort(F.collect_list(F.struct("stratum", "seed"))).alias("strata"))  # at most as many as shuffle partitions
     strata = strata.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     blocks = packed(anchors).withColumn("hash", F.xxhash64("ids")).withColumn("salt", F.pmod("hash", F.lit(SALTS)).cast("int"))
-    blocks = blocks.join(strata, ["g", "dim", "salt"])
+    blocks = shuffled(blocks, strata, ["g", "dim", "salt"])
     seed = F.element_at("strata", (F.pmod(F.shiftright("hash", 8), F.size("strata")) + 1).cast("int"))["seed"]
-    seeded = blocks.withColumn("bucket", seed).join(buckets.select("bucket", *content), "bucket")
+    seeded = shuffled(blocks.withColumn("bucket", seed), buckets.select("bucket", *content), ["bucket"])
     state = f"{', '.join(f'{c} {t}' for c, t in zip(own, ['long', 'int', *['binary'] * 6]))}, strata array<long>"
 
     def raise_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +267,7 @@ def search(anchors: DataFrame, buckets: DataFrame, k: int, other: bool, focus: i
 
     bounded = seeded.select(*own, F.transform("strata", lambda s: s["stratum"]).alias("strata"), *content).mapInArrow(raise_, state)
     bounded = stage(bounded, "negatives-anchors").withColumn("stratum", F.explode("strata")).drop("strata")
-    pairs = bounded.join(buckets.select("g", "dim", "stratum", *content), ["g", "dim", "stratum"])
+    pairs = shuffled(bounded, buckets.select("g", "dim", "stratum", *content), ["g", "dim", "stratum"])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -296,8 +302,8 @@ def hard_negatives(
     low = whole * least + F.ceil(rest * least / F.lit(100)).cast("long")
     high = whole * most + F.floor(rest * most / F.lit(100)).cast("long")
     wanted = found.where(p >= 0).groupBy("id").agg(F.collect_list(window(F.col("positive_id"), low, high)).alias("windows"))  # `positives` at most
-    second = anchors.join(wanted, "id").withColumn("g", F.lit(0).cast("long"))
+    second = shuffled(anchors, wanted, ["id"]).withColumn("g", F.lit(0).cast("long"))
     hits = search(second, index(rows, F.lit(0), n), negatives, True, focus)
     hits = hits.select("id", F.col("tag").alias("positive_id"), "rank", F.col("partner").alias("negative_id"), F.col("score").alias("negative_score"))
-    out = hits.join(found, ["id", "positive_id"])
+    out = shuffled(hits, found, ["id", "positive_id"])
     return out.select(F.col("id").alias("anchor_id"), "positive_id", "rank", "negative_id", "positive_score", "negative_score")

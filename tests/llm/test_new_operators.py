@@ -120,6 +120,23 @@ def test_negatives_of_clusters_and_odd_rows(spark, monkeypatch):
     assert negatives.hard_negatives(df.limit(0), F.col("id") % 10 == 0).count() == 0
 
 
+def test_negatives_send_nothing_whole_to_the_driver(spark, monkeypatch):
+    rnd = np.random.default_rng(12)
+    df = spark.createDataFrame([(i, [float(x) for x in rnd.normal(size=8)], i % 3) for i in range(400)], "vec_id long, embedding array<float>, label int")
+    plans, taken = [], negatives.stage
+
+    def watched(rows, name):
+        plans.append((name, rows._jdf.queryExecution().executedPlan().toString()))
+        return taken(rows, name)
+
+    monkeypatch.setattr(negatives, "stage", watched)
+    monkeypatch.setattr(negatives, "BUCKET_ROWS", 60)
+    out = negatives.hard_negatives(df, F.col("id") % 10 == 0)
+    plans.append(("result", out._jdf.queryExecution().executedPlan().toString()))
+    assert not [name for name, plan in plans if "Broadcast" in plan] and sum("SortMergeJoin" in plan for _, plan in plans) == 4
+    assert out.count() > 100
+
+
 def test_coordinate_lists_prune_and_lose_nothing():
     rnd = np.random.default_rng(12)
     centres = rnd.normal(size=(40, 16))
